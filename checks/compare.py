@@ -12,6 +12,8 @@ from checks import catalog, standins
 from checks.registry import ENTRIES, run_entry
 from pitchlake.session import get_spark
 
+# Seconds to build the query and to run it.
+SECONDS: dict[str, tuple[float, float]] = {}
 OTHER_TABLES = ("documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
@@ -32,8 +34,11 @@ def rows_of(columns: list[str], rows: list) -> tuple[list[str], list[str]]:
 def difference(spark: SparkSession, con, name: str, sf_dir: str) -> str | None:
     """None when both results are equal, otherwise the first difference."""
     entry = ENTRIES[name]
+    started = time.monotonic()
     df = run_entry(entry, spark, sf_dir)
+    planned = time.monotonic()
     rows = df.collect()
+    SECONDS[name] = (planned - started, time.monotonic() - planned)
     if entry.sql is None:
         return None
     oracle = con.sql(entry.sql)
@@ -67,7 +72,12 @@ def main(argv: list[str]) -> int:
             found = f"{type(exc).__name__}: {str(exc)[:1500]}"
         seconds = time.monotonic() - started
         kind = "" if ENTRIES[name].sql else " (rows only)"
-        print(f"{'ok  ' if found is None else 'FAIL'} {seconds:6.2f}s {name}{kind} {found or ''}", flush=True)
+        build, run = SECONDS.get(name, (0.0, 0.0))
+        state = "ok  " if found is None else "FAIL"
+        print(
+            f"{state} build {build:5.2f} run {run:5.2f} all {seconds:5.2f} {name}{kind} {found or ''}",
+            flush=True,
+        )
         failed += found is not None
     print(f"{len(names)} queries, {failed} failed")
     return 1 if failed else 0

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -31,11 +32,13 @@ class Context:
         self.sf_dir = sf_dir
         self._warehouse: Warehouse | None = None
 
+    @functools.cache
     def base(self, name: str) -> DataFrame:
         return standins.base(self.spark, self.sf_dir, name)
 
+    @functools.cache
     def raw(self, name: str) -> DataFrame:
-        return standins.raw_table(self.spark, self.sf_dir, name)
+        return standins.raw_table(self.spark, name, self.base)
 
     def silver(self, name: str) -> DataFrame:
         spec = SPECS[name]

@@ -8,6 +8,8 @@ it only prepares input, the operators under test are not part of it.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = (
@@ -294,9 +296,11 @@ def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def raw_table(
+    spark: SparkSession, name: str, base_table: Callable[[str], DataFrame]
+) -> DataFrame:
     text = RAW_SQL[name]
-    used = {t: base(spark, sf_dir, t) for t in BASE_TABLES if "{" + t + "}" in text}
+    used = {t: base_table(t) for t in BASE_TABLES if "{" + t + "}" in text}
     return spark.sql(text, **used)
 
 

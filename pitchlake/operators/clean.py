@@ -9,21 +9,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pitchlake.functions import casting, rules
 from pitchlake.operators.scale import first_rows
 
-CASTS: dict[str, Callable[[Column], Column]] = {
-    "string": lambda c: c,
-    "int": casting.safe_int,
-    "long": casting.safe_long,
-    "long_via_double": lambda c: casting.safe_long(c, via_double=True),
-    "double": casting.safe_double,
-    "float": casting.safe_float,
-    "date": casting.safe_date,
-    "day": casting.day_of,
+CASTS = {
+    "string": "{}",
+    "int": "try_cast({} as int)",
+    "long": "try_cast({} as bigint)",
+    "long_via_double": "try_cast(try_cast({} as double) as bigint)",
+    "double": "try_cast({} as double)",
+    "float": "try_cast({} as float)",
+    "date": "try_to_date({})",
+    "day": "to_date({})",
 }
 
 
+def literal(value: str | int) -> str:
+    """SQL literal of a default value."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return str(value)
+
+
 @dataclass(frozen=True)
 class Col:
     """One raw column and what happens to it, in this order.
@@ -45,26 +51,37 @@ class Col:
     blank: str | None = None
     fill: str | int | None = None
 
-    def expression(self, blank_as_null: bool = False) -> Column:
-        c = F.col(self.name)
+    def sql(self, blank_as_null: bool = False) -> str:
+        """The cleaned column as one SQL expression."""
+        c = f"`{self.name}`"
         if self.raw == "string":
-            c = F.trim(c)
+            c = f"trim({c})"
             if blank_as_null:
-                c = rules.blank_as_null(c)
+                c = f"nullif({c}, '')"
         if self.sentinel is not None:
-            c = rules.null_if(c, self.sentinel)
-        c = CASTS[self.kind](c)
+            c = f"nullif({c}, {literal(self.sentinel)})"
+        c = CASTS[self.kind].format(c)
         if self.lower:
-            c = F.lower(c)
+            c = f"lower({c})"
         if self.remap:
-            c = rules.remap(c, self.remap, self.remap_ignore_case)
-        if self.low is not None or self.high is not None:
-            c = rules.null_unless(c, self.low, self.high)
+            probe = f"lower({c})" if self.remap_ignore_case else c
+            arms = " ".join(
+                f"when {literal(old.lower() if self.remap_ignore_case else old)} then {literal(new)}"
+                for old, new in self.remap.items()
+            )
+            c = f"case {probe} {arms} else {c} end"
+        bounds = [
+            f"{c} {op} {bound}"
+            for op, bound in ((">=", self.low), ("<=", self.high))
+            if bound is not None
+        ]
+        if bounds:
+            c = f"case when {' and '.join(bounds)} then {c} end"
         if self.blank is not None:
-            c = rules.blank_to(c, self.blank)
+            c = f"case when coalesce({c}, '') = '' then {literal(self.blank)} else {c} end"
         if self.fill is not None:
-            c = rules.fallback(c, F.lit(self.fill))
-        return c.alias(self.name)
+            c = f"coalesce({c}, {literal(self.fill)})"
+        return f"{c} as `{self.name}`"
 
 
 @dataclass(frozen=True)
@@ -104,12 +121,13 @@ def clean(
 
     ``order_by`` makes the surviving row of a duplicate key deterministic.
     """
-    kept = [c.expression(blank_as_null) for c in spec.columns if not c.drop]
-    hidden = [F.col(c.name).alias(f"_raw_{c.name}") for c in spec.columns if c.drop and spec.derive]
-    df = raw.select(*kept, *hidden)
+    kept = [c.sql(blank_as_null) for c in spec.columns if not c.drop]
+    if spec.derive:
+        kept += [f"`{c.name}` as `_raw_{c.name}`" for c in spec.columns if c.drop]
+    df = raw.selectExpr(*kept)
     if spec.derive:
         df = df.withColumns({name: make() for name, make in spec.derive.items()})
-    df = df.select(*spec.silver_columns)
+        df = df.select(*spec.silver_columns)
     for predicate in spec.keep:
         df = df.filter(predicate())
     df = dedup(df, spec.key, order_by)

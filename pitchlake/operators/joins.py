@@ -50,8 +50,11 @@ def role(dim: DataFrame, columns: Mapping[str, str]) -> DataFrame:
 
 def lookup(df: DataFrame, dim: DataFrame, pairs: Mapping[str, str], how: str = "left") -> DataFrame:
     """Join on ``{left column: right column}`` and keep the right side's other columns."""
-    on = functools.reduce(lambda a, b: a & b, [df[a] == dim[b] for a, b in pairs.items()])
-    return df.join(dim, on, how).drop(*[dim[b] for b in pairs.values()])
+    side = dim.withColumnsRenamed({b: f"_k_{b}" for b in pairs.values()})
+    on = functools.reduce(
+        lambda x, y: x & y, [df[a] == side[f"_k_{b}"] for a, b in pairs.items()]
+    )
+    return df.join(side, on, how).drop(*[f"_k_{b}" for b in pairs.values()])
 
 
 def star_inner(fact: DataFrame, *sides: tuple[DataFrame, Mapping[str, str]]) -> DataFrame:

@@ -81,10 +81,6 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = HOT_GROUP_ROW
     )
 
 
-def _order_columns(order: Sequence[Column | str]) -> list[Column]:
-    return [F.col(o) if isinstance(o, str) else o for o in order]
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -98,7 +94,7 @@ def running(
     ``max_rows`` are range-partitioned by (keys, order) into chunks; each row then adds the sum
     inside its chunk to the sum of the chunks before it.
     """
-    keys, order = list(keys), _order_columns(order)
+    keys, order = list(keys), list(order)
     hot = hot_groups(df, keys, max_rows)
     if not hot:
         return _window_sums(df, keys, order, sums)
@@ -126,7 +122,7 @@ def _chunked_sums(df, keys, order, sums):
     inputs = {f"_in_{name}": c for name, c in sums.items()}
     chunked = (
         df.withColumns(inputs)
-        .repartitionByRange(*[F.col(k) for k in keys], *order)
+        .repartitionByRange(*keys, *order)
         .withColumn("_chunk", F.spark_partition_id())
         .checkpoint()
     )
@@ -177,7 +173,7 @@ def row_numbers(
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """The first row of every group. Each map task keeps one row per key before the shuffle."""
-    w = Window.partitionBy(*keys).orderBy(*_order_columns(order))
+    w = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
     )

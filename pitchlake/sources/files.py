@@ -73,7 +73,9 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
