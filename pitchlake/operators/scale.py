@@ -23,6 +23,8 @@ HOT_GROUP_ROWS = 5_000_000
 # At most this many groups can each hold more than 1/10,000 of all rows, so a list of the
 # largest groups has a fixed upper size. Groups after these are below one task's fair share.
 MAX_HOT_GROUPS = 10_000
+# Inputs estimated below this many bytes are not searched for large groups: one task can hold them.
+SMALL_INPUT_BYTES = 64 * 1024 * 1024
 # Broadcast bound in bytes for frames whose size the optimiser knows.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -30,7 +32,7 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimised plan."""
     stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(stats.sizeInBytes().toString())
+    return int(str(stats.sizeInBytes()))
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -71,6 +73,8 @@ def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = HOT_GROUP_ROW
 
     Reads only the key columns, combines on the map side and returns a bounded list.
     """
+    if max_rows >= HOT_GROUP_ROWS and estimated_bytes(df) <= SMALL_INPUT_BYTES:
+        return []
     return (
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -110,12 +114,12 @@ def running(
     return cold.unionByName(_chunked_sums(large, keys, order, sums))
 
 
-def _window_sums(df, keys, order, sums):
+def _window_sums(df: DataFrame, keys: list, order: list, sums: Mapping[str, Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.select("*", *[F.sum(c).over(w).alias(name) for name, c in sums.items()])
 
 
-def _chunked_sums(df, keys, order, sums):
+def _chunked_sums(df: DataFrame, keys: list, order: list, sums: Mapping[str, Column]) -> DataFrame:
     # The chunk number depends on sampled range bounds, so it is written down once: both uses
     # below, and any task that is run again, then see the same chunks.
     ensure_checkpoint_dir(df.sparkSession)

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from pitchlake.functions.calendar import date_parts, season_of, season_start
 from pitchlake.functions.keys import surrogate_key
-from pitchlake.operators.filters import keep_true
 from pitchlake.operators.joins import distinct_union, extend_dimension, lookup
 from pitchlake.operators.scale import first_rows
+from pitchlake.plans.staging import latest_valuations
 from pitchlake.plans.warehouse import Warehouse, model
 
 # A calendar longer than this is shuffled like any other table.
@@ -71,7 +71,8 @@ def dim_competitions(wh: Warehouse) -> DataFrame:
 @model
 def dim_player(wh: Warehouse) -> DataFrame:
     """Players with their latest valuation."""
-    latest = keep_true(wh.ref("stg_player_valuations"), "is_latest_valuation").select(
+    # The rows of stg_player_valuations with is_latest_valuation, without ranking all the others.
+    latest = latest_valuations(wh).select(
         "player_id",
         F.col("market_value_in_eur").alias("latest_market_value_eur"),
         F.col("valuation_date").alias("latest_valuation_date"),

@@ -9,6 +9,7 @@ from pitchlake.functions.calendar import season_label
 from pitchlake.functions.football import fee_type, known
 from pitchlake.functions.rules import coalesce_zero
 from pitchlake.operators.clean import require
+from pitchlake.operators.scale import first_rows
 from pitchlake.operators.windows import latest_per_key
 from pitchlake.plans.warehouse import Warehouse, model
 
@@ -53,15 +54,23 @@ def stg_games(wh: Warehouse) -> DataFrame:
     return wh.loaded(rows.withColumn("season_label", season_label(F.col("season"))))
 
 
+def known_valuations(wh: Warehouse) -> DataFrame:
+    rows = require(wh.source("player_valuations"), "market_value_in_eur")
+    return wh.loaded(rows.withColumnRenamed("date", "valuation_date"))
+
+
+def latest_valuations(wh: Warehouse) -> DataFrame:
+    """One row per player; map tasks already drop all but their newest row."""
+    return first_rows(known_valuations(wh), ["player_id"], [F.desc_nulls_last("valuation_date")])
+
+
 @model
 def stg_player_valuations(wh: Warehouse) -> DataFrame:
-    rows = require(wh.source("player_valuations"), "market_value_in_eur").withColumnRenamed(
-        "date", "valuation_date"
-    )
-    ranked = latest_per_key(
-        rows, ["player_id"], [F.desc_nulls_last("valuation_date")], "rn", "is_latest_valuation"
+    """All valuations with their rank and a flag on the newest."""
+    return latest_per_key(
+        known_valuations(wh), ["player_id"], [F.desc_nulls_last("valuation_date")], "rn",
+        "is_latest_valuation",
     )
-    return wh.loaded(ranked)
 
 
 @model
