@@ -9,8 +9,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.operators.joins import orphans
-
 
 @dataclass(frozen=True)
 class Check:
@@ -61,45 +59,80 @@ def relationship(column: str, parent: str, parent_column: str, severity: str = "
     return Check(column, "relationship", severity, parent=parent, parent_column=parent_column)
 
 
-def duplicate_values(df: DataFrame, column: str) -> DataFrame:
-    """Values that occur more than once; NULL is not a value."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-    )
-
-
 def run_checks(
     name: str, df: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame]
 ) -> DataFrame:
     """(model, test, severity, violations) rows.
 
-    All row tests of a table share one scan; unique and relationship tests count values first.
+    The table is read twice whatever the number of tests: once for all row tests, once for all
+    tests on values.
     """
+    on_rows = [c for c in checks if c.kind in ("not_null", "range", "values")]
+    on_values = [c for c in checks if c.kind in ("unique", "relationship")]
     parts = []
-    row_checks = [c for c in checks if c.kind in ("not_null", "range", "values")]
-    if row_checks:
-        counted = df.agg(*[F.count_if(c.broken()).alias(c.label) for c in row_checks])
-        counted = counted.unpivot([], [c.label for c in row_checks], "test", "violations")
-        severity = F.create_map(
-            *[F.lit(x) for c in row_checks for x in (c.label, c.severity)]
-        )
-        parts.append(counted.select("test", severity[F.col("test")].alias("severity"), "violations"))
+    if on_rows:
+        parts.append(_row_violations(df, on_rows))
+    if on_values:
+        parts.append(_value_violations(df, on_values, parents))
+    severity = F.create_map(*[F.lit(x) for c in checks for x in (c.label, c.severity)])
+    return functools.reduce(DataFrame.unionByName, parts).select(
+        F.lit(name).alias("model"), "test", severity[F.col("test")].alias("severity"), "violations"
+    )
+
+
+def _row_violations(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    counted = df.agg(*[F.count_if(c.broken()).alias(c.label) for c in checks])
+    return counted.unpivot([], [c.label for c in checks], "test", "violations")
+
+
+def _value_violations(
+    df: DataFrame, checks: Sequence[Check], parents: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Repeated values and values without a parent. NULL is not a value.
+
+    Equal values of a test are counted before they meet the parents, so a frequent value is one
+    row of the join.
+    """
+    tested = F.array(
+        *[
+            F.struct(F.lit(c.label).alias("test"), F.col(c.column).cast("string").alias("value"))
+            for c in checks
+        ]
+    )
+    values = (
+        df.select(F.explode(tested).alias("v")).select("v.*")
+        .filter(F.col("value").isNotNull())
+        .groupBy("test", "value").agg(F.count(F.lit(1)).alias("n"))
+    )
+    lost = F.lit(False)
+    if any(c.kind == "relationship" for c in checks):
+        known = functools.reduce(DataFrame.unionByName, _known_values(checks, parents))
+        values = values.join(known.withColumn("known", F.lit(True)), ["test", "value"], "left")
+        lost = F.col("known").isNull()
+    unique_tests = [c.label for c in checks if c.kind == "unique"]
+    broken = F.when(
+        F.col("test").isin(unique_tests), F.when(F.col("n") > 1, 1).otherwise(0)
+    ).otherwise(F.when(lost, F.col("n")).otherwise(0))
+    found = values.groupBy("test").agg(F.sum(broken).alias("violations"))
+    # A column without any value has no group and no violation.
+    every = df.sparkSession.createDataFrame([(c.label,) for c in checks], "test string")
+    return every.join(found, "test", "left").select(
+        "test", F.coalesce("violations", F.lit(0)).alias("violations")
+    )
+
+
+def _known_values(checks: Sequence[Check], parents: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """Distinct parent values, labelled by test; a parent is read once for all tests it serves."""
+    tests: dict[tuple[str, str], list[str]] = {}
     for c in checks:
-        if c.kind == "unique":
-            n = duplicate_values(df, c.column).agg(F.count(F.lit(1)).alias("violations"))
-        elif c.kind == "relationship":
-            lost = orphans(df, c.column, parents[c.parent], c.parent_column)
-            n = lost.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("violations"))
-        else:
-            continue
-        parts.append(
-            n.select(F.lit(c.label).alias("test"), F.lit(c.severity).alias("severity"), "violations")
-        )
-    report = functools.reduce(DataFrame.unionByName, parts)
-    return report.select(F.lit(name).alias("model"), "test", "severity", "violations")
+        if c.kind == "relationship":
+            tests.setdefault((c.parent, c.parent_column), []).append(c.label)
+    return [
+        parents[parent]
+        .select(F.col(column).cast("string").alias("value")).distinct()
+        .select(F.explode(F.array(*[F.lit(t) for t in labels])).alias("test"), "value")
+        for (parent, column), labels in tests.items()
+    ]
 
 
 def with_status(report: DataFrame) -> DataFrame:

@@ -46,26 +46,30 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, s
     )
 
 
-def with_totals(df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]) -> DataFrame:
-    """Add group totals to every row; NULL keys form one group.
+def with_totals(
+    df: DataFrame, groupings: Sequence[tuple[Sequence[str], Mapping[str, Column]]]
+) -> DataFrame:
+    """Add the totals of one or more groupings to every row; NULL keys form one group.
 
-    The join also compares a hash of the keys. That gives both sides an exchange of their own,
-    so AQE may split a skewed partition of the detail rows instead of leaving it to one task.
+    ``groupings`` holds (keys, {name: aggregate}) pairs. Each join also compares a hash of the
+    keys. That gives both sides an exchange of their own, so AQE may split a skewed partition of
+    the detail rows instead of leaving it to one task.
     """
-    keys = list(keys)
-    grouped = (
-        df.groupBy(*keys)
-        .agg(*[c.alias(name) for name, c in totals.items()])
-        .withColumn("_h", F.xxhash64(*keys))
-        .withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    )
-    detail = df.withColumn("_h", F.xxhash64(*keys))
-    on = (detail["_h"] == grouped["_h"]) & null_safe_on(
-        detail, grouped, [(k, f"_k_{k}") for k in keys]
-    )
-    return detail.join(grouped, on, "left").select(
-        *[detail[c] for c in df.columns], *[grouped[name] for name in totals]
-    )
+    out = df
+    for n, (keys, totals) in enumerate(groupings):
+        keys, h = list(keys), f"_h{n}"
+        grouped = (
+            df.groupBy(*keys)
+            .agg(*[c.alias(name) for name, c in totals.items()])
+            .withColumn(h, F.xxhash64(*keys))
+            .withColumnsRenamed({k: f"_k{n}_{k}" for k in keys})
+        )
+        detail = out.withColumn(f"_d{n}", F.xxhash64(*keys))
+        on = (detail[f"_d{n}"] == grouped[h]) & null_safe_on(
+            detail, grouped, [(k, f"_k{n}_{k}") for k in keys]
+        )
+        out = detail.join(grouped, on, "left").drop(h, f"_d{n}", *[f"_k{n}_{k}" for k in keys])
+    return out
 
 
 def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = HOT_GROUP_ROWS) -> list:

@@ -27,7 +27,7 @@ def partition_totals(
     df: DataFrame, keys: Sequence[str], totals: Mapping[str, Column]
 ) -> DataFrame:
     """Whole-group totals on every detail row (``SUM(...) OVER (PARTITION BY ...)``)."""
-    return with_totals(df, keys, totals)
+    return with_totals(df, [(keys, totals)])
 
 
 def running_totals(

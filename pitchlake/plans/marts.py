@@ -10,6 +10,7 @@ from pitchlake.functions.rules import ratio
 from pitchlake.operators.aggregates import sum_if, totals_then_names
 from pitchlake.operators.joins import lookup, role, star_inner
 from pitchlake.operators.reshape import views
+from pitchlake.operators.scale import with_totals
 from pitchlake.operators.windows import partition_totals
 from pitchlake.plans.warehouse import Warehouse, model
 
@@ -154,9 +155,12 @@ def mart_club_transfer_spending(wh: Warehouse) -> DataFrame:
         {"sk_date": "d_key"},
     )
     fee = F.sum("transfer_fee_eur")
-    spent = partition_totals(dated, ["sk_to_club", "transfer_season"], {"total_spent_that_season": fee})
-    both = partition_totals(
-        spent, ["sk_from_club", "transfer_season"], {"total_received_that_season": fee}
+    both = with_totals(
+        dated,
+        [
+            (["sk_to_club", "transfer_season"], {"total_spent_that_season": fee}),
+            (["sk_from_club", "transfer_season"], {"total_received_that_season": fee}),
+        ],
     )
     named = lookup(
         lookup(

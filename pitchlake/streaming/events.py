@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.functions import casting, football, rules
-from pitchlake.operators.clean import flatten, require, stamp, with_literals
+from pitchlake.operators.clean import flatten, stamp, with_literals
 from pitchlake.streaming.schemas import EVENT_SCHEMA, FLOAT_FIELDS, INT_FIELDS
 
 # Minutes a live event may carry; extra time plus stoppage ends before 130.
@@ -54,15 +54,18 @@ def parse_json(raw: DataFrame, column: str = "raw_json") -> DataFrame:
     return flatten(parsed, "_event", *kept)
 
 
+def valid_minute(c: Column) -> Column:
+    return rules.null_unless(casting.safe_int(c, via_double=True), FIRST_MINUTE, LAST_MINUTE)
+
+
 def typed_event(ids_via_double: bool = False) -> dict[str, Column]:
     """Typed and derived columns of a parsed event."""
     number = {c: casting.safe_int(F.col(c), via_double=ids_via_double) for c in INT_FIELDS}
-    minute = casting.safe_int(F.col("minute"), via_double=True)
     return {
         **number,
         **{c: casting.safe_float(F.col(c)) for c in FLOAT_FIELDS},
         "game_date": casting.safe_date(F.col("game_date")),
-        "minute": rules.null_unless(minute, FIRST_MINUTE, LAST_MINUTE),
+        "minute": valid_minute(F.col("minute")),
         "event_type": F.lower(F.trim("event_type")),
         "season_count": football.season_counter(F.col("description")),
         "penalty_result": football.penalty_result(F.col("description")),
@@ -79,8 +82,20 @@ def parse_events(
     Rows without event id, match id or a valid minute are dropped, so malformed messages never
     reach later state as NULL keys. ``ids_via_double`` also accepts ids written as ``7.0``.
     """
-    typed = parse_json(raw).withColumns(typed_event(ids_via_double))
-    return stamp(require(typed, "game_event_id", "game_id", "minute"), "_silver_processed_at", now)
+
+    def valid(event: Column) -> Column:
+        return (
+            event["game_event_id"].isNotNull()
+            & casting.safe_int(event["game_id"], ids_via_double).isNotNull()
+            & valid_minute(event["minute"]).isNotNull()
+        )
+
+    # The gate sits inside the generator: a filter above it would be pushed below the parsing
+    # and parse the text again for each gated field.
+    parsed = F.array(F.from_json("raw_json", EVENT_SCHEMA))
+    kept = [c for c in raw.columns if c != "raw_json"]
+    events = raw.select(F.inline(F.filter(parsed, valid)), *kept)
+    return stamp(events.withColumns(typed_event(ids_via_double)), "_silver_processed_at", now)
 
 
 def event_time() -> Column:
