@@ -15,7 +15,7 @@ from pitchlake.operators import filters, limits
 from pitchlake.plans.specs import SPECS
 from pitchlake.sources import files
 from pitchlake.session import work_path
-from pitchlake.streaming.events import to_event_json
+from pitchlake.streaming.events import in_match_order, to_event_json
 
 # --- sources and sinks ---------------------------------------------------------------------------
 
@@ -129,7 +129,7 @@ def _(ctx):
     rows = ctx.raw("game_events").select(
         "game_event_id", "game_id", "minute", "club_name", "description"
     )
-    return to_event_json(rows, ("game_id", "minute"), now=RUN_TS)
+    return to_event_json(in_match_order(rows), ("game_id", "minute"), now=RUN_TS)
 
 
 # --- projections ---------------------------------------------------------------------------------

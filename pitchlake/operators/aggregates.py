@@ -166,25 +166,29 @@ def iqr_outliers(
         F.max(F.when(F.col("probability") == 0.75, F.col("value"))).alias("q3"),
     )
     spread = F.col("q3") - F.col("q1")
-    one_row = bounds.agg(
-        *[
-            F.max(F.when(F.col("column") == c, v)).alias(f"{n}__{c}")
-            for c in columns
-            for n, v in (
-                ("low", F.col("q1") - 1.5 * spread),
-                ("high", F.col("q3") + 1.5 * spread),
+    limits = bounds.agg(
+        F.map_from_entries(
+            F.collect_list(  # one entry per column
+                F.struct(
+                    "column",
+                    F.struct(
+                        (F.col("q1") - 1.5 * spread).alias("low"),
+                        (F.col("q3") + 1.5 * spread).alias("high"),
+                    ),
+                )
             )
-        ]
-    )
-    counted = df.select(*columns).join(F.broadcast(one_row)).agg(
+        )
+    ).scalar()
+    limited = df.select(*columns, limits.alias("_limits"))
+    counted = limited.agg(
         *[
             m
             for c in columns
             for m in (
-                F.max(F.col(f"low__{c}")).alias(f"lower__{c}"),
-                F.max(F.col(f"high__{c}")).alias(f"upper__{c}"),
+                F.max(F.col("_limits")[c]["low"]).alias(f"lower__{c}"),
+                F.max(F.col("_limits")[c]["high"]).alias(f"upper__{c}"),
                 F.count_if(
-                    (F.col(c) < F.col(f"low__{c}")) | (F.col(c) > F.col(f"high__{c}"))
+                    (F.col(c) < F.col("_limits")[c]["low"]) | (F.col(c) > F.col("_limits")[c]["high"])
                 ).alias(f"outliers__{c}"),
                 F.count(F.lit(1)).alias(f"rows__{c}"),
             )

@@ -106,9 +106,11 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_column: str
 
 
 def with_global(df: DataFrame, **aggregates: Column) -> DataFrame:
-    """Add whole-table aggregates to every row (a one-row side, so its broadcast is bounded)."""
-    one_row = df.agg(*[c.alias(name) for name, c in aggregates.items()])
-    return df.join(F.broadcast(one_row))
+    """Add whole-table aggregates to every row, as scalar subqueries that stay lazy.
+
+    Spark merges subqueries over the same table into one.
+    """
+    return df.withColumns({name: df.agg(c).scalar() for name, c in aggregates.items()})
 
 
 def merge_dims(first: DataFrame, second: DataFrame, key: str, shared: Sequence[str]) -> DataFrame:

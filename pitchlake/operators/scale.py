@@ -106,12 +106,16 @@ def running(
     hot = hot_groups(df, keys, max_rows)
     if not hot:
         return _window_sums(df, keys, order, sums)
-    spark = df.sparkSession
-    key_fields = [df.schema[k] for k in keys]
-    hot_keys = spark.createDataFrame(
-        [tuple(row[k] for k in keys) for row in hot], type(df.schema)(key_fields)
-    ).withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    hot_keys = F.broadcast(hot_keys)  # at most MAX_HOT_GROUPS rows
+    return _split_sums(df, keys, order, sums, hot)
+
+
+def _split_sums(
+    df: DataFrame, keys: list, order: list, sums: Mapping[str, Column], hot: list
+) -> DataFrame:
+    schema = type(df.schema)([df.schema[k] for k in keys])
+    hot_keys = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
+    # At most MAX_HOT_GROUPS rows, so the broadcast is bounded.
+    hot_keys = F.broadcast(hot_keys.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
     on = null_safe_on(df, hot_keys, [(k, f"_k_{k}") for k in keys])
     cold = _window_sums(df.join(hot_keys, on, "left_anti"), keys, order, sums)
     large = df.join(hot_keys, on, "left_semi")
@@ -175,8 +179,12 @@ def row_numbers(
     max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``row_number()`` for every row of every group."""
-    ranked = running(df, keys, order, {name: F.lit(1)}, max_rows)
-    return ranked.withColumn(name, F.col(name).cast("int"))
+    keys, order = list(keys), list(order)
+    hot = hot_groups(df, keys, max_rows)
+    if hot:
+        ranked = _split_sums(df, keys, order, {name: F.lit(1)}, hot)
+        return ranked.withColumn(name, F.col(name).cast("int"))
+    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import time
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -159,15 +161,21 @@ def merge_partitions(
     content is first written to ``stage``, a path that names this delta. A run that was broken
     off is repeated with the same ``stage``: once staged, only the publishing is done again.
     """
+    # The delta is used several times, so it is written down once; a repeated run reads it again.
+    staged_delta = VersionedTable(spark, f"{stage}/delta")
+    if staged_delta.read() is None:
+        staged_delta.write(delta)
+    delta = staged_delta.read()
     target = spark.read.parquet(path)
     held = target.select(*key, partition).join(delta.select(*key), list(key), "left_semi")
-    staging = VersionedTable(spark, stage)
+    staging = VersionedTable(spark, f"{stage}/rows")
     if staging.read() is None:
         touched = _values(held.select(partition).union(delta.select(partition)))
         staging.write(merge_upsert(target.filter(_any_of(partition, touched)), delta, key))
     staged = staging.read()
     # Every row of these partitions has moved elsewhere, so no new content replaces their files.
-    emptied = [v for v in _values(held.select(partition)) if v not in _values(staged.select(partition))]
+    filled = _values(staged.select(partition))
+    emptied = [v for v in _values(held.select(partition)) if v not in filled]
     stale = [
         r[0]
         for r in target.filter(_any_of(partition, emptied))
@@ -182,6 +190,30 @@ def merge_partitions(
         file_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file_path, False)
 
 
+def build_partitions(
+    spark: SparkSession,
+    path: str,
+    stage: str,
+    rows: DataFrame,
+    key: Sequence[str],
+    partition: str,
+    ts: str = "loaded_at",
+) -> DataFrame:
+    """Incremental build of a large table: later runs rewrite only the partitions they touch."""
+    newest = [F.desc(ts), *rows.drop(ts).columns]
+    if not path_exists(spark, path):
+        first_rows(rows, key, newest).write.partitionBy(partition).parquet(path)
+    else:
+        delta = first_rows(since_last(rows, spark.read.parquet(path), ts), key, newest)
+        merge_partitions(spark, path, stage, delta, key, partition)
+    return spark.read.parquet(path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def _values(one_column: DataFrame) -> list:
     """Distinct partition values: one per partition of the table."""
     return [r[0] for r in one_column.distinct().collect()]
@@ -207,18 +239,25 @@ RUN_SCHEMA = "table string, status string, seconds double, rows bigint, error st
 
 
 def run_tables(
-    spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]]
+    spark: SparkSession, jobs: Mapping[str, Callable[[], DataFrame]], at_once: int = 1
 ) -> DataFrame:
-    """Run named jobs one after another; a failure is recorded and the next job still runs.
+    """Run named jobs; a failure is recorded and the other jobs still run.
 
-    Each job writes its table and returns it; the result has one row per job.
+    Each job writes its table and returns it; the result has one row per job. With ``at_once``
+    above 1 independent tables share the cluster, so the tail of one does not idle it.
     """
-    results = []
-    for name, job in jobs.items():
+
+    def run(name: str) -> tuple:
         started = time.monotonic()
         try:
-            rows, status, error = job().count(), "ok", None
+            rows, status, error = jobs[name]().count(), "ok", None
         except Exception as exc:  # noqa: BLE001 - every failure belongs in the report
             rows, status, error = None, "failed", str(exc).splitlines()[0]
-        results.append((name, status, time.monotonic() - started, rows, error))
+        return name, status, time.monotonic() - started, rows, error
+
+    if at_once == 1:
+        results = [run(name) for name in jobs]
+    else:
+        with ThreadPoolExecutor(at_once) as pool:
+            results = list(pool.map(inheritable_thread_target(spark)(run), jobs))
     return spark.createDataFrame(results, RUN_SCHEMA)

@@ -96,10 +96,19 @@ JOIN_KEYS: Mapping[str, tuple[str, ...]] = {
 PER_GAME = ("game_events", "games", "game_lineups", "club_games")
 
 
+IDS = {key for keys in JOIN_KEYS.values() for key in keys}
+
+
 def _selected(raw: Mapping[str, DataFrame], sample: DataFrame | None) -> dict[str, DataFrame]:
+    """The wanted columns of every table; ids as trimmed text, whatever type a table was read with."""
     out = {}
     for table, names in SELECTIONS.items():
-        df = raw[table].select(*[F.col(old).alias(new) for old, new in names.items()])
+        df = raw[table].select(
+            *[
+                (F.trim(F.col(old).cast("string")) if new in IDS else F.col(old)).alias(new)
+                for old, new in names.items()
+            ]
+        )
         if sample is not None and table in PER_GAME:
             df = keep_keys(df, sample, "game_id")
         out[table] = df
@@ -110,7 +119,8 @@ def game_sample(raw: Mapping[str, DataFrame], n: int | None, seed: int) -> DataF
     """``n`` match ids for a demo feed; the limit bounds the broadcast. None keeps every match."""
     if n is None:
         return None
-    return F.broadcast(sample_keys(raw["game_events"], "game_id", n, seed))
+    events = raw["game_events"].select(F.trim(F.col("game_id").cast("string")).alias("game_id"))
+    return F.broadcast(sample_keys(events, "game_id", n, seed))
 
 
 def enriched_events(

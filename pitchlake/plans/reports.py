@@ -32,11 +32,9 @@ def player_totals(mart: DataFrame, players: DataFrame) -> DataFrame:
     sums = mart.agg(
         *[F.sum(c).alias(c) for c in ("total_goals", "total_assists", "total_yellow_cards")]
     )
-    people = players.agg(
-        F.count(F.lit(1)).alias("players"),
-        F.sum("latest_market_value_eur").alias("total_market_value_eur"),
-    )
-    return sums.join(F.broadcast(people))  # one row each
+    people = players.agg(F.count(F.lit(1))).scalar()
+    value = players.agg(F.sum("latest_market_value_eur")).scalar()
+    return sums.withColumns({"players": people, "total_market_value_eur": value})
 
 
 def club_rates(mart: DataFrame) -> DataFrame:

@@ -41,6 +41,12 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, max_per_trigger:
     return spark.readStream.format("kafka").options(**options).load()
 
 
+def send_topic(messages: DataFrame, servers: str, topic: str) -> None:
+    """Write a ``value`` column to a topic. Needs the Kafka connector on the class path."""
+    options = {"kafka.bootstrap.servers": servers, "topic": topic}
+    messages.select("value").write.format("kafka").options(**options).save()
+
+
 def stream_text(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A folder of line-separated messages as a stream with a ``value`` column."""
     reader = spark.readStream.format("text")

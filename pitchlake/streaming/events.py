@@ -34,6 +34,11 @@ def to_event_json(
     )
 
 
+def in_match_order(df: DataFrame, game: str = "game_id", minute: str = "minute") -> DataFrame:
+    """Rows of a match together and by minute, in partitions of similar size."""
+    return df.repartitionByRange(game, minute).sortWithinPartitions(game, minute)
+
+
 def raw_ingest(
     messages: DataFrame,
     topic: str = "real_match_events",

@@ -117,6 +117,12 @@ def test_a_failed_job_does_not_stop_the_run(spark):
         ("a", "ok", 3, None), ("b", "failed", None, "bad file"), ("c", "ok", 0, None)]
 
 
+def test_jobs_may_share_the_cluster(spark):
+    jobs = {f"t{n}": (lambda n=n: spark.range(n)) for n in range(5)}
+    report = run_tables(spark, jobs, at_once=3)
+    assert [(r["table"], r["rows"]) for r in report.collect()] == [(f"t{n}", n) for n in range(5)]
+
+
 def test_materialize(spark, tmp_path):
     view = materialize(spark.range(2), "two_rows", "view")
     assert spark.table("two_rows").count() == view.count()
