@@ -77,7 +77,7 @@ def _(ctx):
 
 
 @check(
-    "q_load_raw", "SRC-4 G-14",
+    "q_load_raw", "SRC-4",
     """select club_id, club_name, cast(null as integer) as founded from (
            select cast(s_suppkey as integer) as club_id, s_name as club_name from supplier)""",
 )

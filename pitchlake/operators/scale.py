@@ -47,11 +47,15 @@ def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, s
 
 
 def with_totals(
-    df: DataFrame, groupings: Sequence[tuple[Sequence[str], Mapping[str, Column]]]
+    df: DataFrame,
+    groupings: Sequence[tuple[Sequence[str], Mapping[str, Column]]],
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add the totals of one or more groupings to every row; NULL keys form one group.
 
-    ``groupings`` holds (keys, {name: aggregate}) pairs. Each join also compares a hash of the
+    ``groupings`` holds (keys, {name: aggregate}) pairs. ``source`` is an aggregate of ``df`` by
+    all their keys together: the groupings then share its one exchange instead of each reading
+    ``df`` again. Each join also compares a hash of the
     keys. That gives both sides an exchange of their own, so AQE may split a skewed partition of
     the detail rows instead of leaving it to one task.
     """
@@ -59,7 +63,7 @@ def with_totals(
     for n, (keys, totals) in enumerate(groupings):
         keys, h = list(keys), f"_h{n}"
         grouped = (
-            df.groupBy(*keys)
+            (df if source is None else source).groupBy(*keys)
             .agg(*[c.alias(name) for name, c in totals.items()])
             .withColumn(h, F.xxhash64(*keys))
             .withColumnsRenamed({k: f"_k{n}_{k}" for k in keys})

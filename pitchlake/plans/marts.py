@@ -154,13 +154,17 @@ def mart_club_transfer_spending(wh: Warehouse) -> DataFrame:
         role(wh.ref("dim_date"), {"sk_date": "d_key", "season_label": "transfer_season"}),
         {"sk_date": "d_key"},
     )
-    fee = F.sum("transfer_fee_eur")
+    moves = dated.groupBy("sk_to_club", "sk_from_club", "transfer_season").agg(
+        F.sum("transfer_fee_eur").alias("fee")
+    )
+    fee = F.sum("fee")
     both = with_totals(
         dated,
         [
             (["sk_to_club", "transfer_season"], {"total_spent_that_season": fee}),
             (["sk_from_club", "transfer_season"], {"total_received_that_season": fee}),
         ],
+        source=moves,
     )
     named = lookup(
         lookup(

@@ -1,4 +1,7 @@
-"""The twelve cleaned tables. Column order is the order in the raw files."""
+"""The twelve cleaned tables.
+
+Fixed values: column names, their order in the raw files, keys, default texts and limits.
+"""
 
 from __future__ import annotations
 

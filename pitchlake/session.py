@@ -15,6 +15,9 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles methods above 8000 bytes of bytecode; beyond that size operators are
+    # faster one by one than fused into a method that stays interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Stream state beyond the heap goes to local disk and to the checkpoint.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
