@@ -25,8 +25,6 @@ HOT_GROUP_ROWS = 5_000_000
 MAX_HOT_GROUPS = 10_000
 # Inputs estimated below this many bytes are not searched for large groups: one task can hold them.
 SMALL_INPUT_BYTES = 64 * 1024 * 1024
-# Broadcast bound in bytes for frames whose size the optimiser knows.
-BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -35,11 +33,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(stats.sizeInBytes()))
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only for a frame of checked size; otherwise the planner shuffles."""
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return functools.reduce(
         lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs]

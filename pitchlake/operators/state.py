@@ -176,18 +176,15 @@ def merge_partitions(
     # Every row of these partitions has moved elsewhere, so no new content replaces their files.
     filled = _values(staged.select(partition))
     emptied = [v for v in _values(held.select(partition)) if v not in filled]
-    stale = [
-        r[0]
-        for r in target.filter(_any_of(partition, emptied))
-        .select("_metadata.file_path").distinct().collect()
-    ] if emptied else []
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    stale = _values(target.filter(_any_of(partition, emptied)).select(folder)) if emptied else []
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         partition
     ).parquet(path)
     jvm = spark._jvm
-    for file in stale:
-        file_path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        file_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(file_path, False)
+    for partition_folder in stale:
+        old = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(partition_folder))
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def build_partitions(

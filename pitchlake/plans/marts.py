@@ -31,7 +31,8 @@ def mart_player_performance(wh: Warehouse) -> DataFrame:
         (
             role(
                 wh.ref("dim_date"),
-                {"sk_date": "d_key", "season_label": "season", "season_start_year": "season_start_year"},
+                {"sk_date": "d_key", "season_label": "season",
+                 "season_start_year": "season_start_year"},
             ),
             {"sk_date": "d_key"},
         ),
@@ -41,7 +42,10 @@ def mart_player_performance(wh: Warehouse) -> DataFrame:
         return star_inner(
             totals,
             (wh.ref("dim_player").select("sk_player", *PLAYER_ATTRIBUTES), {"sk_player": "sk_player"}),
-            (role(wh.ref("dim_club"), {"sk_club": "c_key", "club_name": "club_at_time"}), {"sk_club": "c_key"}),
+            (
+                role(wh.ref("dim_club"), {"sk_club": "c_key", "club_name": "club_at_time"}),
+                {"sk_club": "c_key"},
+            ),
         )
 
     n, goals, minutes = F.sum("n"), F.sum("goals"), F.sum("minutes_played")

@@ -79,13 +79,13 @@ def goals_balance(mart: DataFrame) -> DataFrame:
 
 def transfer_totals(transfers: DataFrame) -> DataFrame:
     """Number, sum and largest fee; the smallest player id settles equal fees."""
-    biggest = F.max_by(F.struct("player_id", "player_name"), F.struct("transfer_fee_eur", -F.col("player_id")))
+    biggest = F.max_by("player_id", F.struct("transfer_fee_eur", -F.col("player_id")))
     return transfers.agg(
         F.count(F.lit(1)).alias("transfers"),
         F.sum("transfer_fee_eur").alias("total_fee_eur"),
         F.max("transfer_fee_eur").alias("largest_fee_eur"),
-        biggest.alias("b"),
-    ).select("transfers", "total_fee_eur", "largest_fee_eur", F.col("b.player_id").alias("player_id"))
+        biggest.alias("player_id"),
+    )
 
 
 def net_spend(transfers: DataFrame) -> DataFrame:

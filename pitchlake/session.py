@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A dimension's keys up to this estimate go to every executor instead of shuffling the fact.
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
     # The JVM never compiles methods above 8000 bytes of bytecode; beyond that size operators are
     # faster one by one than fused into a method that stays interpreted.
     "spark.sql.codegen.hugeMethodLimit": "8000",

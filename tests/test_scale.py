@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pitchlake.operators import joins, limits, windows
 from pitchlake.operators.aggregates import constant_cols, iqr_outliers, summary
 from pitchlake.operators.scale import (
-    broadcast_if_small, exact_quantiles, first_rows, hot_groups, row_numbers, running, with_totals,
+    exact_quantiles, first_rows, hot_groups, row_numbers, running, with_totals,
 )
 from conftest import rows
 
@@ -173,12 +173,6 @@ def test_orphans_ignore_null(spark):
     assert rows(joins.orphans(child, "c", parent, "p")) == [(5, 2)]
 
 
-def test_broadcast_hint_needs_a_small_estimate(spark):
-    small, large = spark.range(10), spark.range(10**9)
-    assert "ResolvedHint" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(large)._jdf.queryExecution().analyzed().toString()
-
-
 def test_aqe_splits_the_hot_group(spark):
     """A third of the rows share one key; the join of the totals handles it in several tasks."""
     df = spark.range(0, 300_000, 1, 8).selectExpr(
@@ -203,3 +197,30 @@ def test_aqe_splits_the_hot_group(spark):
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert "skew=true" in plan
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    """Staging on stored tables: the key gate and the used columns go into the Parquet scan."""
+    from pitchlake.operators.clean import clean
+    from pitchlake.plans import dimensions, facts, marts, staging  # noqa: F401
+    from pitchlake.plans.specs import SPECS
+    from pitchlake.plans.warehouse import Warehouse
+
+    for name, spec in SPECS.items():
+        raw = spark.createDataFrame([], spec.raw_schema)
+        clean(raw, spec).write.parquet(str(tmp_path / name))
+    stored = {n: spark.read.parquet(str(tmp_path / n)) for n in SPECS}
+    wh = Warehouse(spark, stored)
+    scan = plan_of(wh.ref("stg_appearances").select("player_id", "goals"))
+    assert "IsNotNull(appearance_id)" in scan and "IsNotNull(player_id)" in scan
+    assert "ReadSchema: struct<appearance_id:string,game_id:int,player_id:int,goals:int>" in scan
+    # Small stored dimensions are broadcast: the fact is not shuffled to find its keys.
+    fact = plan_of(wh.ref("fact_matches"))
+    assert fact.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in fact
+    # The mart adds up ids before it joins names.
+    mart = plan_of(wh.ref("mart_club_match_stats"))
+    assert mart.index("club_name") < mart.index("HashAggregate(keys=[club_id")
