@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pitchlake.llm import decontaminate, mixing, secrets, substrings, topk
-from pitchlake.llm.common import table
+from pitchlake.llm import classlm, decontaminate, mixing, neardup, secrets, substrings, topk
+from pitchlake.llm.common import crc_mod, table
+
+
+def op2_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +28,12 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.digest(substrings.remove_repeats(docs))
 
 
+def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return classlm.score(
+        docs.withColumn("held", F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))), "held")
+
+
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -33,9 +44,11 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_odd_sketches": op2_odd_sketches,
     "op4_decontaminate": op4_decontaminate,
     "op5_secrets": op5_secrets,
     "op6_substring_dedup": op6_substring_dedup,
+    "op7_class_lm": op7_class_lm,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_topk": op9_topk,
 }
