@@ -9,15 +9,13 @@ fixed size; word counts within classes are exact.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm import tokens
-from pitchlake.llm.common import CHUNK_CHARS, materialise
+from pitchlake.llm.common import CHUNK_CHARS, added_tables, materialise
 
 CLASSES = 32
 #: Hash buckets of words; all words of one bucket have the same class.
@@ -55,50 +53,11 @@ def _previous(classes: np.ndarray, first: np.ndarray, classes_n: int) -> np.ndar
     return out
 
 
-#: Pieces in which a task hands over its table, so that no reducer adds up a whole one.
-SLICES = 16
-
-
-def _added(docs: DataFrame, cells: int, count) -> np.ndarray:
-    """The sum over all tasks of the table of ``cells`` counts that ``count(words, first)`` gives."""
-    edges = np.linspace(0, cells, SLICES + 1).astype(np.int64)
-
-    def table(batches):
-        total = np.zeros(cells, np.int64)
-        for batch in tokens.pieces(batches, 8_000_000):
-            h, first = _text_words(batch.column(0))
-            if len(h):
-                total += count(h, first)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(range(SLICES), pa.int32()),
-            pa.array([total[a:b].tobytes() for a, b in zip(edges, edges[1:], strict=False)],
-                     pa.binary()),
-        ], ["slice", "data"])
-
-    def add(
-        key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]
-    ) -> Iterator[pa.RecordBatch]:
-        total = 0
-        for batch in batches:  # a batch at a time, however many tasks there were
-            for x in batch.column(1):
-                total = total + np.frombuffer(x.as_buffer(), np.int64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())],
-            ["slice", "data"])
-
-    rows = (
-        docs.select("text").mapInArrow(table, "slice int, data binary")
-        .groupBy("slice").applyInArrow(add, "slice int, data binary").collect()
-    )  # a table of fixed size
-    out = np.zeros(cells, np.int64)
-    for i, data in rows:
-        out[edges[i] : edges[i + 1]] = np.frombuffer(data, np.int64)
-    return out
-
-
 def bucket_counts(docs: DataFrame) -> np.ndarray:
     """Words of all rows by bucket."""
-    return _added(docs, BUCKETS + 1, lambda h, _: np.bincount(_bucket(h), minlength=BUCKETS + 1))
+    return added_tables(
+        docs.select("text"), BUCKETS + 1,
+        lambda texts: np.bincount(_bucket(_text_words(texts)[0]), minlength=BUCKETS + 1))
 
 
 def neighbour_counts(docs: DataFrame, assigned: np.ndarray, classes: int):
@@ -108,7 +67,8 @@ def neighbour_counts(docs: DataFrame, assigned: np.ndarray, classes: int):
     width = classes + 1
     cells = (BUCKETS + 1) * 2 * width
 
-    def count(h, first):
+    def count(texts):
+        h, first = _text_words(texts)
         b = _bucket(h)
         c = sent.value[b]
         out = np.bincount((b * 2 + 1) * width + _previous(c, first, classes), minlength=cells)
@@ -117,7 +77,7 @@ def neighbour_counts(docs: DataFrame, assigned: np.ndarray, classes: int):
         at = np.flatnonzero(followed)
         return out + np.bincount(b[at] * 2 * width + c[at + 1], minlength=cells)
 
-    table = _added(docs, cells, count).reshape(BUCKETS + 1, 2, width)
+    table = added_tables(docs.select("text"), cells, count).reshape(BUCKETS + 1, 2, width)
     return table[:, 0], table[:, 1]
 
 

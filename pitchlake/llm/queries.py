@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import classlm, decontaminate, mixing, neardup, secrets, substrings, topk
+from pitchlake.llm import classlm, decontaminate, mixing, neardup, secrets, substrings, topk, toxicity
 from pitchlake.llm.common import crc_mod, table
 
 
@@ -13,6 +13,16 @@ def op2_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(
+        docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
+    score = F.col("__toxicity")
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"),
+        score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(
@@ -45,6 +55,7 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_odd_sketches": op2_odd_sketches,
+    "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
     "op5_secrets": op5_secrets,
     "op6_substring_dedup": op6_substring_dedup,
