@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import classlm, decontaminate, mixing, neardup, secrets, substrings, topk, toxicity
+from pitchlake.llm import classlm, decontaminate, mixing, neardup, quality, secrets, substrings, topk, toxicity
 from pitchlake.llm.common import crc_mod, table
 
 
@@ -53,6 +53,15 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 4) != 2)
+    score = F.col("__quality")
+    return quality.score(docs, model).select(
+        "doc_id", F.coalesce(crc_mod(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"),
+        score.alias("score"), (score >= 0.7).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op2_odd_sketches": op2_odd_sketches,
     "op3_toxicity": op3_toxicity,
@@ -62,5 +71,6 @@ QUERIES = {
     "op7_class_lm": op7_class_lm,
     "op8_pfair_mix": op8_pfair_mix,
     "op9_topk": op9_topk,
+    "op10_quality": op10_quality,
 }
 SQL: dict[str, str] = {}

@@ -19,14 +19,14 @@ from pitchlake.llm import tokens
 from pitchlake.llm.common import added_tables, sampled_labels
 
 #: Labelled rows that the model is fitted on, at most; a quarter of them trains the network.
-TRAIN_ROWS = 24_000
+TRAIN_ROWS = 12_000
 NETWORK_SHARE = 4
 #: Windows of a training text that can be shown to the network, spread over the text.
 TRAIN_WINDOWS = 48
 WINDOW, STRIDE = 64, 48
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 16, 1 << 16
 HIDDEN, ATTENTION, INPUTS = 8, 8, 6
-ROUNDS, EPOCHS, BATCH, RATE = 2, 5, 128, 0.01
+ROUNDS, EPOCHS, BATCH, RATE = 2, 5, 192, 0.015
 
 _U = np.uint64
 
@@ -144,7 +144,8 @@ def _windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    with np.errstate(over="ignore"):  # exp of a large number is inf, and its inverse 0
+        return 1 / (1 + np.exp(-x))
 
 
 def new_network(seed: int = 7) -> dict[str, np.ndarray]:
@@ -205,13 +206,12 @@ def _forward(net: dict, projected: dict, lengths: np.ndarray, trace: dict | None
 
 
 def _gradients(net: dict, x: np.ndarray, lengths: np.ndarray, labels: np.ndarray, pull: np.ndarray):
-    """(loss, gradients) of weighted logistic loss over windows ``x`` (window, step, input)."""
+    """Gradients of the weighted logistic loss over windows ``x`` (window, step, input)."""
     h = HIDDEN
     projected = {w: (lambda t, w=w: x[:, t] @ net[f"w{w}"] + net[f"c{w}"]) for w in "fb"}
     trace: dict = {}
     logit = _forward(net, projected, lengths, trace)
     p = _sigmoid(logit)
-    loss = -(pull * (labels * np.log(p + 1e-9) + (1 - labels) * np.log(1 - p + 1e-9))).sum()
     grad = {k: np.zeros_like(v) for k, v in net.items()}
     d_logit = pull * (p - labels)
     grad["o"] += trace["pooled"].T @ d_logit
@@ -240,50 +240,42 @@ def _gradients(net: dict, x: np.ndarray, lengths: np.ndarray, labels: np.ndarray
             grad[f"u{w}"][:, 2 * h :] += (r * state).T @ d_c
             d_state = (
                 np.where(live, d_new * z, d_new) + through * r + gates[:, : 2 * h] @ u[:, : 2 * h].T)
-    return loss, grad
+    return grad
 
 
-def _train(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed: int = 11):
-    """Fit the network on texts given as (inputs of the words, windows' starts), and a text's
-    calibration: slope and offset for the largest logit of its windows.
+def _train(x: np.ndarray, lengths: np.ndarray, owner: np.ndarray, labels: np.ndarray):
+    """Fit the network on windows ``x`` (window, step, input) of texts ``owner``, ascending; and the
+    calibration of a text, slope and offset for the largest logit of its windows.
 
     In each round a text is represented by the window that looks most toxic so far; clean texts
     also show one at random.
     """
-    rng = np.random.default_rng(seed)
+    rng = np.random.default_rng(11)
     net = new_network()
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.items()}
     toxic = max(float(labels.sum()), 1.0)
     clean = max(float(len(labels) - labels.sum()), 1.0)
-
-    def window(text, at):
-        x = np.zeros((WINDOW, INPUTS), np.float32)
-        part = text[0][at : at + WINDOW]
-        x[: len(part)] = part
-        return x, len(part)
-
+    first = np.searchsorted(owner, np.arange(len(labels)))
+    count = np.diff(np.append(first, len(owner)))
+    inside = np.arange(WINDOW)[None, :] < lengths[:, None]
     step = 0
     for turn in range(ROUNDS):
-        shown = []
-        for text, label in zip(texts, labels, strict=True):
-            if turn == 0:  # the window with the most evidence of any kind
-                value = [
-                    text[0][a : a + WINDOW, 0].max(initial=-9) + text[0][a : a + WINDOW, 2].max(
-                        initial=-9) for a in text[1]]
-            else:
-                value = _logits_of(net, text)
-            shown.append((*window(text, text[1][int(np.argmax(value))]), label))
-            if not label:
-                shown.append((*window(text, rng.choice(text[1])), label))
-        x = np.stack([s[0] for s in shown])
-        lengths = np.array([s[1] for s in shown])
-        target = np.array([s[2] for s in shown], np.float32)
+        if turn == 0:  # the window with the most evidence of any kind
+            value = sum(np.where(inside, x[:, :, k], -9).max(axis=1) for k in (0, 2))
+        else:
+            value = _logits(net, x, lengths)
+        by_value = np.lexsort((-value, owner))
+        other = first + (rng.random(len(labels)) * count).astype(np.int64)
+        shown = np.concatenate((by_value[first], other[labels == 0]))
+        target = labels[owner[shown]]
         pull = np.where(target > 0, 0.5 / toxic, 0.25 / clean).astype(np.float32)
         for epoch in range(EPOCHS):
             rate = RATE * 0.5 ** (turn + epoch / EPOCHS)
-            for rows in np.array_split(rng.permutation(len(x)), max(1, len(x) // BATCH)):
-                _, grad = _gradients(
-                    net, x[rows], lengths[rows], target[rows], pull[rows] * len(x) / len(rows))
+            for rows in np.array_split(rng.permutation(len(shown)), max(1, len(shown) // BATCH)):
+                w = shown[rows]
+                grad = _gradients(
+                    net, x[w].astype(np.float32), lengths[w], target[rows],
+                    pull[rows] * len(shown) / len(rows))
                 step += 1
                 for k, g in grad.items():
                     g = g + 1e-4 * net[k]
@@ -293,18 +285,18 @@ def _train(texts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, seed:
                     net[k] = net[k] - (
                         rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
                     ).astype(np.float32)
-    best = np.array([float(np.max(_logits_of(net, t))) for t in texts])
+    best = np.maximum.reduceat(_logits(net, x, lengths), first).astype(float)
     return net, _calibrated(best, labels)
 
 
-def _logits_of(net: dict, text) -> np.ndarray:
-    x = np.zeros((len(text[1]), WINDOW, INPUTS), np.float32)
-    lengths = np.zeros(len(text[1]), np.int64)
-    for i, a in enumerate(text[1]):
-        part = text[0][a : a + WINDOW]
-        x[i, : len(part)], lengths[i] = part, len(part)
-    return _forward(
-        net, {w: (lambda t, w=w: x[:, t] @ net[f"w{w}"] + net[f"c{w}"]) for w in "fb"}, lengths)
+def _logits(net: dict, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    out = np.empty(len(x), np.float32)
+    for at in range(0, len(x), 2048):
+        part = x[at : at + 2048].astype(np.float32)
+        out[at : at + 2048] = _forward(
+            net, {w: (lambda t, w=w, p=part: p[:, t] @ net[f"w{w}"] + net[f"c{w}"]) for w in "fb"},
+            lengths[at : at + 2048])
+    return out
 
 
 def _calibrated(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -348,64 +340,54 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = TRAIN_
         for batch in tokens.pieces(batches, 4_000_000):
             text = _Text(batch.column(0))
             inputs = text.inputs(lexicon)
-            rows = []
+            data, sizes = [], []
             for d in range(batch.num_rows):
                 x = inputs[text.code[text.first[d] : text.first[d + 1]]]
-                starts = _windows(np.array([len(x)]))[1]
+                _, starts, lengths = _windows(np.array([len(x)]))
                 if len(starts) > TRAIN_WINDOWS:
-                    starts = starts[np.linspace(0, len(starts) - 1, TRAIN_WINDOWS).astype(int)]
-                used = [x[a : a + WINDOW] for a in starts]
-                sizes = np.cumsum([0] + [len(u) for u in used[:-1]])
-                rows.append((np.concatenate(used).astype(np.float16).tobytes(), sizes.tolist()))
+                    used = np.linspace(0, len(starts) - 1, TRAIN_WINDOWS).astype(int)
+                    starts, lengths = starts[used], lengths[used]
+                parts = [x[a : a + n] for a, n in zip(starts, lengths, strict=True)]
+                data.append(np.concatenate(parts).astype(np.float16).tobytes())
+                sizes.append(lengths.tolist())
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[0] for r in rows], pa.binary()),
-                pa.array([r[1] for r in rows], pa.list_(pa.int64())), batch.column(1),
-            ], ["x", "starts", "label"])
-
-    rows = sample.where(turn == 0).select("text", F.col("label").cast("int").alias("label")).mapInArrow(
-        show, "x binary, starts array<long>, label int").collect()  # bounded by the sample
-    texts = [
-        _separate(np.frombuffer(r.x, np.float16).reshape(-1, INPUTS), r.starts) for r in rows]
+                pa.array(data, pa.binary()), pa.array(sizes, pa.list_(pa.int64())), batch.column(1),
+            ], ["x", "sizes", "label"])
+
+    rows = (
+        sample.where(turn == 0).select("text", F.col("label").cast("int").alias("label"))
+        .mapInArrow(show, "x binary, sizes array<long>, label int").collect()
+    )  # bounded by the sample
     target = np.array([r.label > 0 for r in rows], np.float32)
     if not 0 < target.sum() < len(target):
         return Model(lexicon, new_network(), 1.0, 0.0)
-    net, (slope, offset) = _train(texts, target)
+    lengths = np.array([n for r in rows for n in r.sizes])
+    owner = np.repeat(np.arange(len(rows)), [len(r.sizes) for r in rows])
+    x = np.zeros((len(lengths), WINDOW, INPUTS), np.float16)
+    x[np.arange(WINDOW)[None, :] < lengths[:, None]] = np.concatenate(
+        [np.frombuffer(r.x, np.float16).reshape(-1, INPUTS) for r in rows])
+    net, (slope, offset) = _train(x, lengths, owner, target)
     return Model(lexicon, net, slope, offset)
 
 
-def _separate(x: np.ndarray, starts: list[int]):
-    """Windows that were sent back to back, each padded to its own place."""
-    out = np.zeros((len(starts) * WINDOW, INPUTS), np.float32)
-    ends = [*starts[1:], len(x)]
-    if len(starts) == 1:
-        return x.astype(np.float32), [0]
-    for i, (a, b) in enumerate(zip(starts, ends, strict=True)):
-        out[i * WINDOW : i * WINDOW + b - a] = x[a:b]
-    last = (len(starts) - 1) * WINDOW + ends[-1] - starts[-1]
-    return out[:last], [i * WINDOW for i in range(len(starts))]
-
-
 def text_scores(model: Model, texts: pa.Array) -> np.ndarray:
     """The score of each row: its most toxic window's logit, calibrated."""
     text, net = _Text(texts), model.net
     inputs = text.inputs(model.lexicon)
-    by_word = {
+    by_word = {  # the last row stands for a step outside the window
         w: np.concatenate((inputs @ net[f"w{w}"] + net[f"c{w}"],
                            np.zeros((1, 3 * HIDDEN), np.float32))) for w in "fb"}
     row, start, length = _windows(np.diff(text.first))
     logit = np.empty(len(row), np.float32)
     order = np.argsort(-length, kind="stable")  # windows of like length together
-    blank = len(text.kinds)
-    code = np.append(text.code, blank)
+    code = np.append(text.code, len(text.kinds))
     for at in range(0, len(order), 2048):
         own = order[at : at + 2048]
         base, size = text.first[row[own]] + start[own], length[own]
-
-        def projected(t, w, base=base, size=size):
-            return by_word[w][code[np.where(size > t, base + t, len(code) - 1)]]
-
+        steps = np.arange(int(size.max(initial=0)))[:, None]
+        codes = code[np.where(steps < size, base + steps, len(code) - 1)]
         logit[own] = _forward(
-            net, {w: (lambda t, w=w, f=projected: f(t, w)) for w in "fb"}, size)
+            net, {w: (lambda t, w=w, c=codes: by_word[w][c[t]]) for w in "fb"}, size)
     best = np.maximum.reduceat(logit, np.searchsorted(row, np.arange(len(texts))))
     return _sigmoid(model.slope * best.astype(float) + model.offset)
 
