@@ -190,6 +190,31 @@ def near_duplicates(
     A linked pair is proposed with a chance of 1 - 1e-7 at the limit and more above it; sets are
     compared by 64-bit hashes of their shingles.
     """
+    return _grouped(docs, percent, size).select(
+        "doc_id", F.col("n").alias("n_shingles"), "component_id",
+        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def deduplicate(docs: DataFrame, percent: int = 80, size: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each group of near duplicates: the one with the smallest id.
+
+    Of rows with equal id and text one stays, also of those without words. A group without any id
+    keeps one of its rows. Columns are unchanged.
+    """
+    groups = _grouped(docs, percent, size)
+    row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
+    first = groups.where("n > 0").groupBy("label").agg(F.min(row).alias("row")).select("row.*")
+    alone = groups.where("n = 0").select("doc_id", "node").distinct()
+    winners = first.select("doc_id", "node").union(alone).select(
+        F.col("doc_id").alias("__id"), F.col("node").alias("__own"))
+    rows = docs.withColumn("__node", F.xxhash64("text")).dropDuplicates(["doc_id", "__node"])
+    return rows.join(
+        winners, (F.col("__node") == F.col("__own")) & F.col("doc_id").eqNullSafe(F.col("__id")),
+        "left_semi").select(*docs.columns)
+
+
+def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """(doc_id, node, n, label, component_id) for every row; ``label`` is NULL without words."""
     texts = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.xxhash64("text").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
@@ -297,12 +322,11 @@ def _cross_pairs(rows: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
 def _result(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     named = _labelled(nodes.select("node", "one", "two", "n", "least"), labels)
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    groups = named.join(least, "label").select("one", "two", "n", "component_id")
-    rows = signed.select("doc_id", "one", "two", "n")
+    groups = named.join(least, "label").select("one", "two", "n", "label", "component_id")
+    rows = signed.select("doc_id", "node", "one", "two", "n")
     grouped = rows.where("n > 0").join(groups, ["one", "two", "n"]).select(
-        "doc_id", "n", "one", "component_id")
+        "doc_id", "node", "n", "label", "component_id")
     alone = rows.where("n = 0").select(
-        "doc_id", "n", "one", F.col("doc_id").alias("component_id"))
-    return grouped.union(alone).select(
-        "doc_id", F.col("n").alias("n_shingles"), "component_id",
-        F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+        "doc_id", "node", "n", F.lit(None).cast("long").alias("label"),
+        F.col("doc_id").alias("component_id"))
+    return grouped.union(alone)

@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchlake.llm import classlm, decontaminate, mixing, neardup, quality, secrets, substrings, topk, toxicity
+from pitchlake.llm import (
+    classlm, decontaminate, mixing, neardup, quality, secrets, sql, substrings, topk, toxicity,
+    wrappers,
+)
 from pitchlake.llm.common import crc_mod, table
 
 
+def op1_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return wrappers.digest(wrappers.extract(pages))
+
+
 def op2_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -63,6 +71,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_wrappers": op1_html_wrappers,
     "op2_odd_sketches": op2_odd_sketches,
     "op3_toxicity": op3_toxicity,
     "op4_decontaminate": op4_decontaminate,
@@ -73,4 +82,4 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
 }
-SQL: dict[str, str] = {}
+SQL = sql.SQL

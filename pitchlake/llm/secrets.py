@@ -34,6 +34,9 @@ ALLOWED = (
     r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}$",
 )
 
+#: What takes the place of a secret.
+MARK = "[SECRET]"
+
 KINDS = ("assign", "access", "hex", "entropy")
 _SPAN = "array<struct<start:int,kind:int,end:int>>"
 
@@ -185,7 +188,7 @@ def digest(found: DataFrame) -> DataFrame:
         _joined(F.array_sort(F.concat("__base", "__entropy"))).alias("spans"))
 
 
-def redact(docs: DataFrame, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", mark: str = MARK) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans give one mark.
 
     Rows, other columns and texts without spans stay as they are.
