@@ -66,7 +66,7 @@ class _Chunk:
         key = ids.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
         digest = table.column("digest").to_numpy()
         order = np.lexsort((digest, key))
-        self.rows, self.key, self.digest = order, key[order], digest[order]
+        self.key = key[order]
         self.missing = self.missing[order]
         texts = table.column("text").combine_chunks().cast(pa.large_string()).take(pa.array(order))
         self.words = tokens.split(texts)
@@ -100,28 +100,28 @@ def _prefix_groups(chunk: _Chunk, at: np.ndarray, share: np.ndarray, allowed: fl
 
 
 def _pack(paths: np.ndarray, at: np.ndarray, chunk: _Chunk) -> bytes:
-    """Windows of one group: their places as steps, their paths, and their documents."""
+    """Windows of one group: their paths, and compressed their places as steps and documents."""
     doc = np.searchsorted(chunk.words.first, chunk.starts[at], "right") - 1
     docs, first = np.unique(doc, return_index=True)
-    steps = np.diff(at, prepend=0).astype(np.uint32)
-    return b"".join((
-        np.array([len(at), len(docs)], np.int64).tobytes(), steps.tobytes(), paths.tobytes(),
+    small = b"".join((
+        np.diff(at, prepend=0).astype(np.uint32).tobytes(),
         np.diff(first, append=len(at)).astype(np.uint32).tobytes(),
-        chunk.key[docs].tobytes(), chunk.digest[docs].tobytes()))
+        np.diff(chunk.key[docs], prepend=0).tobytes()))
+    sizes = np.array([len(at), len(docs), len(small)], np.int64)
+    return sizes.tobytes() + paths.tobytes() + pa.compress(small, "zstd", asbytes=True)
 
 
 def _unpack(data: bytes):
-    n, d = np.frombuffer(data, np.int64, 2)
-    at = 16
-    out = []
-    for kind, size in ((np.uint32, n), (np.uint64, n), (np.uint32, d), (np.int64, d), (np.int64, d)):
-        out.append(np.frombuffer(data, kind, size, at))
-        at += out[-1].nbytes
-    steps, paths, counts, keys, digests = out
-    return np.cumsum(steps, dtype=np.int64), paths, counts, keys, digests
+    n, d, size = np.frombuffer(data, np.int64, 3).tolist()
+    paths = np.frombuffer(data, np.uint64, n, 24)
+    small = pa.decompress(data[24 + 8 * n :], size, "zstd", asbytes=True)
+    steps = np.frombuffer(small, np.uint32, n)
+    counts = np.frombuffer(small, np.uint32, d, 4 * n)
+    keys = np.frombuffer(small[4 * (n + d) :], np.int64)
+    return np.cumsum(steps, dtype=np.int64), paths, counts, np.cumsum(keys)
 
 
-def _repeats_in_group(data: list[bytes]) -> list[np.ndarray]:
+def _repeats_in_group(chunks: list[int], data: list[bytes]) -> list[np.ndarray]:
     """For each chunk's windows of one group: the places whose window starts earlier elsewhere."""
     parts = [_unpack(x) for x in data]
     paths = np.concatenate([p[1] for p in parts])
@@ -130,8 +130,8 @@ def _repeats_in_group(data: list[bytes]) -> list[np.ndarray]:
     inner = np.concatenate((same, [False])) | np.concatenate(([False], same))
     leaves = order[inner]  # leaves of internal nodes at full depth
     keys = np.concatenate([np.repeat(p[3], p[2]) for p in parts])[leaves]
-    digests = np.concatenate([np.repeat(p[4], p[2]) for p in parts])[leaves]
-    by = np.lexsort((digests, keys, paths[leaves]))
+    owner = np.repeat(chunks, [len(p[1]) for p in parts])[leaves]
+    by = np.lexsort((owner, keys, paths[leaves]))
     node = paths[leaves][by]
     later = np.zeros(len(paths), bool)
     later[leaves[by[1:]]] = node[1:] == node[:-1]
@@ -214,7 +214,8 @@ def remove_repeats(
             "data": pa.array(data, pa.large_binary()).cast(pa.binary())})
 
     def match(table):
-        found = _repeats_in_group(table.column("data").to_pylist())
+        found = _repeats_in_group(
+            table.column("chunk").to_pylist(), table.column("data").to_pylist())
         return pa.table({
             "chunk": table.column("chunk"),
             "later": pa.array([x.astype(np.uint32).tobytes() for x in found], pa.binary())})
