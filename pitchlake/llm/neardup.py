@@ -4,7 +4,8 @@ Each shingle set gets MinHash samples. Bands of samples propose pairs; the same
 into a parity bitmap (an odd sketch), estimate a proposed pair's similarity from the population
 count of an XOR; what the sketch can't rule out is confirmed on the full sets. Documents with equal
 sets are one node from the start. Within a band's bucket, nodes are compared with one hub, not with
-each other; nodes that are still in different groups after that are compared across groups.
+each other; nodes that are still in different groups after that are compared across groups, where
+the odd sketch of a whole set rules out most pairs for certain.
 """
 
 from __future__ import annotations
@@ -25,7 +26,12 @@ SAMPLES = BANDS * ROWS
 SKETCH_BITS = 512
 #: Sketches whose estimate is below this can't belong to a pair of 0.8: six standard deviations.
 LEAST_ESTIMATE = 0.62
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
+#: Bits of the odd sketch of a whole set. An XOR's population count never exceeds the number of
+#: shingles in one set only, so what it rules out is no link for certain.
+WIDE_BITS = 4096
+#: Nodes of a bucket that are compared with as many others at a time.
+BLOCK_NODES = 1024
 
 _U = np.uint64
 _SINGLE = _U(0x5851F42D4C957F2D)
@@ -92,6 +98,12 @@ def _sign(size: int):
     return sign
 
 
+def _wide(shingles: np.ndarray) -> bytes:
+    bits = np.bincount(
+        (tokens.mix(shingles ^ _SINGLE) % _U(WIDE_BITS)).astype(np.int64), minlength=WIDE_BITS)
+    return np.packbits((bits & 1).astype(np.uint8)).tobytes()
+
+
 def _estimate(a: str, b: str) -> Column:
     """Similarity from two odd sketches: the differing samples d that explain the differing bits."""
     bits = F.aggregate(
@@ -240,30 +252,36 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
     shared = dealt.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where(
         "x <> y").select("key")
     buckets = materialise(dealt.join(shared, "key", "left_semi"), "buckets")
-    members = buckets.select("node").distinct()
-    traits = materialise(traits.select("node", "n", "sketch").join(
-        members, "node", "left_semi"), "traits")
+    # A node that shares its buckets with many others is near the middle of its group.
+    crowds = buckets.groupBy("key").agg(F.count("*").alias("crowd"))
+    members = buckets.join(crowds, "key").groupBy("node").agg(F.sum("crowd").alias("crowd"))
+    traits = materialise(traits.join(members, "node"), "traits")
+    members = traits.select("node")
 
     def as_sets(batches):
         for batch in tokens.pieces(batches, 8_000_000):
+            sets = list(shingle_sets(batch.column(1), size))
             yield pa.RecordBatch.from_arrays([
-                batch.column(0),
-                pa.array([s.tobytes() for s in shingle_sets(batch.column(1), size)], pa.binary()),
-            ], ["node", "set"])
+                batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
+                pa.array([_wide(s) for s in sets], pa.binary())], ["node", "set", "wide"])
 
     wanted = nodes.join(members, "node", "left_semi").select("node", "doc_id")
     sets = materialise(
         texts.join(wanted, (texts.node == wanted.node) & texts.doc_id.eqNullSafe(wanted.doc_id),
                    "left_semi")
-        .select("node", "text").mapInArrow(as_sets, "node long, set binary")
-        .groupBy("node").agg(F.first("set").alias("set")), "sets")
+        .select("node", "text").mapInArrow(as_sets, "node long, set binary, wide binary")
+        .groupBy("node").agg(F.first("set").alias("set"), F.first("wide").alias("wide")), "sets")
 
     links, tested, labels = None, None, None
-    rounds = [_star_pairs] * STAR_ROUNDS + [_cross_pairs]
+    wide = sets.select("node", "wide")
+    rounds = ["star"] * STAR_ROUNDS + ["cross"]
     while rounds:
-        propose = rounds.pop(0)
-        rows = buckets.join(_labelled(traits.select("node"), labels), "node")
-        pairs = propose(rows, traits, percent)
+        turn = rounds.pop(0)
+        rows = buckets.join(_labelled(traits.select("node", "crowd"), labels), "node")
+        if turn == "star":
+            pairs = _star_pairs(rows, traits, percent)
+        else:
+            pairs = _cross_pairs(rows, traits.join(wide, "node"), crowds, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
@@ -282,16 +300,18 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
 def _star_pairs(rows: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
     """At most one pair (a, b) for each node: with the most similar hub of its buckets.
 
-    A bucket's hub is its least node of the least label; nodes of that label need no pair.
+    A bucket's hub is the node with the largest crowd in its own buckets, which near copies of one
+    text have in common; nodes of the hub's label need no pair.
     """
     hubs = rows.groupBy("key").agg(
-        F.min(F.struct("label", "node")).alias("hub"), F.max("label").alias("most")).where(
-        "most <> hub.label").select(
+        F.max(F.struct("crowd", "node", "label")).alias("hub"), F.min("label").alias("low"),
+        F.max("label").alias("most")).where("low <> most").select(
         "key", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
     pairs = rows.join(hubs, "key").where("label <> hub_label").select(
         F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    known = pairs.join(_as(traits, "a"), F.col("a") == F.col("a_node")).join(
-        _as(traits, "b"), F.col("b") == F.col("b_node"))
+    known = pairs.join(
+        _as(traits.select("node", "n", "sketch"), "a"), F.col("a") == F.col("a_node")).join(
+        _as(traits.select("node", "n", "sketch"), "b"), F.col("b") == F.col("b_node"))
     return (
         known.where(_possible("a", "b", percent))
         .select("a", "b", F.round(_estimate("a_sketch", "b_sketch"), 1).alias("near"))
@@ -300,23 +320,61 @@ def _star_pairs(rows: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _cross_pairs(rows: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
-    """All possible pairs of a bucket's nodes with different labels.
+def _cross_pairs(
+    rows: DataFrame, traits: DataFrame, crowds: DataFrame, percent: int
+) -> DataFrame:
+    """All possible pairs of a bucket's nodes with different labels, each once.
 
-    Most nodes of a bucket share its hub's label by now. The others meet all nodes of the bucket,
-    in blocks of the larger side; only pairs that sizes and sketches leave possible come out.
+    Only buckets that still hold several labels take part. A bucket's nodes meet in blocks, so a
+    task holds two blocks at most; sketches are compared there and only pairs come out that sizes,
+    the samples' sketch and the whole set's sketch leave possible. A pair belongs to the first band
+    that its nodes share.
     """
-    mixed = rows.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"),
-        F.min(F.struct("label", "node")).alias("hub")).where("low <> high").select(
-        "key", F.col("hub.label").alias("hub_label"))
-    near = rows.join(mixed, "key").join(traits, "node")
-    left = _as(near.where("label <> hub_label").drop("hub_label"), "a")
-    right = _as(near.drop("hub_label"), "b")
-    pairs = left.join(right, F.col("a_key") == F.col("b_key")).where(
-        (F.col("a_label") != F.col("b_label")) & _possible("a", "b", percent))
-    return pairs.select(
-        F.greatest("a_node", "b_node").alias("a"), F.least("a_node", "b_node").alias("b")).distinct()
+    mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
+        "low <> high").select("key")
+    blocks = F.ceil(F.col("__crowd") / BLOCK_NODES).cast("int")
+    own = F.pmod(F.xxhash64("node", "key"), F.col("__blocks")).cast("int")
+    near = (
+        rows.select("key", "node", "label").join(mixed, "key")
+        .join(crowds.withColumnRenamed("crowd", "__crowd"), "key")
+        .withColumn("__blocks", blocks).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+        .select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
+                "own", "node", "label")
+        .join(traits.select("node", "n", "sketch", "wide", "bands"), "node")
+    )
+
+    def compare(key, table):
+        at, p, q = (k.as_py() for k in key)
+        own = table.column("own").to_numpy()
+        node, label = table.column("node").to_numpy(), table.column("label").to_numpy()
+        n = table.column("n").to_numpy()
+        sketch, bands = (
+            np.array(table.column(c).combine_chunks().flatten()).reshape(len(n), -1).view(np.uint64)
+            for c in ("sketch", "bands"))
+        wide = np.frombuffer(b"".join(table.column("wide").to_pylist()), np.uint64).reshape(
+            len(n), -1)
+        band = np.argmax(bands == np.int64(at).view(np.uint64), axis=1)
+        rest = 1 - 2 / SKETCH_BITS
+        most = int(SKETCH_BITS / 2 * (1 - rest ** (2 * SAMPLES * (1 - LEAST_ESTIMATE)))) + 1
+        left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
+        a_out, b_out = [], []
+        for i in left:
+            js = right[right > i] if p == q else right
+            js = js[(label[js] != label[i])
+                    & (100 * np.minimum(n[js], n[i]) >= percent * np.maximum(n[js], n[i]))]
+            js = js[np.bitwise_count(sketch[js] ^ sketch[i]).sum(axis=1) <= most]
+            js = js[np.argmax(bands[js] == bands[i], axis=1) == band[i]]
+            apart = np.bitwise_count(wide[js] ^ wide[i]).sum(axis=1).astype(np.int64)
+            both = n[js] + n[i]
+            js = js[100 * (both - apart) >= percent * (both + apart)]
+            a_out.append(np.maximum(node[js], node[i]))
+            b_out.append(np.minimum(node[js], node[i]))
+        return pa.table({
+            "a": pa.array(np.concatenate([np.zeros(0, np.int64), *a_out])),
+            "b": pa.array(np.concatenate([np.zeros(0, np.int64), *b_out]))})
+
+    return near.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _result(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm import tokens
-from pitchlake.llm.common import CHUNK_CHARS, in_chunks
+from pitchlake.llm.common import in_chunks
 
 WINDOW = 20
 #: Word classes of the prefix statistics: a fixed number, whatever the corpus.
@@ -27,6 +27,9 @@ BUCKETS = 1 << 16
 #: Suffixes that a prefix may have, as far as word frequencies tell.
 GROUP_SUFFIXES = 50_000
 
+#: Bytes of text in a chunk on average. A task holds a few arrays of eight bytes a word of one chunk.
+CHUNK_CHARS = 9_000_000
+
 _U = np.uint64
 
 
