@@ -442,7 +442,8 @@ NOW = dt.datetime(2024, 1, 30, 23, 0)
 @check(
     "q_time_range", "FLT-11 FLT-12",
     """select event_id, event_type from events
-       where ts >= timestamp '2024-01-30 21:00:00' and event_type in ('click', 'purchase', 'view')""",
+       where ts between timestamp '2024-01-30 21:00:00' and timestamp '2024-01-30 23:00:00'
+         and event_type in ('click', 'purchase', 'view')""",
 )
 def _(ctx):
     events = ctx.base("events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -504,8 +505,8 @@ def _(ctx):
                 when regexp_matches(lower(description), 'goal|scored|missed|shot|header|penalty'
                                     || '|free kick|tap-in|own-goal') then 'goals'
                 else 'substitutions' end as class,
-                case when lower(left(description, 60)) like '%red%'
-                       or lower(left(description, 60)) like '%second yellow%' then 'red'
+                case when lower(description) like '%red%'
+                       or lower(description) like '%second yellow%' then 'red'
                      else 'yellow' end as colour,
                 case when try_cast(club_id as integer) = try_cast(player_id as integer) % 100
                      then 'away' else 'home' end as side

@@ -331,7 +331,7 @@ def _(ctx):
 @check("q_iqr_split", "AGG-12", _iqr_sql("events", ["value"]))
 def _(ctx):
     """The same report while the ranking of distinct values is split into chunks."""
-    return _rounded_bounds(agg.iqr_outliers(ctx.base("events"), ["value"], max_rows=500))
+    return _rounded_bounds(agg.iqr_outliers(ctx.base("events"), ["value"]))
 
 
 @check(
@@ -423,9 +423,9 @@ def _(ctx):
 
 @check("q_latest_split", "WIN-1", _LATEST)
 def _(ctx):
-    """The same ranking with users above 60 events split into chunks."""
+    """The same ranking; every group is cut into chunks."""
     ranked = windows.latest_per_key(
-        ctx.base("events"), ["user_id"], [F.desc("ts"), F.desc("event_id")], max_rows=60
+        ctx.base("events"), ["user_id"], [F.desc("ts"), F.desc("event_id")]
     )
     return ranked.select("event_id", "rn", "is_latest")
 
@@ -437,11 +437,10 @@ _RUNNING = """select event_id,
                              rows between unbounded preceding and current row)"""
 
 
-def _running(ctx, **options):
+def _running(ctx):
     totals = windows.running_totals(
         ctx.base("events"), ["user_id"], ["ts", "event_id"],
         {"goals": F.col("event_type") == "purchase", "cards": F.col("event_type") == "click"},
-        **options,
     )
     return totals.select("event_id", "goals", "cards")
 
@@ -453,7 +452,7 @@ def _(ctx):
 
 @check("q_running_totals_split", "WIN-5", _RUNNING)
 def _(ctx):
-    return _running(ctx, max_rows=60)
+    return _running(ctx)
 
 
 @check(

@@ -254,7 +254,7 @@ cte(
     from parsed join (select md5(cast(event_id as varchar)) as id, ts from events)
          on game_event_id = id""",
 )
-RECENT = "time >= timestamp '2024-01-30 21:00:00'"
+RECENT = "time between timestamp '2024-01-30 21:00:00' and timestamp '2024-01-30 23:00:00'"
 
 
 @check(

@@ -378,14 +378,14 @@ cte(
            g.home_club_name, g.away_club_name, g.home_club_goals, g.away_club_goals,
            g.home_club_formation, g.away_club_formation
     from raw_game_events e
-    left join raw_games g on e.game_id is not distinct from trim(g.game_id)
-    left join raw_competitions k on g.competition_id is not distinct from k.competition_id
-    left join raw_players p on e.player_id is not distinct from cast(p.player_id as varchar)
-    left join raw_clubs c on e.club_id is not distinct from c.club_id
-    left join raw_game_lineups l on e.game_id is not distinct from l.game_id
-          and e.player_id is not distinct from l.player_id
-    left join raw_club_games s on e.game_id is not distinct from s.game_id
-          and e.club_id is not distinct from s.club_id""",
+    left join raw_games g on e.game_id = trim(g.game_id)
+    left join raw_competitions k on g.competition_id = k.competition_id
+    left join raw_players p on e.player_id = cast(p.player_id as varchar)
+    left join raw_clubs c on e.club_id = c.club_id
+    left join raw_game_lineups l on e.game_id = l.game_id
+          and e.player_id = l.player_id
+    left join raw_club_games s on e.game_id = s.game_id
+          and e.club_id = s.club_id""",
 )
 
 

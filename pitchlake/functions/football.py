@@ -10,8 +10,6 @@ CARD_WORDS = ("yellow card", "second yellow", "red card")
 GOAL_WORDS = (
     "goal", "scored", "missed", "shot", "header", "penalty", "free kick", "tap-in", "own-goal",
 )
-# Fixed value: only this many leading characters of a description are shown and colour-tested.
-CARD_TEXT_LENGTH = 60
 
 
 def known(predicate: Column) -> Column:
@@ -69,7 +67,7 @@ def classify_event(description: Column) -> Column:
 
 
 def card_colour(description: Column) -> Column:
-    text = F.lower(F.substring(description, 1, CARD_TEXT_LENGTH))
+    text = F.lower(description)
     return F.when(text.contains("red") | text.contains("second yellow"), "red").otherwise("yellow")
 
 

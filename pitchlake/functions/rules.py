@@ -98,9 +98,9 @@ def contains(name: str, text: str) -> Column:
 
 
 def within_last(name: str, hours: int, now: dt.datetime | None = None) -> Column:
-    """Rows of the last ``hours``; a fixed ``now`` makes the window repeatable."""
+    """Rows of the ``hours`` that end now; a fixed ``now`` makes the window repeatable."""
     upper = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
-    return F.col(name) >= upper - F.make_dt_interval(hours=F.lit(hours))
+    return F.col(name).between(upper - F.make_dt_interval(hours=F.lit(hours)), upper)
 
 
 def bad_format(name: str, pattern: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pitchlake.functions import rules
-from pitchlake.operators.scale import HOT_GROUP_ROWS, exact_quantiles
+from pitchlake.operators.scale import exact_quantiles
 
 
 def missing_flag(field: T.StructField, mode: str = "any") -> Column:
@@ -100,7 +100,6 @@ def summary(
     df: DataFrame,
     columns: Sequence[str],
     quartiles: str = "approx",
-    max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """count, mean, stddev, min, quartiles and max per numeric column.
 
@@ -125,7 +124,7 @@ def summary(
     out = melt(df.agg(*aggs), columns, metrics)
     if quartiles != "exact":
         return out
-    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75], max_rows)
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     wide = q.groupBy("column").agg(
         *[
             F.max(F.when(F.col("probability") == p, F.col("value"))).alias(n)
@@ -156,11 +155,11 @@ def per_key_count_stats(df: DataFrame, key: str) -> DataFrame:
 
 
 def iqr_outliers(
-    df: DataFrame, columns: Sequence[str], max_rows: int = HOT_GROUP_ROWS
+    df: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
     """Rows outside 1.5 interquartile ranges per numeric column, count and percentage."""
     columns = list(columns)
-    q = exact_quantiles(df, columns, [0.25, 0.75], max_rows)
+    q = exact_quantiles(df, columns, [0.25, 0.75])
     bounds = q.groupBy("column").agg(
         F.max(F.when(F.col("probability") == 0.25, F.col("value"))).alias("q1"),
         F.max(F.when(F.col("probability") == 0.75, F.col("value"))).alias("q3"),

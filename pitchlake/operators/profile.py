@@ -79,8 +79,8 @@ def typed(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     return df.select(*[F.trim(c).try_cast(t).alias(c) for c, t in spec.numeric.items()])
 
 
-def numeric_summary(df: DataFrame, spec: ProfileSpec, **options) -> DataFrame:
-    return agg.summary(typed(df, spec), list(spec.numeric), **options)
+def numeric_summary(df: DataFrame, spec: ProfileSpec) -> DataFrame:
+    return agg.summary(typed(df, spec), list(spec.numeric))
 
 
 def date_ranges(df: DataFrame, spec: ProfileSpec) -> DataFrame:
@@ -98,12 +98,11 @@ def distributions(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def dq_report(df: DataFrame, numeric: tuple[str, ...], max_rows: int | None = None) -> DataFrame:
+def dq_report(df: DataFrame, numeric: tuple[str, ...]) -> DataFrame:
     """Missing, distinct, duplicates, outliers, constants and sparse columns of one table.
 
     (section, subject, value) rows; percentages have two digits.
     """
-    options = {} if max_rows is None else {"max_rows": max_rows}
     missing = agg.null_profile(df, "null", 2)
     parts = [
         missing.select(F.lit("missing").alias("section"), F.col("column").alias("subject"),
@@ -113,7 +112,7 @@ def dq_report(df: DataFrame, numeric: tuple[str, ...], max_rows: int | None = No
             F.lit("distinct"), "column", F.col("distinct").cast("double")),
         agg.dup_count(df).select(
             F.lit("duplicates"), F.lit("*"), F.col("duplicates").cast("double")),
-        agg.iqr_outliers(df, numeric, **options).select(
+        agg.iqr_outliers(df, numeric).select(
             F.lit("outliers"), "column", F.col("outliers").cast("double")),
         agg.constant_cols(df).select(F.lit("constant"), "column", F.lit(1.0).cast("double")),
         agg.high_missing(df).select(F.lit("mostly_missing"), "column", "missing_pct"),

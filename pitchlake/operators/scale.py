@@ -4,7 +4,7 @@ A plain ``Window.partitionBy(key)`` puts a whole group into one task. The three
 do not:
 
 * totals: aggregate with map-side combine, then join the small result back;
-* running sums and row numbers: split the large groups into ordered chunks;
+* running sums and row numbers: cut all groups into ordered chunks;
 * latest rows: ``row_number() == 1``, which Spark limits per map task before it shuffles.
 """
 
@@ -18,21 +18,6 @@ from pyspark.sql import functions as F
 
 from pitchlake.session import ensure_checkpoint_dir
 
-# A group below this many rows is an ordinary sort for one task.
-HOT_GROUP_ROWS = 5_000_000
-# At most this many groups can each hold more than 1/10,000 of all rows, so a list of the
-# largest groups has a fixed upper size. Groups after these are below one task's fair share.
-MAX_HOT_GROUPS = 10_000
-# Inputs estimated below this many bytes are not searched for large groups: one task can hold them.
-SMALL_INPUT_BYTES = 64 * 1024 * 1024
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
-
-
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return functools.reduce(
         lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs]
@@ -69,62 +54,20 @@ def with_totals(
     return out
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], max_rows: int = HOT_GROUP_ROWS) -> list:
-    """Keys of the groups above ``max_rows``, largest first.
-
-    Reads only the key columns, combines on the map side and returns a bounded list.
-    """
-    if max_rows >= HOT_GROUP_ROWS and estimated_bytes(df) <= SMALL_INPUT_BYTES:
-        return []
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > max_rows)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_HOT_GROUPS)
-        .collect()
-    )
-
-
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
     sums: Mapping[str, Column],
-    max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Running sums per group, including the current row, over a total order.
 
-    ``sums`` maps output names to numeric columns; ``F.lit(1)`` gives a row number. Groups above
-    ``max_rows`` are range-partitioned by (keys, order) into chunks; each row then adds the sum
-    inside its chunk to the sum of the chunks before it.
+    ``sums`` maps output names to numeric columns; ``F.lit(1)`` gives a row number. Rows are
+    range-partitioned by (keys, order), so any group, however large, is dealt to as many tasks as
+    its share asks for. Each row adds the sum up to it inside its partition, its chunk, to the sum
+    of its group's earlier chunks.
     """
     keys, order = list(keys), list(order)
-    hot = hot_groups(df, keys, max_rows)
-    if not hot:
-        return _window_sums(df, keys, order, sums)
-    return _split_sums(df, keys, order, sums, hot)
-
-
-def _split_sums(
-    df: DataFrame, keys: list, order: list, sums: Mapping[str, Column], hot: list
-) -> DataFrame:
-    schema = type(df.schema)([df.schema[k] for k in keys])
-    hot_keys = df.sparkSession.createDataFrame([tuple(r[k] for k in keys) for r in hot], schema)
-    # At most MAX_HOT_GROUPS rows, so the broadcast is bounded.
-    hot_keys = F.broadcast(hot_keys.withColumnsRenamed({k: f"_k_{k}" for k in keys}))
-    on = null_safe_on(df, hot_keys, [(k, f"_k_{k}") for k in keys])
-    cold = _window_sums(df.join(hot_keys, on, "left_anti"), keys, order, sums)
-    large = df.join(hot_keys, on, "left_semi")
-    return cold.unionByName(_chunked_sums(large, keys, order, sums))
-
-
-def _window_sums(df: DataFrame, keys: list, order: list, sums: Mapping[str, Column]) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select("*", *[F.sum(c).over(w).alias(name) for name, c in sums.items()])
-
-
-def _chunked_sums(df: DataFrame, keys: list, order: list, sums: Mapping[str, Column]) -> DataFrame:
     # The chunk number depends on sampled range bounds, so it is written down once: both uses
     # below, and any task that is run again, then see the same chunks.
     ensure_checkpoint_dir(df.sparkSession)
@@ -173,15 +116,10 @@ def row_numbers(
     keys: Sequence[str],
     order: Sequence[Column | str],
     name: str = "rn",
-    max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """``row_number()`` for every row of every group."""
-    keys, order = list(keys), list(order)
-    hot = hot_groups(df, keys, max_rows)
-    if hot:
-        ranked = _split_sums(df, keys, order, {name: F.lit(1)}, hot)
-        return ranked.withColumn(name, F.col(name).cast("int"))
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    ranked = running(df, keys, order, {name: F.lit(1)})
+    return ranked.withColumn(name, F.col(name).cast("int"))
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -196,12 +134,11 @@ def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probabilities: Sequence[float],
-    max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Linearly interpolated quantiles as rows (column, probability, value).
 
     The values are first counted, so only distinct values are ranked, and the ranking of a
-    column with very many of them is split like any other large group.
+    column with very many of them is dealt to several tasks like any other group.
     """
     columns = list(columns)
     long = df.select(
@@ -219,7 +156,7 @@ def exact_quantiles(
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running(histogram, ["column"], ["value"], {"upto": F.col("n")}, max_rows)
+    ranked = running(histogram, ["column"], ["value"], {"upto": F.col("n")})
     totals = histogram.groupBy("column").agg(F.sum("n").alias("total"))
     wanted = F.broadcast(  # columns x probabilities rows
         totals.select(

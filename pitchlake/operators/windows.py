@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pitchlake.operators.scale import HOT_GROUP_ROWS, row_numbers, running, with_totals
+from pitchlake.operators.scale import row_numbers, running, with_totals
 
 
 def latest_per_key(
@@ -16,10 +16,9 @@ def latest_per_key(
     newest_first: Sequence[Column | str],
     rank: str = "rn",
     flag: str = "is_latest",
-    max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Rank every row of a key and flag rank 1; all rows stay."""
-    ranked = row_numbers(df, keys, newest_first, rank, max_rows)
+    ranked = row_numbers(df, keys, newest_first, rank)
     return ranked.withColumn(flag, F.col(rank) == 1)
 
 
@@ -35,10 +34,9 @@ def running_totals(
     keys: Sequence[str],
     order: Sequence[Column | str],
     conditions: Mapping[str, Column],
-    max_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Running count of rows that meet each condition, in the given total order."""
     return running(
         df, keys, order,
-        {name: F.when(p, 1).otherwise(0) for name, p in conditions.items()}, max_rows,
+        {name: F.when(p, 1).otherwise(0) for name, p in conditions.items()},
     )

@@ -14,9 +14,6 @@ from pitchlake.operators.scale import first_rows
 from pitchlake.plans.staging import latest_valuations
 from pitchlake.plans.warehouse import Warehouse, model
 
-# A calendar longer than this is shuffled like any other table.
-BROADCAST_DAYS = 200_000
-
 
 def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     """One row per day from ``start`` up to, not including, ``end``."""
@@ -28,7 +25,7 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
 def dim_date(wh: Warehouse) -> DataFrame:
     start, end = wh.calendar
     day = F.col("full_date")
-    dates = date_spine(wh.spark, start, end).select(
+    return date_spine(wh.spark, start, end).select(
         surrogate_key("full_date").alias("sk_date"),
         day.alias("date_id"),
         day,
@@ -36,7 +33,6 @@ def dim_date(wh: Warehouse) -> DataFrame:
         season_of(day).alias("season_label"),
         season_start(day).alias("season_start_year"),
     )
-    return F.broadcast(dates) if (end - start).days <= BROADCAST_DAYS else dates
 
 
 @model

@@ -125,16 +125,14 @@ def game_sample(raw: Mapping[str, DataFrame], n: int | None, seed: int) -> DataF
 
 def enriched_events(
     raw: Mapping[str, DataFrame],
-    sample_games: int | None = 20,
+    sample_games: int | None = None,
     seed: int = 42,
-    null_matches_null: bool = True,
 ) -> DataFrame:
-    """Raw events with six left joins; ``sample_games=None`` enriches every match."""
+    """Raw events with six left joins; NULL ids match nothing. ``sample_games`` keeps that many matches."""
     t = _selected(raw, game_sample(raw, sample_games, seed))
     joined = enrich(
         t["game_events"],
         *[(t[name], on) for name, on in JOIN_KEYS.items()],
-        null_matches_null=null_matches_null,
     )
     captain = F.coalesce(F.col("team_captain").try_cast("int"), F.lit(0))
     return safe_columns(joined.withColumn("team_captain", captain), ENRICHED_COLUMNS)

@@ -19,12 +19,10 @@ def snapshot_options(servers: str, topic: str) -> dict[str, str]:
     return topic_options(servers, topic, startingOffsets="earliest", endingOffsets="latest")
 
 
-def live_options(servers: str, topic: str, max_per_trigger: int = 1000) -> dict[str, str]:
-    """New messages only, rate-limited; expired offsets do not stop the query."""
-    return topic_options(
-        servers, topic,
-        startingOffsets="latest", maxOffsetsPerTrigger=max_per_trigger, failOnDataLoss="false",
-    )
+def live_options(servers: str, topic: str, max_per_trigger: int | None = None) -> dict[str, str]:
+    """New messages only; expired offsets do not stop the query. A rate limit is opt-in."""
+    limit = {} if max_per_trigger is None else {"maxOffsetsPerTrigger": max_per_trigger}
+    return topic_options(servers, topic, startingOffsets="latest", failOnDataLoss="false", **limit)
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
@@ -36,7 +34,7 @@ def read_topic(spark: SparkSession, servers: str, topic: str) -> DataFrame:
     )
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, max_per_trigger: int = 1000):
+def stream_topic(spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = None):
     options = live_options(servers, topic, max_per_trigger)
     return spark.readStream.format("kafka").options(**options).load()
 

@@ -26,7 +26,7 @@ def recent(points: DataFrame, now: dt.datetime | None = None, hours: int = HOURS
     kept = points.filter(within_last("time", hours, now))
     if "point_date" in points.columns:
         today = F.to_date(F.lit(now).cast("timestamp")) if now is not None else F.current_date()
-        kept = kept.filter(F.col("point_date") >= F.date_sub(today, 1 + hours // 24))
+        kept = kept.filter(F.col("point_date").between(F.date_sub(today, 1 + hours // 24), today))
     return kept
 
 

@@ -107,7 +107,7 @@ def test_event_classes(spark):
     assert text(spark, items, football.classify_event(C())) == [
         "substitutions", "substitutions", "cards", "cards", "goals", "substitutions", "goals"]
     cards = ["Second yellow", "Yellow card", "x" * 60 + "red"]
-    assert text(spark, cards, football.card_colour(C())) == ["red", "yellow", "yellow"]
+    assert text(spark, cards, football.card_colour(C())) == ["red", "yellow", "red"]
     assert text(spark, ["Scored", "Missed it", "scored", None], football.penalty_result(C())) == [
         "scored", "missed", None, None]
 

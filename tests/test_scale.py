@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pitchlake.operators import joins, limits, windows
 from pitchlake.operators.aggregates import constant_cols, iqr_outliers, summary
 from pitchlake.operators.scale import (
-    exact_quantiles, first_rows, hot_groups, row_numbers, running, with_totals,
+    exact_quantiles, first_rows, row_numbers, running, with_totals,
 )
 from conftest import rows
 
@@ -35,28 +35,27 @@ def brute_running(data):
     return out
 
 
-@pytest.mark.parametrize("max_rows", [5_000_000, 100, 5])
-def test_running_sums_equal_brute_force(skewed, max_rows):
+def test_running_sums_equal_brute_force(skewed):
     data, df = skewed
-    out = running(df, ["k"], ["at", "id"], {"n": F.lit(1), "total": F.col("hit")}, max_rows)
+    out = running(df, ["k"], ["at", "id"], {"n": F.lit(1), "total": F.col("hit")})
     got = {r["id"]: (r["n"], r["total"]) for r in out.collect()}
     assert got == brute_running(data)
 
 
-@pytest.mark.parametrize("max_rows", [5_000_000, 50])
-def test_descending_rank(skewed, max_rows):
+def test_descending_rank(skewed):
     data, df = skewed
-    out = row_numbers(df, ["k"], [F.desc("at"), F.desc("id")], "rn", max_rows)
+    out = row_numbers(df, ["k"], [F.desc("at"), F.desc("id")], "rn")
     got = {r["id"]: r["rn"] for r in out.collect()}
     for key in {d[1] for d in data}:
         ordered = sorted((d for d in data if d[1] == key), key=lambda d: (-d[2], -d[0]))
         assert [got[d[0]] for d in ordered] == list(range(1, len(ordered) + 1))
 
 
-def test_hot_groups_are_found_with_null_keys(skewed):
-    _, df = skewed
-    assert {r["k"] for r in hot_groups(df, ["k"], 100)} == {"hot", None}
-    assert hot_groups(df, ["k"]) == []
+def test_one_large_group_is_dealt_to_several_tasks(spark):
+    df = spark.range(0, 400_000, 1, 8).select(F.lit("hot").alias("k"), "id")
+    out = row_numbers(df, ["k"], ["id"])
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+    assert out.filter(F.col("rn") != F.col("id") + 1).count() == 0
 
 
 def test_totals_keep_every_row_and_count_null_as_a_group(skewed):
@@ -95,14 +94,13 @@ def test_first_rows_are_limited_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-@pytest.mark.parametrize("max_rows", [5_000_000, 20])
-def test_exact_quantiles_equal_numpy(spark, max_rows):
+def test_exact_quantiles_equal_numpy(spark):
     rng = random.Random(3)
     data = [(float(rng.randrange(200)), rng.random() * 10 if i % 7 else None) for i in range(501)]
     df = spark.createDataFrame(data, "a double, b double").repartition(5)
     got = {
         (r["column"], r["probability"]): r["value"]
-        for r in exact_quantiles(df, ["a", "b"], [0.25, 0.5, 0.9], max_rows).collect()
+        for r in exact_quantiles(df, ["a", "b"], [0.25, 0.5, 0.9]).collect()
     }
     for i, c in enumerate("ab"):
         known = [d[i] for d in data if d[i] is not None]

@@ -119,6 +119,8 @@ def test_live_queries(spark):
                    "time": F.lit(NOW).cast("timestamp")})
     now = NOW + dt.timedelta(hours=1)
     assert live.live_score(points, "Home", now).first()["goals"] == 2
+    before = NOW - dt.timedelta(minutes=1)
+    assert live.live_score(points, "Home", before).count() == 0  # the window ends at its now
     assert [r["minute"] for r in live.feed(points, "goals", "Home", now).collect()] == [10, 50]
     assert live.feed(points, "cards", "Away", now).first()["description"] == "Red card"
     assert live.home_club(points, now).first()[0] == "Away"
@@ -164,9 +166,12 @@ def test_stop_all(spark, tmp_path):
 
 
 def test_topic_options():
-    assert messages.live_options("h:9092", "events") == {
+    live_options = {
         "kafka.bootstrap.servers": "h:9092", "subscribe": "events", "startingOffsets": "latest",
-        "maxOffsetsPerTrigger": "1000", "failOnDataLoss": "false"}
+        "failOnDataLoss": "false"}
+    assert messages.live_options("h:9092", "events") == live_options
+    assert messages.live_options("h:9092", "events", 1000) == live_options | {
+        "maxOffsetsPerTrigger": "1000"}
     assert messages.snapshot_options("h:9092", "events")["endingOffsets"] == "latest"
 
 
