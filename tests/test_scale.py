@@ -130,7 +130,7 @@ def test_constant_columns_count_null_as_a_value(spark):
 
 def test_running_counts(skewed):
     data, df = skewed
-    out = windows.running_totals(df, ["k"], ["at", "id"], {"hits": F.col("hit") == 1}, 100)
+    out = windows.running_totals(df, ["k"], ["at", "id"], {"hits": F.col("hit") == 1})
     top = {r["k"]: r["m"] for r in out.groupBy("k").agg(F.max("hits").alias("m")).collect()}
     assert top == {k: sum(d[3] == 1 for d in data if d[1] == k) for k in top}
 
