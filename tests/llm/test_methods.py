@@ -1,0 +1,39 @@
+"""Brute-force comparisons of parts that SQL doesn't express."""
+
+import collections
+import math
+import re
+import zlib
+
+import pytest
+
+from pitchlake.llm import mixing
+from pitchlake.llm.queries import QUERIES
+
+
+@pytest.mark.parametrize("shares", [{"a": 1}, {"a": 5, "b": 3, "c": 2}, {"x": 900, "y": 1, "z": 99}])
+def test_schedule_stays_within_one_block(shares):
+    parts = mixing.quanta(shares, 256)
+    assert sum(parts.values()) == 256
+    seen = collections.Counter()
+    for slot, source, block, release, deadline in mixing.schedule(parts):
+        assert release <= slot < deadline and block == seen[source]
+        seen[source] += 1
+        assert all(abs(seen[s] - (slot + 1) * p / 256) < 1 for s, p in parts.items())
+
+
+def test_language_model_counts(spark):
+    folder = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = {
+        i: re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)) + ["\n"] for i, t in rows}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in words}
+    counts = collections.Counter(w for i in words if not held[i] for w in words[i])
+    below = math.log10(counts.total() + 0.5 * (len(counts) + 1))
+    for r in QUERIES["op7_class_lm"](spark, folder).collect():
+        own = words[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (
+            held[r.doc_id], len(own), sum(counts[w] > 0 for w in own), counts.total())
+        base = sum(math.log10(counts[w] + 0.5) - below for w in own)
+        assert r.base_score == pytest.approx(base, rel=1e-9) and r.score < 0
