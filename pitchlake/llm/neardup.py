@@ -156,14 +156,12 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where(
         "u <> v").distinct()
     edges = materialise(edges, "edges")
-    before = None
-    while (now := _fingerprint(edges)) != before:
-        before = now
+    while not _are_stars(edges):
         both = edges.union(edges.select(F.col("v"), F.col("u")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(
             "u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+            F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         edges = materialise(
@@ -173,10 +171,24 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("v"), F.col("v")).distinct())
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    """Changes when the set of edges does."""
-    hashed = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count("*"), F.sum(hashed)).first())
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every edge (u, v) leads from a node without other edges to its group's smallest."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    inner = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return inner.where("up > 1 or up + down > 1").count() == 0
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after ``links`` (a, b): only groups are linked, not their nodes."""
+    between = links
+    for end in ("a", "b"):
+        between = between.join(
+            labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end)
+    moved = components(between.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
+    moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return labels.join(moved, "label", "left").select(
+        "node", F.coalesce("to", "label").alias("label"))
 
 
 def _labelled(nodes: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -272,11 +284,9 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
         .select("node", "text").mapInArrow(as_sets, "node long, set binary, wide binary")
         .groupBy("node").agg(F.first("set").alias("set"), F.first("wide").alias("wide")), "sets")
 
-    links, tested, labels = None, None, None
+    tested, labels = None, None
     wide = sets.select("node", "wide")
-    rounds = ["star"] * STAR_ROUNDS + ["cross"]
-    while rounds:
-        turn = rounds.pop(0)
+    for turn in ["star"] * STAR_ROUNDS + ["cross"]:
         rows = buckets.join(_labelled(traits.select("node", "crowd"), labels), "node")
         if turn == "star":
             pairs = _star_pairs(rows, traits, percent)
@@ -284,15 +294,13 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
             pairs = _cross_pairs(rows, traits.join(wide, "node"), crowds, percent)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        found = materialise(_confirmed(pairs, sets, percent), "links")
-        if found.isEmpty() and labels is not None:  # more stars would propose the same again
-            rounds = rounds[-1:]
-            tested = tested.union(pairs)
-            continue
+        if turn == "star":  # the last round's pairs are tested once
+            pairs = materialise(pairs, "pairs")
+        found = _confirmed(pairs, sets, percent)
         tested = pairs if tested is None else tested.union(pairs)
-        links = found if links is None else links.union(found)
-        labels = materialise(components(links), "labels")
+        labels = _labelled(members, components(found)) if labels is None else _relabelled(
+            labels, found)
+        labels = materialise(labels, "labels")
 
     return _result(signed, nodes, labels)
 
