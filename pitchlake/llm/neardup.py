@@ -125,7 +125,7 @@ def _as(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with 100 * intersection >= percent * union on their full sets."""
+    """(a, b): the labels of the pairs with 100 * intersection >= percent * union on full sets."""
 
     def confirm(batches):
         for batch in batches:
@@ -141,7 +141,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("set").alias("a_set"))
     right = sets.select(F.col("node").alias("b"), F.col("set").alias("b_set"))
     return (
-        pairs.join(left, "a").join(right, "b").select("a", "b", "a_set", "b_set")
+        pairs.join(left, "a").join(right, "b").select(
+            F.col("a_label").alias("a"), F.col("b_label").alias("b"), "a_set", "b_set")
         .mapInArrow(confirm, "a long, b long")
     )
 
@@ -179,14 +180,29 @@ def _are_stars(edges: DataFrame) -> bool:
     return inner.where("up > 1 or up + down > 1").count() == 0
 
 
+def _tree_labels(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) for ``nodes``: the smallest node of each tree of ``links`` (a, b).
+
+    Links lead each a to one b and never in a circle, so pointers are doubled until all end at
+    roots; a step is one join, and a tree of depth d takes log2(d) + 1 steps.
+    """
+    ups = materialise(
+        nodes.join(links.withColumnRenamed("a", "node"), "node", "left").select(
+            "node", F.coalesce("b", "node").alias("up")), "ups")
+    moved = True
+    while moved:
+        higher = ups.select(F.col("node").alias("up"), F.col("up").alias("higher"))
+        ups = materialise(ups.join(higher, "up").select(
+            "node", F.col("higher").alias("up"),
+            (F.col("higher") != F.col("up")).alias("moved")), "ups")
+        moved = ups.agg(F.max("moved")).first()[0]
+    least = ups.groupBy("up").agg(F.min("node").alias("label"))
+    return ups.join(least, "up").select("node", "label")
+
+
 def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
-    """``labels`` (node, label) after ``links`` (a, b): only groups are linked, not their nodes."""
-    between = links
-    for end in ("a", "b"):
-        between = between.join(
-            labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end)
-    moved = components(between.select(F.col("a_label").alias("a"), F.col("b_label").alias("b")))
-    moved = moved.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    """``labels`` (node, label) after ``links`` (a, b) of labels."""
+    moved = components(links).select(F.col("node").alias("label"), F.col("label").alias("to"))
     return labels.join(moved, "label", "left").select(
         "node", F.coalesce("to", "label").alias("label"))
 
@@ -248,27 +264,21 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
     ), "signatures")
 
     # A node for all documents with the same set; its text is that of one of them.
-    filled = signed.where("n > 0")
     nodes = materialise(
-        filled.groupBy("one", "two", "n").agg(
-            F.min("doc_id").alias("least"), F.min(F.struct("node", "doc_id")).alias("own"))
+        signed.where("n > 0").groupBy("one", "two", "n").agg(
+            F.min("doc_id").alias("least"),
+            F.min(F.struct("node", "doc_id", "sketch", "bands")).alias("own"))
         .select("one", "two", "n", "least", "own.*"), "nodes")
-    own = nodes.select("node", F.col("doc_id").alias("own_id"))
-    traits = (
-        filled.join(own, (filled.node == own.node) & filled.doc_id.eqNullSafe(own.own_id), "semi")
-        .groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"),
-                             F.first("bands").alias("bands"))
-    )
     # The buckets of more than one node.
-    dealt = traits.select("node", F.explode("bands").alias("key"))
-    shared = dealt.groupBy("key").agg(F.min("node").alias("x"), F.max("node").alias("y")).where(
-        "x <> y").select("key")
-    buckets = materialise(dealt.join(shared, "key", "left_semi"), "buckets")
+    dealt = nodes.select("node", F.explode("bands").alias("key"))
+    shared = dealt.groupBy("key").agg(
+        F.min("node").alias("x"), F.max("node").alias("y"), F.count("*").alias("crowd")).where(
+        "x <> y").select("key", "crowd")
+    buckets = materialise(dealt.join(shared, "key"), "buckets")
     # A node that shares its buckets with many others is near the middle of its group.
-    crowds = buckets.groupBy("key").agg(F.count("*").alias("crowd"))
-    members = buckets.join(crowds, "key").groupBy("node").agg(F.sum("crowd").alias("crowd"))
-    traits = materialise(traits.join(members, "node"), "traits")
-    members = traits.select("node")
+    weights = buckets.groupBy("node").agg(F.sum("crowd").alias("weight"))
+    traits = materialise(
+        nodes.select("node", "doc_id", "n", "sketch", "bands").join(weights, "node"), "traits")
 
     def as_sets(batches):
         for batch in tokens.pieces(batches, 8_000_000):
@@ -277,61 +287,58 @@ def _grouped(docs: DataFrame, percent: int, size: int) -> DataFrame:
                 batch.column(0), pa.array([s.tobytes() for s in sets], pa.binary()),
                 pa.array([_wide(s) for s in sets], pa.binary())], ["node", "set", "wide"])
 
-    wanted = nodes.join(members, "node", "left_semi").select("node", "doc_id")
+    wanted = traits.select("node", "doc_id")
     sets = materialise(
         texts.join(wanted, (texts.node == wanted.node) & texts.doc_id.eqNullSafe(wanted.doc_id),
                    "left_semi")
         .select("node", "text").mapInArrow(as_sets, "node long, set binary, wide binary")
         .groupBy("node").agg(F.first("set").alias("set"), F.first("wide").alias("wide")), "sets")
 
-    tested, labels = None, None
+    labels = None
     wide = sets.select("node", "wide")
     for turn in ["star"] * STAR_ROUNDS + ["cross"]:
-        rows = buckets.join(_labelled(traits.select("node", "crowd"), labels), "node")
+        rows = buckets.join(_labelled(traits.select("node", "weight"), labels), "node")
         if turn == "star":
             pairs = _star_pairs(rows, traits, percent)
         else:
-            pairs = _cross_pairs(rows, traits.join(wide, "node"), crowds, percent)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if turn == "star":  # the last round's pairs are tested once
-            pairs = materialise(pairs, "pairs")
+            pairs = _cross_pairs(rows, traits.join(wide, "node"), percent)
         found = _confirmed(pairs, sets, percent)
-        tested = pairs if tested is None else tested.union(pairs)
-        labels = _labelled(members, components(found)) if labels is None else _relabelled(
-            labels, found)
-        labels = materialise(labels, "labels")
+        # At first labels are nodes, and every hub has more weight than those that it meets.
+        labels = materialise(
+            _tree_labels(traits.select("node"), found) if labels is None
+            else _relabelled(labels, found), "labels")
 
     return _result(signed, nodes, labels)
 
 
 def _star_pairs(rows: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
-    """At most one pair (a, b) for each node: with the most similar hub of its buckets.
+    """At most one pair (a, b) for each node, with labels: with the most similar hub of its buckets.
 
-    A bucket's hub is the node with the largest crowd in its own buckets, which near copies of one
-    text have in common; nodes of the hub's label need no pair.
+    A bucket's hub is the node of most weight, the crowds of its own buckets, which near copies of
+    one text have in common; nodes of the hub's label need no pair.
     """
     hubs = rows.groupBy("key").agg(
-        F.max(F.struct("crowd", "node", "label")).alias("hub"), F.min("label").alias("low"),
+        F.max(F.struct("weight", "node", "label")).alias("hub"), F.min("label").alias("low"),
         F.max("label").alias("most")).where("low <> most").select(
         "key", F.col("hub.node").alias("hub"), F.col("hub.label").alias("hub_label"))
     pairs = rows.join(hubs, "key").where("label <> hub_label").select(
-        F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        F.col("node").alias("a"), F.col("hub").alias("b"), F.col("label").alias("a_label"),
+        F.col("hub_label").alias("b_label")).distinct()
+    # Joined by a at last, as what follows groups and joins by it.
     known = pairs.join(
-        _as(traits.select("node", "n", "sketch"), "a"), F.col("a") == F.col("a_node")).join(
-        _as(traits.select("node", "n", "sketch"), "b"), F.col("b") == F.col("b_node"))
+        _as(traits.select("node", "n", "sketch"), "b"), F.col("b") == F.col("b_node")).join(
+        _as(traits.select("node", "n", "sketch"), "a"), F.col("a") == F.col("a_node"))
+    near = F.round(_estimate("a_sketch", "b_sketch"), 1)
     return (
         known.where(_possible("a", "b", percent))
-        .select("a", "b", F.round(_estimate("a_sketch", "b_sketch"), 1).alias("near"))
-        .groupBy("a").agg(F.min(F.struct((-F.col("near")).alias("far"), F.col("b"))).alias("best"))
-        .select("a", F.col("best.b").alias("b"))
+        .groupBy("a").agg(F.min(F.struct((-near).alias("far"), "b", "a_label", "b_label")).alias(
+            "best"))
+        .select("a", "best.b", "best.a_label", "best.b_label")
     )
 
 
-def _cross_pairs(
-    rows: DataFrame, traits: DataFrame, crowds: DataFrame, percent: int
-) -> DataFrame:
-    """All possible pairs of a bucket's nodes with different labels, each once.
+def _cross_pairs(rows: DataFrame, traits: DataFrame, percent: int) -> DataFrame:
+    """All possible pairs of a bucket's nodes with different labels, each once, with the labels.
 
     Only buckets that still hold several labels take part. A bucket's nodes meet in blocks, so a
     task holds two blocks at most; sketches are compared there and only pairs come out that sizes,
@@ -340,13 +347,12 @@ def _cross_pairs(
     """
     mixed = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(
         "low <> high").select("key")
-    blocks = F.ceil(F.col("__crowd") / BLOCK_NODES).cast("int")
-    own = F.pmod(F.xxhash64("node", "key"), F.col("__blocks")).cast("int")
+    blocks = F.ceil(F.col("crowd") / BLOCK_NODES).cast("int")
+    own = F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")
     near = (
-        rows.select("key", "node", "label").join(mixed, "key")
-        .join(crowds.withColumnRenamed("crowd", "__crowd"), "key")
-        .withColumn("__blocks", blocks).withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+        rows.select("key", "node", "crowd", "label").join(mixed, "key")
+        .withColumn("blocks", blocks).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("key", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"),
                 "own", "node", "label")
         .join(traits.select("node", "n", "sketch", "wide", "bands"), "node")
@@ -366,7 +372,7 @@ def _cross_pairs(
         rest = 1 - 2 / SKETCH_BITS
         most = int(SKETCH_BITS / 2 * (1 - rest ** (2 * SAMPLES * (1 - LEAST_ESTIMATE)))) + 1
         left, right = np.flatnonzero(own == p), np.flatnonzero(own == q)
-        a_out, b_out = [], []
+        first, second = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for i in left:
             js = right[right > i] if p == q else right
             js = js[(label[js] != label[i])
@@ -376,13 +382,13 @@ def _cross_pairs(
             apart = np.bitwise_count(wide[js] ^ wide[i]).sum(axis=1).astype(np.int64)
             both = n[js] + n[i]
             js = js[100 * (both - apart) >= percent * (both + apart)]
-            a_out.append(np.maximum(node[js], node[i]))
-            b_out.append(np.minimum(node[js], node[i]))
-        return pa.table({
-            "a": pa.array(np.concatenate([np.zeros(0, np.int64), *a_out])),
-            "b": pa.array(np.concatenate([np.zeros(0, np.int64), *b_out]))})
+            first.append(np.full(len(js), i))
+            second.append(js)
+        i, j = np.concatenate(first), np.concatenate(second)
+        return pa.table({"a": node[i], "b": node[j], "a_label": label[i], "b_label": label[j]})
 
-    return near.groupBy("key", "p", "q").applyInArrow(compare, "a long, b long").distinct()
+    return near.groupBy("key", "p", "q").applyInArrow(
+        compare, "a long, b long, a_label long, b_label long")
 
 
 def _result(signed: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
