@@ -485,7 +485,11 @@ def _(ctx):
     return limits.distinct_values(ctx.base("part"), "p_brand")
 
 
-@check("q_sample_keys", "SRT-5 SRT-4")
+@check(
+    "q_sample_keys", "SRT-5 SRT-4",
+    """select l_orderkey from (select distinct l_orderkey from lineitem)
+       order by md5(cast(l_orderkey as varchar) || '/42'), l_orderkey limit 20""",
+)
 def _(ctx):
     sample = limits.sample_keys(ctx.base("lineitem"), "l_orderkey", 20)
     return limits.head(sample, 20)

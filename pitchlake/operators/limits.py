@@ -31,8 +31,8 @@ def head(df: DataFrame, n: int) -> DataFrame:
 
 
 def sample_keys(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` distinct keys, the same ones for the same seed whatever the row order."""
+    """``n`` distinct keys, the least by md5 of ``key/seed``, whatever the row order."""
     return (
         df.select(key).filter(F.col(key).isNotNull()).distinct()
-        .orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+        .orderBy(F.md5(F.concat(F.col(key).cast("string"), F.lit(f"/{seed}"))), key).limit(n)
     )
