@@ -22,6 +22,45 @@ def test_schedule_stays_within_one_block(shares):
         assert all(abs(seen[s] - (slot + 1) * p / 256) < 1 for s, p in parts.items())
 
 
+@pytest.mark.parametrize("sizes,shares,segment", [
+    ([9 + i % 7 for i in range(700)], None, 2000),
+    ([50 + 13 * i for i in range(20)], None, 64),
+    ([80] * 20, {f"s{i}": 1 for i in range(20)}, 64),
+    ([300, 90, 70], {"s0": 0.6, "s1": 0.3, "s2": 0.1}, 7),
+])
+def test_mix_follows_the_true_weights(spark, sizes, shares, segment):
+    docs = spark.createDataFrame(
+        [(1000 * i + j, f"s{i}") for i, n in enumerate(sizes) for j in range(n)],
+        "doc_id long, source string").repartition(3)
+    weights = shares or {f"s{i}": math.sqrt(n) for i, n in enumerate(sizes)}
+    rows = mixing.mix(docs, shares, block_rows=2, segment_slots=segment).collect()
+    assert sorted(r.mix_position for r in rows) == list(range(sum(sizes)))
+    ordered = sorted(rows, key=lambda r: r.mix_position)
+    assert [r.mix_slot for r in ordered] == sorted(r.mix_slot for r in rows)
+    at = {r.mix_slot: r for r in rows}
+    assert len(at) == sum(-(-n // 2) for n in sizes)  # a slot for each block
+    # The blocks by an independent count of the deviation, until a source has run out.
+    out = min(max(r.mix_slot for r in rows if r.source == s) for s in weights)
+    total, seen = sum(weights.values()), collections.Counter()
+    for slot in range(out + 1):
+        r = at[slot]
+        assert r.mix_block == seen[r.source] and r.mix_release <= slot < r.mix_deadline
+        seen[r.source] += 1
+        assert all(abs(seen[s] - (slot + 1) * w / total) < 1 for s, w in weights.items())
+    if shares:  # cut into segments or not, the schedule is that of one run
+        parts = {s: round(10 * w) for s, w in shares.items()}
+        unit = math.gcd(*parts.values())
+        parts = {s: p // unit for s, p in parts.items()}
+        period = sum(parts.values())
+        want = {slot: source for slot, source, *_ in mixing.schedule(parts)}
+        assert all(want[slot % period] == r.source for slot, r in at.items())
+
+
+def test_parts_of_more_sources_than_the_period_are_an_error():
+    with pytest.raises(ValueError):
+        mixing.quanta({str(i): 1 for i in range(5)}, 4)
+
+
 def test_language_model_counts(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
