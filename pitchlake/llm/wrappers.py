@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import json
 import re
+from collections.abc import Generator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -72,7 +73,7 @@ def _element(name: str, attributes: str) -> Element:
             for k, v in _ATTRIBUTE.findall(attributes)}
         first = found.get("class", "").split()
         if first:
-            label += "." + re.sub(r"\d+", "", first[0])
+            label += "." + re.sub(r"[\d/]+", "", first[0])  # "/" parts labels in paths
         words = re.split(r"[\s_-]+", " ".join(
             found.get(k, "") for k in ("class", "id", "role")).lower())
         aside = aside or "hidden" in found or (
@@ -132,6 +133,21 @@ def _close(stack: list[Element], names: set[str], limits) -> None:
 
 
 # --- wrappers -------------------------------------------------------------------------------------
+# Pages may nest as deep as they are long, so what walks trees is written as generators that yield
+# the calls they wait for; ``_run`` keeps those on a list.
+
+
+def _run(call: Generator):
+    """The result of ``call`` and of all calls it yields."""
+    stack, value = [call], None
+    while stack:
+        try:
+            stack.append(stack[-1].send(value))
+            value = None
+        except StopIteration as done:
+            stack.pop()
+            value = done.value
+    return value
 
 
 class Group:
@@ -146,19 +162,33 @@ class Group:
         self.parts: list[Group] = []
 
     def as_list(self) -> list:
-        return [self.label, self.aside, self.optional, self.repeated, self.chars, self.linked,
-                [p.as_list() for p in self.parts]]
+        """Rows (depth, label, flags and sizes) from the outside in, in order."""
+        out, stack = [], [(0, self)]
+        while stack:
+            depth, g = stack.pop()
+            out.append([depth, g.label, g.aside, g.optional, g.repeated, g.chars, g.linked])
+            stack.extend((depth + 1, p) for p in reversed(g.parts))
+        return out
 
     @staticmethod
     def from_list(data: list) -> Group:
-        out = Group(data[0], data[1])
-        out.optional, out.repeated, out.chars, out.linked = data[2:6]
-        out.parts = [Group.from_list(p) for p in data[6]]
-        return out
+        line: list[Group] = []
+        for depth, label, aside, *rest in data:
+            group = Group(label, aside)
+            group.optional, group.repeated, group.chars, group.linked = rest
+            del line[depth:]
+            if line:
+                line[-1].parts.append(group)
+            line.append(group)
+        return line[0]
+
+
+def wrapper_of(element: Element) -> Group:
+    """The expression of one page's element: runs of children with one label are folded."""
+    return _run(_wrapper_of(element, False))
 
 
-def wrapper_of(element: Element, link: bool = False) -> Group:
-    """The expression of one page's element: runs of children with one label are folded."""
+def _wrapper_of(element: Element, link: bool):
     out = Group(element.label, element.aside)
     link = link or element.name == "a"
     for child in element.children:
@@ -167,17 +197,17 @@ def wrapper_of(element: Element, link: bool = False) -> Group:
             out.chars += n
             out.linked += n if link else 0
             continue
-        part = wrapper_of(child, link)
+        part = yield _wrapper_of(child, link)
         if out.parts and out.parts[-1].label == part.label:
-            out.parts[-1] = merge(out.parts[-1], part)
+            out.parts[-1] = yield _merge(out.parts[-1], part)
             out.parts[-1].repeated = True
         else:
             out.parts.append(part)
-    _fold(out)
+    yield _fold(out)
     return out
 
 
-def _fold(group: Group) -> None:
+def _fold(group: Group):
     """Fold runs of several labels that follow one another again: a b a b becomes (a b)+."""
     for size in range(2, 5):
         at = 0
@@ -185,7 +215,7 @@ def _fold(group: Group) -> None:
             one, two = group.parts[at : at + size], group.parts[at + size : at + 2 * size]
             if [p.label for p in one] == [p.label for p in two]:
                 for i in range(size):
-                    one[i] = merge(one[i], two[i])
+                    one[i] = yield _merge(one[i], two[i])
                     one[i].repeated = True
                 group.parts[at : at + 2 * size] = one
             else:
@@ -194,12 +224,17 @@ def _fold(group: Group) -> None:
 
 def merge(a: Group, b: Group) -> Group:
     """The expression of both: common parts in order, the rest optional."""
+    return _run(_merge(a, b))
+
+
+def _merge(a: Group, b: Group):
     out = Group(a.label, a.aside and b.aside)
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     out.chars, out.linked = a.chars + b.chars, a.linked + b.linked
     left, right = [p.label for p in a.parts], [p.label for p in b.parts]
     if left == right:
-        out.parts = [merge(x, y) for x, y in zip(a.parts, b.parts, strict=True)]
+        for x, y in zip(a.parts, b.parts, strict=True):
+            out.parts.append((yield _merge(x, y)))
         return out
     # Longest common subsequence of labels, from the ends.
     n, m = len(left), len(right)
@@ -212,7 +247,7 @@ def merge(a: Group, b: Group) -> Group:
     i = j = 0
     while i < n or j < m:
         if i < n and j < m and left[i] == right[j]:
-            part, i, j = merge(a.parts[i], b.parts[j]), i + 1, j + 1
+            part, i, j = (yield _merge(a.parts[i], b.parts[j])), i + 1, j + 1
         elif j >= m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             part, i = a.parts[i], i + 1
             part.optional = True
@@ -220,7 +255,7 @@ def merge(a: Group, b: Group) -> Group:
             part, j = b.parts[j], j + 1
             part.optional = True
         if out.parts and out.parts[-1].label == part.label:  # optional runs meet: a? a+ is a+
-            part = merge(out.parts[-1], part)
+            part = yield _merge(out.parts[-1], part)
             part.repeated = True
             out.parts[-1] = part
         else:
@@ -234,30 +269,49 @@ def article_paths(wrapper: Group) -> list[str]:
     These are the outermost article elements, or else main ones, with text. A wrapper without either
     gives the element whose own blocks hold most text outside of links.
     """
-    found: dict[str, list[str]] = {"article": [], "main": []}
-    mass: dict[str, float] = {}
-
-    def walk(group: Group, path: str, inside: str) -> int:
+    found: dict[str, set[int]] = {"article": set(), "main": set()}
+    # Paths are numbers, and written out at the end: a deep one is as long as all above it together.
+    numbers: dict[tuple[int, str], int] = {}
+    steps: list[tuple[int, str]] = []
+    mass: dict[int, float] = {}
+
+    def number(parent: int, label: str) -> int:
+        if (parent, label) not in numbers:
+            numbers[parent, label] = len(steps)
+            steps.append((parent, label))
+        return numbers[parent, label]
+
+    def written(path: int) -> str:
+        labels = []
+        while path >= 0:
+            path, label = steps[path]
+            labels.append(label)
+        return "/".join(reversed(labels))
+
+    def walk(group: Group, path: int, inside: str):
         """Characters of text in the group, outside of links and of what surrounds articles."""
         if group.aside:
             return 0
         kind = group.label.split(".")[0]
         here = kind if kind in found else ""
         own = group.chars - group.linked
-        below = [(p, walk(p, f"{path}/{p.label}", inside or here)) for p in group.parts]
+        below = []
+        for p in group.parts:
+            below.append((p, (yield walk(p, number(path, p.label), inside or here))))
         total = own + sum(n for _, n in below)
         if here and total and here not in inside:
-            found[here].append(path)
+            found[here].add(path)
         # Text directly inside or in blocks right below counts for the container.
         mass[path] = own + sum(n for p, n in below if p.label.split(".")[0] not in _CONTAINERS)
         return total
 
-    walk(wrapper, wrapper.label, "")
+    _run(walk(wrapper, number(-1, wrapper.label), ""))
     for kind in ("article", "main"):
         if found[kind]:
-            return sorted(set(found[kind]))
-    best = max(mass, key=lambda p: (mass[p], -len(p), p), default=None)
-    return [best] if best is not None and mass[best] else []
+            return sorted(map(written, found[kind]))
+    most = max(mass.values(), default=0)
+    best = [written(p) for p, n in mass.items() if n == most] if most else []
+    return [max(best, key=lambda p: (-len(p), p))] if best else []
 
 
 _CONTAINERS = frozenset("html body div section main article table tbody tr td ul ol dl".split())
@@ -265,7 +319,13 @@ _CONTAINERS = frozenset("html body div section main article table tbody tr td ul
 
 def main_text(root: Element, paths: list[str]) -> str:
     """The text of a page's elements at ``paths``: blocks in page order, one line each."""
-    wanted, blocks, line = set(paths), [], []
+    blocks, line = [], []
+    wanted: dict = {}  # by label, the paths below it; None marks an end
+    for path in paths:
+        at = wanted
+        for label in path.split("/"):
+            at = at.setdefault(label, {})
+        at[None] = {}
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(line)).split())
@@ -273,8 +333,8 @@ def main_text(root: Element, paths: list[str]) -> str:
         if text:
             blocks.append(text)
 
-    def walk(element: Element, path: str, inside: bool) -> None:
-        entered = not inside and path in wanted
+    def walk(element: Element, at: dict, inside: bool):
+        entered = not inside and None in at
         # A heading group of the article is its own, any other header surrounds it.
         if element.aside or (element.name == "header" and not inside):
             return
@@ -288,12 +348,12 @@ def main_text(root: Element, paths: list[str]) -> str:
                     line.append(child)
             elif child.name == "br":
                 line.append(" ")
-            else:
-                walk(child, f"{path}/{child.label}", inside)
+            elif inside or child.label in at:
+                yield walk(child, at.get(child.label, {}), inside)
         if inside and block or entered:
             flush()
 
-    walk(root, root.label, False)
+    _run(walk(root, wanted.get(root.label, {}), False))
     flush()
     return "\n".join(blocks)
 

@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from pitchlake.llm import mixing
+from pitchlake.llm import mixing, wrappers
 from pitchlake.llm.queries import QUERIES
 
 
@@ -61,6 +61,17 @@ def test_parts_of_more_sources_than_the_period_are_an_error():
         mixing.quanta({str(i): 1 for i in range(5)}, 4)
 
 
+def test_pages_may_nest_deeply(spark):
+    deep = "<article>" + "".join(f"<font>word{i} " for i in range(5000))
+    nested = "<div>" * 3000 + "<p>inner text" + "</div>" * 3000
+    pages = [(1, "http://a.com/1", deep), (2, "http://a.com/2", deep), (3, "http://b.com", nested),
+             (4, "http://c.com", "<article><p>plain</article>")]
+    found = wrappers.extract(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    texts = {r.page_id: r["__text"] for r in found.collect()}
+    words = " ".join(f"word{i}" for i in range(5000))
+    assert texts == {1: words, 2: words, 3: "inner text", 4: "plain"}
+
+
 def test_language_model_counts(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
