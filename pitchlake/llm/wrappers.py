@@ -3,8 +3,9 @@
 A page's tokens form a tree of labelled elements and text slots. The wrapper of a host aligns its
 pages' trees one after the other: at each level the sequences of children are aligned, runs of equal
 labels become repeated groups, children that only some pages have become optional groups, and texts
-become slots whose sizes add up. The wrapper then names the element that holds the article, and
-every page of the host gives the text of its slots there.
+become slots whose sizes add up and whose texts are compared: a slot with one text on several pages
+is template, others are content. The wrapper then names the elements that hold the article and those
+inside that don't belong to it, and every page of the host gives the text of its slots there.
 
 Merging wrappers is associative, so each task merges the pages it reads and a host's partial
 wrappers, a few small trees however many pages it has, meet in one group.
@@ -12,6 +13,7 @@ wrappers, a few small trees however many pages it has, meet in one group.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -42,7 +44,7 @@ SIBLINGS = {
 ASIDE = frozenset(
     "nav footer aside form button select menu dialog svg canvas object audio video head".split()
 ) | RAW
-#: Words in classes, ids and roles that mark what surrounds an article.
+#: Words in classes, ids and roles that often mark what surrounds an article. The wrapper decides.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "complementary consent contentinfo cookie cookies disqus footer menu modal nav navbar "
@@ -50,6 +52,9 @@ MARKS = frozenset(
     "promotion recommended related search share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription toolbar widget".split())
 
+#: Ends labels of elements with such a word, so that they are aligned among themselves.
+MARKED = ".!"
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|"
     r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|</?[a-zA-Z][^>]*\Z", re.S)
@@ -76,10 +81,11 @@ def _element(name: str, attributes: str) -> Element:
             label += "." + re.sub(r"[\d/]+", "", first[0])  # "/" parts labels in paths
         words = re.split(r"[\s_-]+", " ".join(
             found.get(k, "") for k in ("class", "id", "role")).lower())
-        aside = aside or "hidden" in found or (
-            name not in ("html", "body") and not MARKS.isdisjoint(words))
+        aside = aside or "hidden" in found
         if "main" == found.get("role"):
             label = "main"
+        if name not in ("html", "body") and not MARKS.isdisjoint(words):
+            label += MARKED
     return Element(name, label, aside)
 
 
@@ -153,10 +159,12 @@ def _run(call: Generator):
 class Group:
     """A part of a wrapper: one element of the expression with its flags and its own expression."""
 
-    __slots__ = ("label", "aside", "optional", "repeated", "chars", "linked", "parts")
+    __slots__ = (
+        "label", "aside", "optional", "repeated", "chars", "linked", "pages", "text", "parts")
 
     def __init__(self, label: str, aside: bool):
         self.label, self.aside = label, aside
+        self.pages, self.text = 1, ""  # pages at least; hash of the slots, None if texts differ
         self.optional = self.repeated = False
         self.chars = self.linked = 0  # of text slots directly inside, and of those in links
         self.parts: list[Group] = []
@@ -166,7 +174,8 @@ class Group:
         out, stack = [], [(0, self)]
         while stack:
             depth, g = stack.pop()
-            out.append([depth, g.label, g.aside, g.optional, g.repeated, g.chars, g.linked])
+            out.append([depth, g.label, g.aside, g.optional, g.repeated, g.chars, g.linked,
+                        g.pages, g.text])
             stack.extend((depth + 1, p) for p in reversed(g.parts))
         return out
 
@@ -175,7 +184,8 @@ class Group:
         line: list[Group] = []
         for depth, label, aside, *rest in data:
             group = Group(label, aside)
-            group.optional, group.repeated, group.chars, group.linked = rest
+            (group.optional, group.repeated, group.chars, group.linked, group.pages,
+             group.text) = rest
             del line[depth:]
             if line:
                 line[-1].parts.append(group)
@@ -191,6 +201,9 @@ def wrapper_of(element: Element) -> Group:
 def _wrapper_of(element: Element, link: bool):
     out = Group(element.label, element.aside)
     link = link or element.name == "a"
+    slots = [c.strip() for c in element.children if isinstance(c, str) and c.strip()]
+    if slots:
+        out.text = hashlib.md5("\0".join(slots).encode("utf-8", "replace")).hexdigest()
     for child in element.children:
         if isinstance(child, str):
             n = len(child.strip())
@@ -199,7 +212,7 @@ def _wrapper_of(element: Element, link: bool):
             continue
         part = yield _wrapper_of(child, link)
         if out.parts and out.parts[-1].label == part.label:
-            out.parts[-1] = yield _merge(out.parts[-1], part)
+            out.parts[-1] = yield _merge(out.parts[-1], part, True)
             out.parts[-1].repeated = True
         else:
             out.parts.append(part)
@@ -215,7 +228,7 @@ def _fold(group: Group):
             one, two = group.parts[at : at + size], group.parts[at + size : at + 2 * size]
             if [p.label for p in one] == [p.label for p in two]:
                 for i in range(size):
-                    one[i] = yield _merge(one[i], two[i])
+                    one[i] = yield _merge(one[i], two[i], True)
                     one[i].repeated = True
                 group.parts[at : at + 2 * size] = one
             else:
@@ -224,17 +237,19 @@ def _fold(group: Group):
 
 def merge(a: Group, b: Group) -> Group:
     """The expression of both: common parts in order, the rest optional."""
-    return _run(_merge(a, b))
+    return _run(_merge(a, b, False))
 
 
-def _merge(a: Group, b: Group):
+def _merge(a: Group, b: Group, same_pages: bool):
     out = Group(a.label, a.aside and b.aside)
     out.optional, out.repeated = a.optional or b.optional, a.repeated or b.repeated
     out.chars, out.linked = a.chars + b.chars, a.linked + b.linked
+    out.pages = max(a.pages, b.pages) if same_pages else a.pages + b.pages
+    out.text = a.text if a.text == b.text else None
     left, right = [p.label for p in a.parts], [p.label for p in b.parts]
     if left == right:
         for x, y in zip(a.parts, b.parts, strict=True):
-            out.parts.append((yield _merge(x, y)))
+            out.parts.append((yield _merge(x, y, same_pages)))
         return out
     # Longest common subsequence of labels, from the ends.
     n, m = len(left), len(right)
@@ -247,7 +262,7 @@ def _merge(a: Group, b: Group):
     i = j = 0
     while i < n or j < m:
         if i < n and j < m and left[i] == right[j]:
-            part, i, j = (yield _merge(a.parts[i], b.parts[j])), i + 1, j + 1
+            part, i, j = (yield _merge(a.parts[i], b.parts[j], same_pages)), i + 1, j + 1
         elif j >= m or (i < n and best[i + 1][j] >= best[i][j + 1]):
             part, i = a.parts[i], i + 1
             part.optional = True
@@ -255,7 +270,7 @@ def _merge(a: Group, b: Group):
             part, j = b.parts[j], j + 1
             part.optional = True
         if out.parts and out.parts[-1].label == part.label:  # optional runs meet: a? a+ is a+
-            part = yield _merge(out.parts[-1], part)
+            part = yield _merge(out.parts[-1], part, True)
             part.repeated = True
             out.parts[-1] = part
         else:
@@ -263,17 +278,113 @@ def _merge(a: Group, b: Group):
     return out
 
 
-def article_paths(wrapper: Group) -> list[str]:
-    """Paths of labels to the elements that hold the article.
+def _kind(group: Group) -> str:
+    return group.label.split(".")[0]
+
+
+def _marked(group: Group) -> bool:
+    return group.label.endswith(MARKED)
+
+
+def _inside(group: Group, enter) -> list[Group]:
+    """``group`` and the groups below it in order, not below those that ``enter`` refuses."""
+    out, stack = [], [group]
+    while stack:
+        g = stack.pop()
+        out.append(g)
+        if g is group or enter(g):
+            stack.extend(reversed(g.parts))
+    return out
 
-    These are the outermost article elements, or else main ones, with text. A wrapper without either
-    gives the element whose own blocks hold most text outside of links.
+
+def _weights(wrapper: Group):
+    """(own, full): functions from a group to its content, in characters outside of links.
+
+    Content is text that differs between pages. Where that says nothing, on a single page or if most
+    text outside of marked elements is the same on all of them, all text counts.
     """
+    whole = _inside(wrapper, lambda g: not g.aside)
+    free = _inside(wrapper, lambda g: not (g.aside or _marked(g)))
+    template = sum(_constant(g) * (g.chars - g.linked) for g in free if not (g.aside or _marked(g)))
+    content = sum(not _constant(g) and g.chars - g.linked for g in whole if not g.aside)
+    compare = content > template
+
+    def own(g: Group) -> int:
+        return 0 if compare and _constant(g) else g.chars - g.linked
+
+    sums: dict[int, int] = {}
+    for g in reversed(whole):  # parts come before what they are part of
+        sums[id(g)] = 0 if g.aside else own(g) + sum(sums[id(p)] for p in g.parts)
+    return compare, own, lambda g: sums.get(id(g), 0)
+
+
+def _constant(group: Group) -> bool:
+    """Whether several pages have the same text, or none, in the group's own slots."""
+    return group.pages > 1 and group.text is not None
+
+
+def _surrounding(wrapper: Group, own, full) -> set[int]:
+    """Ids of the marked groups that hold less content than all that isn't marked beside them.
+
+    They are compared within articles, or else within main elements, or else in the whole wrapper;
+    outside of the former all marked groups go.
+    """
+    def free(g: Group) -> bool:
+        return not (g.aside or _marked(g))
+
+    reached = _inside(wrapper, free)
+    gone = {id(g) for g in reached if _marked(g)}
+    scopes = [wrapper]
+    for kind in ("article", "main"):
+        if found := [g for g in reached if free(g) and _kind(g) == kind and full(g)]:
+            scopes = found
+            break
+    while scopes:
+        scope = scopes.pop()
+        reached = _inside(scope, free)
+        beside = sum(own(g) for g in reached if g is scope or free(g))
+        for g in reached[1:]:
+            if _marked(g):
+                gone.add(id(g))
+                if not g.aside and full(g) > beside:
+                    gone.discard(id(g))
+                    scopes.append(g)
+    return gone
+
+
+def _template(article: Group, gone: set[int]) -> set[int]:
+    """Ids of blocks in the article with the same text on several pages, if most of it differs."""
+    inside = _inside(article, lambda g: not (g.aside or id(g) in gone))
+    same: dict[int, bool] = {}
+    chars: dict[int, int] = {}
+    for g in reversed(inside):
+        if g.aside or id(g) in gone:
+            same[id(g)], chars[id(g)] = True, 0
+        else:
+            same[id(g)] = _constant(g) and all(same[id(p)] for p in g.parts)
+            chars[id(g)] = g.chars + sum(chars[id(p)] for p in g.parts)
+    blocks = [
+        g for g in inside[1:] if _kind(g) in BLOCKS and same[id(g)] and chars[id(g)]]
+    below = {id(p) for g in blocks for p in _inside(g, lambda p: True)[1:]}
+    dropped = sum(chars[id(g)] for g in blocks if id(g) not in below)
+    return {id(g) for g in blocks} if 2 * dropped < chars[id(article)] else set()
+
+
+def article_paths(wrapper: Group) -> tuple[list[str], list[str]]:
+    """Paths of labels to the elements that hold the article, and to those in it that don't.
+
+    The former are the outermost article elements, or else main ones, with text. A wrapper without
+    either gives the element whose own blocks hold most content outside of links. The latter are
+    marked elements without the main content, and blocks of template text.
+    """
+    compare, content, full = _weights(wrapper)
+    gone = _surrounding(wrapper, content, full)
     found: dict[str, set[int]] = {"article": set(), "main": set()}
     # Paths are numbers, and written out at the end: a deep one is as long as all above it together.
     numbers: dict[tuple[int, str], int] = {}
     steps: list[tuple[int, str]] = []
     mass: dict[int, float] = {}
+    places: dict[int, list[Group]] = {}
 
     def number(parent: int, label: str) -> int:
         if (parent, label) not in numbers:
@@ -290,11 +401,11 @@ def article_paths(wrapper: Group) -> list[str]:
 
     def walk(group: Group, path: int, inside: str):
         """Characters of text in the group, outside of links and of what surrounds articles."""
-        if group.aside:
+        if group.aside or id(group) in gone:
             return 0
-        kind = group.label.split(".")[0]
-        here = kind if kind in found else ""
-        own = group.chars - group.linked
+        here = _kind(group) if _kind(group) in found else ""
+        own = content(group)
+        places.setdefault(path, []).append(group)
         below = []
         for p in group.parts:
             below.append((p, (yield walk(p, number(path, p.label), inside or here))))
@@ -302,30 +413,46 @@ def article_paths(wrapper: Group) -> list[str]:
         if here and total and here not in inside:
             found[here].add(path)
         # Text directly inside or in blocks right below counts for the container.
-        mass[path] = own + sum(n for p, n in below if p.label.split(".")[0] not in _CONTAINERS)
+        mass[path] = own + sum(n for p, n in below if _kind(p) not in _CONTAINERS)
         return total
 
     _run(walk(wrapper, number(-1, wrapper.label), ""))
-    for kind in ("article", "main"):
-        if found[kind]:
-            return sorted(map(written, found[kind]))
     most = max(mass.values(), default=0)
-    best = [written(p) for p, n in mass.items() if n == most] if most else []
-    return [max(best, key=lambda p: (-len(p), p))] if best else []
+    # As many labels as fit are written out only for paths of equal content.
+    best = {p for p, n in mass.items() if n == most} if most else set()
+    if len(best) > 1:
+        best = {max(best, key=lambda p: (-len(written(p)), written(p)))}
+    chosen = found["article"] or found["main"] or best
+    drop, keep = set(), set()
+    for path in chosen:
+        for group in places[path]:
+            out = gone | _template(group, gone) if compare else gone
+            stack = [(group, path)]
+            while stack:
+                g, at = stack.pop()
+                if id(g) in out:
+                    drop.add(at)
+                elif not g.aside:
+                    keep.add(at)
+                    stack.extend((p, number(at, p.label)) for p in g.parts)
+    # A path that names several groups is dropped if all of them are.
+    return sorted(map(written, chosen)), sorted(map(written, drop - keep))
 
 
 _CONTAINERS = frozenset("html body div section main article table tbody tr td ul ol dl".split())
 
 
-def main_text(root: Element, paths: list[str]) -> str:
-    """The text of a page's elements at ``paths``: blocks in page order, one line each."""
+def main_text(root: Element, paths: list[str], dropped: list[str]) -> str:
+    """The text of a page's elements at ``paths`` without those at ``dropped``: blocks in page order,
+    one line each."""
     blocks, line = [], []
-    wanted: dict = {}  # by label, the paths below it; None marks an end
-    for path in paths:
-        at = wanted
-        for label in path.split("/"):
-            at = at.setdefault(label, {})
-        at[None] = {}
+    wanted: dict = {}  # by label, the paths below it; True ends one of paths, False a dropped one
+    for end, ends in ((True, paths), (False, dropped)):
+        for path in ends:
+            at = wanted
+            for label in path.split("/"):
+                at = at.setdefault(label, {})
+            at[end] = {}
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(line)).split())
@@ -334,9 +461,9 @@ def main_text(root: Element, paths: list[str]) -> str:
             blocks.append(text)
 
     def walk(element: Element, at: dict, inside: bool):
-        entered = not inside and None in at
+        entered = not inside and True in at
         # A heading group of the article is its own, any other header surrounds it.
-        if element.aside or (element.name == "header" and not inside):
+        if element.aside or False in at or (element.name == "header" and not inside):
             return
         inside = inside or entered
         block = element.name in BLOCKS
@@ -362,7 +489,7 @@ def main_text(root: Element, paths: list[str]) -> str:
 
 
 def infer(pages: DataFrame) -> DataFrame:
-    """(host, paths): where each host's pages hold their article, from all its pages."""
+    """(host, paths, dropped): where each host's pages hold their article, from all its pages."""
 
     def partial(batches):
         for batch in tokens.pieces(batches):
@@ -382,13 +509,15 @@ def infer(pages: DataFrame) -> DataFrame:
         for data in sorted(table.column("wrapper").to_pylist()):
             part = Group.from_list(json.loads(data))
             wrapper = part if wrapper is None else merge(wrapper, part)
+        paths, dropped = article_paths(wrapper)
         return pa.table({"host": pa.array([key[0].as_py()], pa.string()),
-                         "paths": pa.array([article_paths(wrapper)], pa.list_(pa.string()))})
+                         "paths": pa.array([paths], pa.list_(pa.string())),
+                         "dropped": pa.array([dropped], pa.list_(pa.string()))})
 
     return (
         pages.where("html is not null").select("host", "html")
         .mapInArrow(partial, "host string, wrapper string")
-        .groupBy("host").applyInArrow(whole, "host string, paths array<string>")
+        .groupBy("host").applyInArrow(whole, "host string, paths array<string>, dropped array<string>")
     )
 
 
@@ -403,7 +532,8 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[a-zA-Z]+://([^/?#]*)", 1)), F.lit(""))
     hosted = pages.withColumn("__host", host)
     wrappers = infer(hosted.select(F.col("__host").alias("host"), F.col(page).alias("html"))).select(
-        F.col("host").alias("__host"), F.col("paths").alias("__paths"))
+        F.col("host").alias("__host"), F.col("paths").alias("__paths"),
+        F.col("dropped").alias("__dropped"))
 
     names = pages.columns
 
@@ -411,18 +541,19 @@ def extract(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame
         for batch in tokens.pieces(batches):
             out = []
             column = batch.column(batch.schema.get_field_index(page)).to_pylist()
-            for source, paths in zip(
-                column, batch.column(batch.num_columns - 1).to_pylist(), strict=True
+            for source, paths, dropped in zip(
+                column, batch.column(batch.num_columns - 2).to_pylist(),
+                batch.column(batch.num_columns - 1).to_pylist(), strict=True
             ):
                 root = parse(source or "")
-                text = main_text(root, paths or [])
+                text = main_text(root, paths or [], dropped or [])
                 if not text and source:
-                    text = main_text(root, article_paths(wrapper_of(root)))
+                    text = main_text(root, *article_paths(wrapper_of(root)))
                 out.append(text)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(out, pa.string())], [*names, "__text"])
+                [*batch.columns[:-2], pa.array(out, pa.string())], [*names, "__text"])
 
-    joined = hosted.join(wrappers, "__host", "left").select(*names, "__paths")
+    joined = hosted.join(wrappers, "__host", "left").select(*names, "__paths", "__dropped")
     schema = ", ".join(f"`{n}` {t}" for n, t in pages.dtypes)
     return joined.mapInArrow(texts, f"{schema}, __text string")
 

@@ -72,6 +72,38 @@ def test_pages_may_nest_deeply(spark):
     assert texts == {1: words, 2: words, 3: "inner text", 4: "plain"}
 
 
+def _texts(spark, pages):
+    docs = spark.createDataFrame(
+        [(i, url, page) for i, (url, page) in enumerate(pages)],
+        "page_id long, url string, html string")
+    found = {r.page_id: r["__text"] for r in wrappers.extract(docs).collect()}
+    return [found[i] for i in range(len(pages))]
+
+
+def test_marked_elements_with_the_main_text_stay(spark):
+    body = [f"<p>text {i} of the page on its subject {i * i}</p>" for i in range(3)]
+    want = [f"text {i} of the page on its subject {i * i}" for i in range(3)]
+    shapes = [
+        "<div class='content has-sidebar'>{}</div>", "<main class='no-comments'>{}</main>",
+        "<article class='post ad-free'>{}</article>", "<div id='social-science'>{}</div>",
+        "<article><h1></h1><div class='share-target'>{}</div></article>"]
+    pages = [
+        (f"http://host{k}.com/{i}", "<div class='ad'>buy</div>" + shape.format(body[i]))
+        for k, shape in enumerate(shapes) for i in range(3)]
+    pages += [(f"http://single{k}.com", shape.format(body[0])) for k, shape in enumerate(shapes)]
+    assert _texts(spark, pages) == want * len(shapes) + want[:1] * len(shapes)
+
+
+def test_texts_that_all_pages_share_are_template(spark):
+    page = ("<article><h1>Title {0}</h1><div class='lead'>Lead {0} of some length</div><section>"
+            "Read our rules</section><div class='comments'>Bob says {0}</div>"
+            "<p>First {0} words here</p><p>Second {0} words here</p></article>")
+    want = "Title {0}\nLead {0} of some length\nFirst {0} words here\nSecond {0} words here"
+    copies = [("http://copies.com", "<article><p>always the same</p></article>")] * 3
+    got = _texts(spark, [(f"http://a.com/{i}", page.format(i)) for i in range(3)] + copies)
+    assert got == [want.format(i) for i in range(3)] + ["always the same"] * 3
+
+
 def test_language_model_counts(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
