@@ -34,6 +34,10 @@ ALLOWED = (
     r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}$",
 )
 
+#: Placeholders by themselves: for ``redact`` they free only the windows that hold one. The other
+#: values of ``ALLOWED`` describe whole candidates.
+PLACEHOLDER = r"(?i)example|placeholder|changeme|dummy|x{4,}|0{4,}|1234|abcd"
+
 #: What takes the place of a secret.
 MARK = "[SECRET]"
 
@@ -171,6 +175,24 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     return step.withColumn("__entropy", entropy).drop("__candidates")
 
 
+def _without_placeholders(candidate: Column) -> Column:
+    """Spans of hot windows of a candidate that have at least one window without a placeholder."""
+    text, hot = candidate["match"], _hot_windows(candidate)
+    held = _matches(text, PLACEHOLDER, 3)
+    # A window has no placeholder if it lies between two, up to three characters of each.
+    starts = F.concat(F.array(F.lit(0)), F.transform(held, lambda m: m["end"] - 3))
+    ends = F.concat(F.transform(held, lambda m: m["start"] + 3), F.array(F.length(text)))
+    pieces = F.filter(
+        F.zip_with(starts, ends, lambda a, b: F.struct(
+            (candidate["start"] + a).alias("start"), F.lit(3).alias("kind"),
+            (candidate["start"] + b).alias("end"), F.substring(text, a + 1, b - a).alias("match"))),
+        lambda x: F.length(x["match"]) >= WINDOW)
+    free = F.flatten(F.transform(pieces, _hot_windows))
+    return F.when(text.rlike(PLACEHOLDER), F.filter(
+        hot, lambda s: F.exists(free, lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"]))
+    )).otherwise(hot)
+
+
 def _joined(spans: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -191,10 +213,18 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text: str = "text", mark: str = MARK) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans give one mark.
 
+    Spans are those of ``scan`` and more: entropy spans that touch a base span, as the rest of them
+    is secret too, and those of candidates that hold a placeholder beside hot windows without one.
     Rows, other columns and texts without spans stay as they are.
     """
     columns = docs.columns
-    found = scan(docs, text)
+    base, candidates = secret_spans(F.col(text))
+    allowed = "|".join(f"(?:{p})" for p in ALLOWED if p.startswith("^"))
+    found = docs.withColumn("__base", base).withColumn("__candidates", candidates)
+    free = F.filter("__candidates", lambda s: ~s["match"].rlike(allowed))
+    found = found.withColumn("__entropy", F.when(
+        F.size("__candidates") > 0, F.flatten(F.transform(free, _without_placeholders))
+    ).otherwise(F.array().cast(_SPAN)))
     spans = F.array_sort(F.concat("__base", "__entropy"))
     # The text up to each span that starts behind all earlier ones, then the rest.
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
