@@ -8,6 +8,7 @@ so that the network learns how far evidence can be trusted.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +17,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.llm import tokens
-from pitchlake.llm.common import added_tables, sampled_labels
+from pitchlake.llm.common import added_tables, materialise, sampled_labels
 
 #: Labelled rows that the model is fitted on, at most; a quarter of them trains the network.
 TRAIN_ROWS = 12_000
 NETWORK_SHARE = 4
-#: Windows of a training text that can be shown to the network, spread over the text.
-TRAIN_WINDOWS = 48
 WINDOW, STRIDE = 64, 48
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 16, 1 << 16
 HIDDEN, ATTENTION, INPUTS = 8, 8, 6
@@ -243,39 +242,29 @@ def _gradients(net: dict, x: np.ndarray, lengths: np.ndarray, labels: np.ndarray
     return grad
 
 
-def _train(x: np.ndarray, lengths: np.ndarray, owner: np.ndarray, labels: np.ndarray):
-    """Fit the network on windows ``x`` (window, step, input) of texts ``owner``, ascending; and the
-    calibration of a text, slope and offset for the largest logit of its windows.
+def _train(look, labels: np.ndarray) -> dict[str, np.ndarray]:
+    """Fit the network on texts with ``labels``; ``look(turn, net)`` gives (x, lengths) of a round's
+    windows: the most toxic one of each text so far, then one at random of each.
 
-    In each round a text is represented by the window that looks most toxic so far; clean texts
-    also show one at random.
+    In each round a text is represented by the former; clean texts also show the latter.
     """
     rng = np.random.default_rng(11)
     net = new_network()
     moments = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.items()}
     toxic = max(float(labels.sum()), 1.0)
     clean = max(float(len(labels) - labels.sum()), 1.0)
-    first = np.searchsorted(owner, np.arange(len(labels)))
-    count = np.diff(np.append(first, len(owner)))
-    inside = np.arange(WINDOW)[None, :] < lengths[:, None]
+    used = np.concatenate((np.arange(len(labels)), len(labels) + np.flatnonzero(labels == 0)))
+    target = np.concatenate((labels, labels))[used]
+    pull = np.where(target > 0, 0.5 / toxic, 0.25 / clean).astype(np.float32)
     step = 0
     for turn in range(ROUNDS):
-        if turn == 0:  # the window with the most evidence of any kind
-            value = sum(np.where(inside, x[:, :, k], -9).max(axis=1) for k in (0, 2))
-        else:
-            value = _logits(net, x, lengths)
-        by_value = np.lexsort((-value, owner))
-        other = first + (rng.random(len(labels)) * count).astype(np.int64)
-        shown = np.concatenate((by_value[first], other[labels == 0]))
-        target = labels[owner[shown]]
-        pull = np.where(target > 0, 0.5 / toxic, 0.25 / clean).astype(np.float32)
+        x, lengths = (part[used] for part in look(turn, net))
         for epoch in range(EPOCHS):
             rate = RATE * 0.5 ** (turn + epoch / EPOCHS)
-            for rows in np.array_split(rng.permutation(len(shown)), max(1, len(shown) // BATCH)):
-                w = shown[rows]
+            for rows in np.array_split(rng.permutation(len(used)), max(1, len(used) // BATCH)):
                 grad = _gradients(
-                    net, x[w].astype(np.float32), lengths[w], target[rows],
-                    pull[rows] * len(shown) / len(rows))
+                    net, x[rows].astype(np.float32), lengths[rows], target[rows],
+                    pull[rows] * len(used) / len(rows))
                 step += 1
                 for k, g in grad.items():
                     g = g + 1e-4 * net[k]
@@ -285,18 +274,7 @@ def _train(x: np.ndarray, lengths: np.ndarray, owner: np.ndarray, labels: np.nda
                     net[k] = net[k] - (
                         rate * (m / (1 - 0.9**step)) / (np.sqrt(s / (1 - 0.99**step)) + 1e-6)
                     ).astype(np.float32)
-    best = np.maximum.reduceat(_logits(net, x, lengths), first).astype(float)
-    return net, _calibrated(best, labels)
-
-
-def _logits(net: dict, x: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    out = np.empty(len(x), np.float32)
-    for at in range(0, len(x), 2048):
-        part = x[at : at + 2048].astype(np.float32)
-        out[at : at + 2048] = _forward(
-            net, {w: (lambda t, w=w, p=part: p[:, t] @ net[f"w{w}"] + net[f"c{w}"]) for w in "fb"},
-            lengths[at : at + 2048])
-    return out
+    return net
 
 
 def _calibrated(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -336,59 +314,106 @@ def fit(docs: DataFrame, labels: DataFrame, allowed: Column, bound: int = TRAIN_
                   F.lit(NETWORK_SHARE))
     lexicon = _evidence(sample.where(turn != 0))
 
-    def show(batches):
-        for batch in tokens.pieces(batches, 4_000_000):
-            text = _Text(batch.column(0))
-            inputs = text.inputs(lexicon)
-            data, sizes = [], []
-            for d in range(batch.num_rows):
-                x = inputs[text.code[text.first[d] : text.first[d + 1]]]
-                _, starts, lengths = _windows(np.array([len(x)]))
-                if len(starts) > TRAIN_WINDOWS:
-                    used = np.linspace(0, len(starts) - 1, TRAIN_WINDOWS).astype(int)
-                    starts, lengths = starts[used], lengths[used]
-                parts = [x[a : a + n] for a, n in zip(starts, lengths, strict=True)]
-                data.append(np.concatenate(parts).astype(np.float16).tobytes())
-                sizes.append(lengths.tolist())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(data, pa.binary()), pa.array(sizes, pa.list_(pa.int64())), batch.column(1),
-            ], ["x", "sizes", "label"])
-
-    rows = (
-        sample.where(turn == 0).select("text", F.col("label").cast("int").alias("label"))
-        .mapInArrow(show, "x binary, sizes array<long>, label int").collect()
-    )  # bounded by the sample
-    target = np.array([r.label > 0 for r in rows], np.float32)
+    # Read once a round, by tasks that see all windows of a text and hand over two.
+    shown = materialise(
+        sample.where(turn == 0).select("doc_id", "text", F.col("label").cast("int").alias("label")),
+        "toxicity_sample")
+
+    def rows_of(schema: str, view) -> list:
+        rows = shown.mapInArrow(view, schema).collect()  # bounded by the sample
+        return sorted(rows, key=lambda r: (r.doc_id, r.hash))
+
+    def view(turn: int, net: dict | None):
+        def windows(batches):
+            for batch in tokens.pieces(batches, 4_000_000):
+                ids, texts = batch.column(0).to_pylist(), batch.column(1)
+                text = _Text(texts)
+                inputs = text.inputs(lexicon)
+                row, start, length = _windows(np.diff(text.first))
+                value = (_evidence_of(text, inputs, row, start, length) if turn == 0
+                         else _window_logits(net, text, inputs, row, start, length))
+                first = np.searchsorted(row, np.arange(batch.num_rows))
+                count = np.diff(np.append(first, len(row)))
+                by_value = np.lexsort((-value, row))[first]
+                data = [[], []]
+                sizes = [[], []]
+                marks = [zlib.crc32(t.encode("utf-8", "replace")) for t in texts.to_pylist()]
+                for d, doc in enumerate(ids):
+                    chance = zlib.crc32(f"{turn} {doc} {marks[d]}".encode()) / 2**32
+                    for k, w in enumerate((by_value[d], first[d] + int(chance * count[d]))):
+                        at = text.first[d] + start[w]
+                        x = inputs[text.code[at : at + length[w]]]
+                        data[k].append(x.astype(np.float16).tobytes())
+                        sizes[k].append(int(length[w]))
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0), pa.array(marks, pa.int64()), batch.column(2),
+                    *[pa.array(x, pa.binary()) for x in data],
+                    *[pa.array(n, pa.int64()) for n in sizes],
+                    pa.array(value[by_value].astype(float)),
+                ], ["doc_id", "hash", "label", "best", "other", "n_best", "n_other", "value"])
+
+        return rows_of(
+            "doc_id long, hash long, label int, best binary, other binary, n_best long, "
+            "n_other long, value double", windows)
+
+    def look(turn: int, net: dict):
+        rows = first if turn == 0 else view(turn, net)
+        lengths = np.array([r.n_best for r in rows] + [r.n_other for r in rows])
+        x = np.zeros((len(lengths), WINDOW, INPUTS), np.float16)
+        x[np.arange(WINDOW)[None, :] < lengths[:, None]] = np.concatenate(
+            [np.frombuffer(d, np.float16).reshape(-1, INPUTS)
+             for d in [r.best for r in rows] + [r.other for r in rows]])
+        return x, lengths
+
+    first = view(0, None)
+    target = np.array([r.label > 0 for r in first], np.float32)
     if not 0 < target.sum() < len(target):
         odds = (target.sum() + 0.5) / (len(target) - target.sum() + 1.5)
         return Model(lexicon, new_network(), 0.0, float(np.log(odds)))
-    lengths = np.array([n for r in rows for n in r.sizes])
-    owner = np.repeat(np.arange(len(rows)), [len(r.sizes) for r in rows])
-    x = np.zeros((len(lengths), WINDOW, INPUTS), np.float16)
-    x[np.arange(WINDOW)[None, :] < lengths[:, None]] = np.concatenate(
-        [np.frombuffer(r.x, np.float16).reshape(-1, INPUTS) for r in rows])
-    net, (slope, offset) = _train(x, lengths, owner, target)
+    net = _train(look, target)
+    # Calibrated on what ``text_scores`` takes: the largest logit of all windows.
+    slope, offset = _calibrated(np.array([r.value for r in view(ROUNDS, net)]), target)
     return Model(lexicon, net, slope, offset)
 
 
-def text_scores(model: Model, texts: pa.Array) -> np.ndarray:
-    """The score of each row: its most toxic window's logit, calibrated."""
-    text, net = _Text(texts), model.net
-    inputs = text.inputs(model.lexicon)
-    by_word = {  # the last row stands for a step outside the window
-        w: np.concatenate((inputs @ net[f"w{w}"] + net[f"c{w}"],
-                           np.zeros((1, 3 * HIDDEN), np.float32))) for w in "fb"}
-    row, start, length = _windows(np.diff(text.first))
-    logit = np.empty(len(row), np.float32)
-    order = np.argsort(-length, kind="stable")  # windows of like length together
+def _gathered(text: _Text, row: np.ndarray, start: np.ndarray, length: np.ndarray):
+    """(windows, codes by step and window, sizes) of some windows at a time, of like length; the
+    code ``len(text.kinds)`` stands for a step outside the window."""
+    order = np.argsort(-length, kind="stable")
     code = np.append(text.code, len(text.kinds))
     for at in range(0, len(order), 2048):
         own = order[at : at + 2048]
         base, size = text.first[row[own]] + start[own], length[own]
         steps = np.arange(int(size.max(initial=0)))[:, None]
-        codes = code[np.where(steps < size, base + steps, len(code) - 1)]
+        yield own, code[np.where(steps < size, base + steps, len(code) - 1)], size
+
+
+def _window_logits(net: dict, text: _Text, inputs: np.ndarray, row, start, length) -> np.ndarray:
+    by_word = {
+        w: np.concatenate((inputs @ net[f"w{w}"] + net[f"c{w}"],
+                           np.zeros((1, 3 * HIDDEN), np.float32))) for w in "fb"}
+    logit = np.empty(len(row), np.float32)
+    for own, codes, size in _gathered(text, row, start, length):
         logit[own] = _forward(
             net, {w: (lambda t, w=w, c=codes: by_word[w][c[t]]) for w in "fb"}, size)
+    return logit
+
+
+def _evidence_of(text: _Text, inputs: np.ndarray, row, start, length) -> np.ndarray:
+    """The most evidence of any kind in each window."""
+    value = np.zeros(len(row), np.float32)
+    for k in (0, 2):
+        by_word = np.append(inputs[:, k], np.float32(-9))
+        for own, codes, _ in _gathered(text, row, start, length):
+            value[own] += by_word[codes].max(axis=0, initial=-9)
+    return value
+
+
+def text_scores(model: Model, texts: pa.Array) -> np.ndarray:
+    """The score of each row: its most toxic window's logit, calibrated."""
+    text = _Text(texts)
+    row, start, length = _windows(np.diff(text.first))
+    logit = _window_logits(model.net, text, text.inputs(model.lexicon), row, start, length)
     best = np.maximum.reduceat(logit, np.searchsorted(row, np.arange(len(texts))))
     return _sigmoid(model.slope * best.astype(float) + model.offset)
 

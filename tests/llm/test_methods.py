@@ -2,12 +2,14 @@
 
 import collections
 import math
+import random
 import re
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
-from pitchlake.llm import mixing, secrets, wrappers
+from pitchlake.llm import mixing, secrets, toxicity, wrappers
 from pitchlake.llm.queries import QUERIES
 
 
@@ -120,6 +122,37 @@ def test_redaction_covers_whole_secrets(spark):
     assert out[4] == texts[4] and out[5] is None
 
 
+def test_toxic_window_of_a_long_text_trains_the_network(spark, monkeypatch):
+    seen = []
+    train = toxicity._train
+
+    def spied(look, labels):
+        def kept(turn, net):
+            x, lengths = look(turn, net)
+            seen.append((x[: len(labels)], labels))
+            return x, lengths
+        return train(kept, labels)
+
+    monkeypatch.setattr(toxicity, "_train", spied)
+    rng = random.Random(3)
+    docs, labels = [], []
+    for i in range(120):
+        words = [f"word{rng.randrange(300)}" for _ in range(6000 if i % 4 == 0 else 100)]
+        if i % 2 == 0:  # one window of many, anywhere
+            at = rng.randrange(len(words) - 10)
+            words[at : at + 10] = ["vilest"] * 10
+        docs.append((i, " ".join(words)))
+        labels.append((i, int(i % 2 == 0)))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    model = toxicity.fit(
+        docs, spark.createDataFrame(labels, "doc_id long, toxic int"), F.lit(True))
+    for x, target in seen:  # the word's evidence is in the window that each toxic text shows
+        most = x[:, :, 0].max(axis=1)
+        assert (most[target > 0].min() > most[target == 0].max()) and len(seen) == toxicity.ROUNDS
+    got = {r.doc_id: r["__toxicity"] for r in toxicity.score(docs, model).collect()}
+    assert all((got[i] >= 0.5) == (i % 2 == 0) for i in got)
+
+
 def test_language_model_counts(spark):
     folder = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
