@@ -79,8 +79,9 @@ def typed(df: DataFrame, spec: ProfileSpec) -> DataFrame:
     return df.select(*[F.trim(c).try_cast(t).alias(c) for c, t in spec.numeric.items()])
 
 
-def numeric_summary(df: DataFrame, spec: ProfileSpec) -> DataFrame:
-    return agg.summary(typed(df, spec), list(spec.numeric))
+def numeric_summary(df: DataFrame, spec: ProfileSpec, **options) -> DataFrame:
+    """Summary of the numeric columns; ``options`` are those of ``agg.summary``."""
+    return agg.summary(typed(df, spec), list(spec.numeric), **options)
 
 
 def date_ranges(df: DataFrame, spec: ProfileSpec) -> DataFrame:
