@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm import (
-    classlm, decontaminate, mixing, neardup, quality, secrets, sql, substrings, topk, toxicity,
-    wrappers,
+    classlm, decontaminate, divergence, mixing, neardup, quality, secrets, sql, substrings, topk,
+    toxicity, wrappers,
 )
 from pitchlake.llm.common import crc_mod, table
 
@@ -70,6 +70,12 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         score.alias("score"), (score >= 0.7).cast("int").alias("predicted"))
 
 
+def op11_cube_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each source of a language against its other sources, and the terms that set it apart."""
+    return divergence.audit(
+        table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+
+
 QUERIES = {
     "op1_html_wrappers": op1_html_wrappers,
     "op2_odd_sketches": op2_odd_sketches,
@@ -81,5 +87,6 @@ QUERIES = {
     "op8_pfair_mix": op8_pfair_mix,
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
+    "op11_cube_divergence": op11_cube_divergence,
 }
 SQL = sql.SQL

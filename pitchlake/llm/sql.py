@@ -166,10 +166,52 @@ select query_id, cast(rank as integer) as rank, vec_id, score from (
 where rank <= 10
 """
 
+_LETTERS = r"'[^\x00-\x40\x5B-\x60\x7B-\x7F]+'"
+
+OP11 = f"""
+with d as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+    coalesce(regexp_extract_all({_LOWER}, {_LETTERS}), []) as w
+  from documents),
+t as (select row, lang, source, unnest(w) as term from d),
+kept as (
+  select lang, term, count(*) as n from t group by lang, term having count(distinct row) >= 30),
+l as (select lang, count(*) as v, cast(sum(n) as hugeint) as total from kept group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from t group by lang, source, term),
+gc as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.n as lang_n
+  from g join kept k on g.lang = k.lang
+  left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+s as (
+  select gc.*, v, l.total as lang_total,
+    cast(sum(gc.n) over (partition by gc.lang, source) as hugeint) as total
+  from gc join l on gc.lang = l.lang),
+p as (
+  select lang, source, term, n,
+    1 + cast(1000000000 as hugeint) * (n + 5) // (total + 5 * v) as p,
+    1 + cast(1000000000 as hugeint) * (lang_n + 5) // (lang_total + 5 * v) as q
+  from s),
+pair as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce((
+      select sum(abs(x.p - y.p)) from p x join p y on x.lang = y.lang and x.term = y.term
+      where x.lang = a.lang and x.source = a.source and y.source = b.source), 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source),
+term as (
+  select lang, source, 'term' as part, term as item, p - q as value from p where n > 0 and p > q)
+select lang, source, part, item, cast(value as bigint) as value, cast(rank as integer) as rank
+from (
+  select *, row_number() over (
+    partition by lang, source, part order by value desc, item) as rank
+  from (select * from pair union all select * from term))
+where part = 'pair' or rank <= 50
+"""
+
 SQL = {
     "op2_odd_sketches": OP2,
     "op4_decontaminate": OP4,
     "op5_secrets": OP5,
     "op6_substring_dedup": OP6,
     "op9_topk": OP9,
+    "op11_cube_divergence": OP11,
 }
