@@ -176,7 +176,9 @@ def pair_divergences(
         "source", "term", "p", "v", "own",
     ).groupBy("lang", "x", "y", "k").applyInArrow(
         _cell, "lang string, a string, b string, part long")
-    return parts.groupBy("lang", "a", "b").agg(F.sum("part").alias("value"))
+    # Within a block, which of two groups comes first depends on the cell.
+    return parts.groupBy("lang", F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(
+        F.sum("part").alias("value"))
 
 
 def audit(

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.llm import (
-    classlm, decontaminate, divergence, mixing, neardup, quality, secrets, sql, substrings, topk,
-    toxicity, wrappers,
+    classlm, decontaminate, divergence, golay, mixing, neardup, quality, secrets, sql, strassen,
+    substrings, topk, toxicity, wrappers,
 )
 from pitchlake.llm.common import crc_mod, table
 
@@ -76,6 +76,19 @@ def op11_cube_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
 
 
+def op12_golay_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprints of all documents and the groups that four bits or less join."""
+    return golay.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op13_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector, after the labels of every seventh moved by one."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", "embedding", label.alias("label"))
+    return strassen.hard_negatives(vectors, vectors.where("vec_id % 50 = 0"))
+
+
 QUERIES = {
     "op1_html_wrappers": op1_html_wrappers,
     "op2_odd_sketches": op2_odd_sketches,
@@ -88,5 +101,7 @@ QUERIES = {
     "op9_topk": op9_topk,
     "op10_quality": op10_quality,
     "op11_cube_divergence": op11_cube_divergence,
+    "op12_golay_simhash": op12_golay_simhash,
+    "op13_strassen_negatives": op13_strassen_negatives,
 }
 SQL = sql.SQL

@@ -207,6 +207,32 @@ from (
 where part = 'pair' or rank <= 50
 """
 
+OP13 = """
+with v as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as e
+  from embeddings
+  where embedding is not null and vec_id is not null and label is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same, cast(list_sum(
+      [z[1] * z[2] for z in list_zip(a.e, c.e)]) as bigint) as score
+  from v a join v c on a.vec_id <> c.vec_id and len(a.e) = len(c.e) where a.vec_id % 50 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from (
+    select *, row_number() over (partition by anchor_id order by score desc, vec_id) as n
+    from s where same)
+  where n <= 5),
+w as (
+  select p.*, s.vec_id as negative_id, s.score as negative_score, row_number() over (
+      partition by p.anchor_id, positive_id order by s.score desc, s.vec_id) as rank
+  from p join s on p.anchor_id = s.anchor_id and not s.same
+    and 50 * positive_score <= 100 * s.score and 100 * s.score <= 95 * positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score,
+  negative_score
+from w where rank <= 3
+"""
+
 SQL = {
     "op2_odd_sketches": OP2,
     "op4_decontaminate": OP4,
@@ -214,4 +240,5 @@ SQL = {
     "op6_substring_dedup": OP6,
     "op9_topk": OP9,
     "op11_cube_divergence": OP11,
+    "op13_strassen_negatives": OP13,
 }
