@@ -35,19 +35,14 @@ def merge_upsert(
     )
 
 
-def scd2_check(
-    history: DataFrame | None,
+def history_rows(
+    current: DataFrame | None,
     source: DataFrame,
     key: str,
     check_columns: Sequence[str],
     run_ts: dt.datetime,
 ) -> DataFrame:
-    """Next version of a type-2 history.
-
-    New key: open row. Any check column changed (NULL-safe): close the open row, open a new one.
-    Unchanged, or missing in the source: kept as it is. Only open rows take part in the join;
-    each joined pair yields its one or two rows in the same pass.
-    """
+    """What becomes of the open rows: each pair with a source row yields its one or two rows."""
     now = F.lit(run_ts).cast("timestamp")
     opened = source.select(
         "*",
@@ -56,13 +51,12 @@ def scd2_check(
         now.alias("updated_at"),
         surrogate_key(F.col(key), now).alias("scd_id"),
     )
-    if history is None:
+    if current is None:
         return opened
     columns = opened.columns
-    closed = history.filter(F.col("valid_to").isNotNull()).select(*columns)
-    current = history.filter(F.col("valid_to").isNull()).select(F.struct(*columns).alias("old"))
+    old = current.select(F.struct(*columns).alias("old"))
     fresh = opened.select(F.struct(*columns).alias("new"))
-    pairs = current.join(fresh, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
+    pairs = old.join(fresh, F.col(f"old.{key}") == F.col(f"new.{key}"), "full")
     same = F.lit(True)
     for c in check_columns:
         same = same & F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}"))
@@ -72,7 +66,26 @@ def scd2_check(
         .when(F.col("new").isNull() | same, F.array("old"))
         .otherwise(F.array(ended, F.col("new")))
     )
-    return closed.unionByName(pairs.select(F.explode(rows).alias("r")).select("r.*"))
+    return pairs.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def scd2_check(
+    history: DataFrame | None,
+    source: DataFrame,
+    key: str,
+    check_columns: Sequence[str],
+    run_ts: dt.datetime,
+) -> DataFrame:
+    """Next version of a type-2 history.
+
+    New key: open row. Any check column changed (NULL-safe): close the open row, open a new one.
+    Unchanged, or missing in the source: kept as it is. Only open rows take part in the join.
+    """
+    if history is None:
+        return history_rows(None, source, key, check_columns, run_ts)
+    current = history.filter(F.col("valid_to").isNull())
+    rows = history_rows(current, source, key, check_columns, run_ts)
+    return history.filter(F.col("valid_to").isNotNull()).select(*rows.columns).unionByName(rows)
 
 
 class VersionedTable:
