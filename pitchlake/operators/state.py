@@ -130,6 +130,12 @@ class VersionedTable:
         writer.parquet(f"{self.path}/v={nxt}")
         return self.read()
 
+    def expire(self, keep: int = 2) -> None:
+        """Remove all but the newest versions."""
+        fs, _ = self._fs()
+        for version in self.versions()[:-keep]:
+            fs.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v={version}"), True)
+
     def merge(
         self,
         delta: DataFrame,
@@ -234,17 +240,6 @@ def _any_of(column: str, values: list) -> Column:
     return known | F.col(column).isNull() if None in values else known
 
 
-def materialize(df: DataFrame, name: str, kind: str, path: str | None = None) -> DataFrame:
-    """``view``: a lazy temporary view. ``table``: written to ``path`` and read back."""
-    if kind == "view":
-        df.createOrReplaceTempView(name)
-        return df
-    if kind != "table" or path is None:
-        raise ValueError(f"{name}: kind is 'view' or 'table', and a table needs a path")
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 RUN_SCHEMA = "table string, status string, seconds double, rows bigint, error string"
 
 

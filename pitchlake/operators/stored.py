@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pitchlake.operators.scale import first_rows, null_safe_on
-from pitchlake.operators.state import history_rows
+from pitchlake.operators.state import VersionedTable, history_rows
 
 
 class Folder:
@@ -205,3 +206,29 @@ class HistoryTable:
         for old in runs[-1:]:
             self.folder.delete(f"rows/state=open/run={old}")
         return self.read()
+
+
+def materialize(
+    df: DataFrame | None, name: str, kind: str, path: str | None = None,
+    key: Sequence[str] | None = None, run: str | None = None, spark: SparkSession | None = None,
+) -> DataFrame:
+    """Store ``df`` as its kind asks for and return what later models read.
+
+    ``view``: a lazy temporary view. ``table``: a new version below ``path``; the one before stays
+    for its readers. ``merge``: new and different rows of ``df`` by ``key``, under the name ``run``.
+    Without ``df`` what is stored is returned.
+    """
+    if kind == "view":
+        df.createOrReplaceTempView(name)
+        return df
+    if kind not in ("table", "merge") or path is None or (kind == "merge") != (key is not None):
+        raise ValueError(f"{name}: 'view', 'table' with a path, or 'merge' with a path and a key")
+    spark = spark or df.sparkSession
+    if kind == "merge":
+        table = KeyedTable(spark, path, key)
+        return table.read() if df is None else table.upsert(df, run or uuid.uuid4().hex)
+    table = VersionedTable(spark, path)
+    if df is not None:
+        table.write(df)
+        table.expire()
+    return table.read()

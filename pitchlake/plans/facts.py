@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from pitchlake.functions.football import match_measures
 from pitchlake.functions.keys import surrogate_key
 from pitchlake.operators.joins import KeyLookup, with_keys
-from pitchlake.operators.state import VersionedTable, build_incremental
+from pitchlake.operators.state import VersionedTable
+from pitchlake.operators.stored import KeyedTable
 from pitchlake.plans.warehouse import Warehouse, model
 
 # Fact tables that grow by merge, with their keys.
@@ -92,9 +94,14 @@ def fact_transfers(wh: Warehouse) -> DataFrame:
     return keyed.select(key.alias("transfer_key"), "*")
 
 
-def build_fact(wh: Warehouse, name: str, path: str) -> DataFrame:
-    """Build or extend a stored fact table: whole on the first run, by merge afterwards."""
-    table = VersionedTable(wh.spark, path)
+def build_fact(wh: Warehouse, name: str, path: str, run: str | None = None) -> DataFrame:
+    """Build or extend a stored fact table: whole on the first run, by merge afterwards.
+
+    A merge writes only rows that are new or differ from the stored ones, found by fingerprints, so
+    ``loaded_at`` tells when a row was first seen as it is. ``run`` names the run; repeating a name
+    goes on with a broken run and leaves a completed one as it is.
+    """
     if name in INCREMENTAL:
-        return build_incremental(table, wh.ref(name), [INCREMENTAL[name]])
-    return table.write(wh.ref(name))
+        table = KeyedTable(wh.spark, path, [INCREMENTAL[name]])
+        return table.upsert(wh.ref(name), run or uuid.uuid4().hex)
+    return VersionedTable(wh.spark, path).write(wh.ref(name))

@@ -41,6 +41,10 @@ class Warehouse:
             self._built[name] = MODELS[name](self)
         return self._built[name]
 
+    def put(self, name: str, df: DataFrame) -> None:
+        """From now on ``ref(name)`` is ``df``."""
+        self._built[name] = df
+
     def loaded(self, df: DataFrame, column: str = "loaded_at") -> DataFrame:
         """Keep a load time that came with the data; stamp the run time otherwise."""
         if column in df.columns:

@@ -8,9 +8,10 @@ from pitchlake.operators.quality import (
     unique, with_status,
 )
 from pitchlake.operators.state import (
-    VersionedTable, build_incremental, materialize, merge_partitions, merge_upsert, run_tables,
-    scd2_check, snapshot,
+    VersionedTable, build_incremental, merge_partitions, merge_upsert, run_tables, scd2_check,
+    snapshot,
 )
+from pitchlake.operators.stored import materialize
 from conftest import rows
 
 T1, T2, T3 = (dt.datetime(2024, m, 1) for m in (1, 2, 3))
@@ -127,8 +128,14 @@ def test_materialize(spark, tmp_path):
     view = materialize(spark.range(2), "two_rows", "view")
     assert spark.table("two_rows").count() == view.count()
     assert materialize(spark.range(2), "t", "table", str(tmp_path / "m")).count() == 2
-    with pytest.raises(ValueError):
-        materialize(spark.range(2), "t", "table")
+    assert materialize(spark.range(3), "t", "table", str(tmp_path / "m")).count() == 3
+    assert materialize(None, "t", "table", str(tmp_path / "m"), spark=spark).count() == 3
+    for n in (2, 4):
+        merged = materialize(spark.range(n), "k", "merge", str(tmp_path / "k"), ["id"], str(n))
+    assert merged.count() == 4
+    for kind, path, key in (("table", None, None), ("merge", "x", None), ("file", "x", None)):
+        with pytest.raises(ValueError):
+            materialize(spark.range(2), "t", kind, path, key)
 
 
 def test_quality_report(spark):
