@@ -8,6 +8,7 @@ import checks.columns  # noqa: F401
 import checks.groups  # noqa: F401
 import checks.reports  # noqa: F401
 import checks.live  # noqa: F401
+import checks.stored  # noqa: F401
 from checks.registry import ENTRIES
 
 

@@ -89,7 +89,7 @@ class KeyedTable:
 
     def _prepared(self, rows: DataFrame, newest_first: Sequence[Column | str]) -> DataFrame:
         own = fingerprint(rows, self.unstable)
-        order = [*newest_first, *[c for c in rows.columns if c not in self.key]]
+        order = [*newest_first, *[c for c in rows.columns if c not in self.key]] or self.key
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         return first_rows(rows.withColumn("_fingerprint", own), self.key, order).withColumn(
             "_bucket", bucket)
