@@ -90,6 +90,46 @@ def _(ctx):
     return files.load_raw(rows, ctx.spark.createDataFrame([], schema).schema)
 
 
+@check(
+    "q_load_checked", "SRC-2 SRC-4 CST-13",
+    """with s as (
+         select o_orderkey, case when o_orderkey % 40 = 5 then 'n/a' when o_orderkey % 50 = 7 then ''
+                            else cast(o_custkey as varchar) end as custkey,
+                case when o_orderkey % 30 = 4 then 'today' else cast(cast(o_orderdate as date) as varchar)
+                end as day from orders)
+       select 'rows' as part, cast(count(*) as varchar) as "column", '' as text, count(*) as n,
+              cast(sum(try_cast(custkey as integer)) as bigint) as customers
+       from s where try_cast(custkey as integer) is not null and try_cast(day as date) is not null
+       union all
+       select 'rejected', 'custkey', custkey, count(*), null from s
+       where try_cast(custkey as integer) is null group by custkey
+       union all
+       select 'rejected', 'day', day, count(*), null from s
+       where try_cast(day as date) is null group by day""",
+)
+def _(ctx):
+    """Two loads of orders with bad cells, the second repeated: good rows once, bad cells named."""
+    key = F.col("o_orderkey")
+    text = ctx.base("orders").select(
+        key, F.when(key % 40 == 5, "n/a").when(key % 50 == 7, "").otherwise(
+            F.col("o_custkey").cast("string")).alias("CustKey"),
+        F.when(key % 30 == 4, "today").otherwise(
+            F.col("o_orderdate").cast("date").cast("string")).alias("day"))
+    schema = ctx.spark.createDataFrame([], "o_orderkey long, custkey int, day date").schema
+    path = work_path(ctx.spark, "loads")
+    halves = [text.where(key % 2 == 0), text.where(key % 2 == 1)]
+    for run, part in (("even", halves[0]), ("odd", halves[1]), ("odd", halves[1])):
+        files.append_load(files.load_checked(part, schema), path, "orders", run)
+    good = files.loaded_rows(ctx.spark, path).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("custkey").alias("customers"))
+    bad = files.rejected_cells(ctx.spark.read.parquet(f"{path}/rejected"), "orders")
+    return good.select(
+        F.lit("rows").alias("part"), F.col("n").cast("string").alias("column"), F.lit("").alias("text"),
+        "n", "customers",
+    ).union(bad.groupBy("column", "text").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("rejected"), "column", "text", "n", F.lit(None).cast("long")))
+
+
 @check("q_completeness", "SRC-9")
 def _(ctx):
     found = files.list_files(ctx.spark, ctx.sf_dir, "*.parquet")

@@ -7,7 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from checks.registry import check, cte, with_ctes
+from checks.registry import RUN_TS, check, cte, with_ctes
+from pitchlake.operators.stored import KeyedTable
+from pitchlake.plans.facts import build_fact, event_keys
+from pitchlake.plans.warehouse import Warehouse
 from pitchlake.session import work_path
 from pitchlake.sources.messages import stream_parquet, stream_text
 from pitchlake.streaming import events as ev
@@ -351,3 +354,70 @@ def _(ctx):
 def _(ctx):
     rows = live.verify_points(point_rows(ctx), NOW)
     return rows.withColumn("time", F.date_trunc("second", "time"))
+
+
+# --- streams into stored tables ------------------------------------------------------------------
+
+
+@check(
+    "q_stream_fact", "SET-5 SNK-2 TBL-26 INC-1",
+    with_ctes(
+        ["fact_game_events"],
+        """select * exclude (loaded_at) replace (
+                  cast(event_date as varchar) as event_date,
+                  case when minute between 60 and 130 and game_id is not null then 'stream'
+                       else 'batch' end as source_type)
+           from fact_game_events""",
+    ),
+)
+def _(ctx):
+    """The stored fact holds a first account of the late events, or none; a stream then brings them,
+    and brings them again."""
+    folder = work_path(ctx.spark, "stream-fact")
+    events = ctx.silver("game_events")
+    late = F.col("minute").between(60, 130) & F.col("game_id").isNotNull()
+    early = events.where(~F.coalesce(late, F.lit(False)) | (F.col("minute") > 90)).withColumn(
+        "description", F.when(late, "unconfirmed").otherwise(F.col("description")))
+    sources = {"clubs": ctx.silver("clubs"), "game_events": early}
+    wh = Warehouse(ctx.spark, sources, run_ts=RUN_TS)
+    build_fact(wh, "fact_game_events", f"{folder}/fact", "first")
+    table = KeyedTable(ctx.spark, f"{folder}/fact", ["game_event_id"])
+    sent = ev.to_event_json(
+        events.where(late).withColumnsRenamed({"date": "game_date", "type": "event_type"}), ())
+    for _ in range(2):
+        sent.write.mode("append").text(f"{folder}/topic")
+        parsed = ev.parse_events(ev.raw_ingest(stream_text(ctx.spark, f"{folder}/topic")))
+        sinks.keyed_sink(
+            parsed, table, f"{folder}/ckpt", None,
+            rows=lambda batch: event_keys(wh, ev.staged_events(batch))).awaitTermination()
+    return table.read().drop("loaded_at")
+
+
+@check(
+    "q_stream_match_totals", "STM-9 AGG-15",
+    """select strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') as day, user_id,
+              count(*) filter (event_type = 'purchase') as goals,
+              count(*) filter (event_type = 'click') as cards, 0 as rows_in_state
+       from events group by date_trunc('day', ts), user_id""",
+)
+def _(ctx):
+    """Totals by update output into a keyed table, with a restart and late events between; when the
+    last day is over no state is left."""
+    folder = work_path(ctx.spark, "match-totals")
+    rows = ctx.base("events").select(
+        "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    late = F.expr("day(ts) % 2 = 0 and event_type <> 'click'")
+    over = rows.agg(
+        F.max("user_id").alias("user_id"), F.lit("final whistle").alias("event_type"),
+        (F.max("ts") + F.expr("interval 90 days")).alias("ts"))
+    table = KeyedTable(ctx.spark, f"{folder}/totals", ["day", "user_id"], buckets=8)
+    for part in (rows.where(~late), rows.where(late), over):
+        part.repartitionByRange(4, "ts").write.mode("append").parquet(f"{folder}/events")
+        totals = stateful.match_totals(
+            stream_parquet(ctx.spark, f"{folder}/events", rows.schema, 2), "ts", ["user_id"],
+            {"goals": F.col("event_type") == "purchase", "cards": F.col("event_type") == "click"},
+            "31 days", counted=F.col("event_type") != "final whistle")
+        query = sinks.keyed_sink(totals, table, f"{folder}/ckpt", None, mode="update")
+        query.awaitTermination()
+    left = query.lastProgress["stateOperators"][0]["numRowsTotal"]
+    return table.read().withColumn("rows_in_state", F.lit(left))

@@ -96,10 +96,14 @@ class KeyedTable:
 
     def changes(self, rows: DataFrame, newest_first: Sequence[Column | str] = ()) -> DataFrame:
         """The incoming rows whose key is new or whose fingerprint differs from the stored one."""
-        incoming = self._prepared(rows, newest_first)
+        return self._different(self._prepared(rows, newest_first))
+
+    def _different(self, incoming: DataFrame, buckets: Sequence[int] | None = None) -> DataFrame:
         stored = self._stored()
         if stored is None:
             return incoming
+        if buckets is not None:
+            stored = stored.where(F.col("_bucket").isin(list(buckets)))
         known = stored.select(
             *[F.col(k).alias(f"_k_{k}") for k in self.key], F.col("_fingerprint").alias("_known"))
         on = null_safe_on(incoming, known, [(k, f"_k_{k}") for k in self.key])
@@ -119,18 +123,29 @@ class KeyedTable:
         return self.spark.read.parquet(path)
 
     def upsert(
-        self, rows: DataFrame, run: str, newest_first: Sequence[Column | str] = ()
+        self, rows: DataFrame, run: str, newest_first: Sequence[Column | str] = (),
+        few: bool = False,
     ) -> DataFrame:
-        """Add new rows and replace different ones; of a repeated key the newest row counts."""
+        """Add new rows and replace different ones; of a repeated key the newest row counts.
+
+        ``few`` rows, as of a stream's batch, are written down first, so that only their own buckets
+        are compared and not the keys of the whole table.
+        """
         stage, done = f"runs/{run}", f"done/{run}"
         if self.folder.has(done):
             return self.read()
         if self._stored() is None:
             self._write(self._prepared(rows, newest_first))
         else:
-            delta = self._staged(f"{stage}/delta", lambda: self.changes(rows, newest_first))
-            # At most as many as there are buckets.
-            touched = [r[0] for r in delta.select("_bucket").distinct().collect()]
+            def different() -> DataFrame:
+                if not few:
+                    return self.changes(rows, newest_first)
+                incoming = self._staged(
+                    f"{stage}/incoming", lambda: self._prepared(rows, newest_first))
+                return self._different(incoming, self._buckets_of(incoming))
+
+            delta = self._staged(f"{stage}/delta", different)
+            touched = self._buckets_of(delta)
             if touched:
                 def content() -> DataFrame:
                     stored = self._stored().where(F.col("_bucket").isin(touched))
@@ -145,6 +160,10 @@ class KeyedTable:
         self.folder.delete(stage)
         return self.read()
 
+    def _buckets_of(self, rows: DataFrame) -> list[int]:
+        """At most as many numbers as there are buckets."""
+        return [r[0] for r in rows.select("_bucket").distinct().collect()]
+
     def forget_runs(self, names: Sequence[str]) -> None:
         """Drop the marks of runs that can't be repeated any more."""
         for name in names:

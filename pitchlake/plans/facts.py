@@ -51,7 +51,12 @@ def fact_appearances(wh: Warehouse) -> DataFrame:
 @model
 def fact_game_events(wh: Warehouse) -> DataFrame:
     """Grain: one match event."""
-    return with_keys(wh.ref("stg_game_events"), [club(wh, "club_id"), date(wh, "event_date")])
+    return event_keys(wh, wh.ref("stg_game_events"))
+
+
+def event_keys(wh: Warehouse, events: DataFrame) -> DataFrame:
+    """Staged events, of batches or streams, with the keys of their dimensions."""
+    return with_keys(events, [club(wh, "club_id"), date(wh, "event_date")])
 
 
 @model

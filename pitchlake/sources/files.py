@@ -46,18 +46,95 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def load_raw(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Match columns by case-insensitive name; missing ones become NULL, extra ones are ignored."""
+    """Match columns by case-insensitive name; missing ones become NULL, extra ones are ignored.
+
+    Rows with a value that doesn't fit its column are left out; ``load_checked`` returns them too.
+    """
+    return load_checked(df, schema).where(F.size(REASONS) == 0).drop(REASONS)
+
+
+#: Column of a checked load: what is wrong with a row, as (column, type, text) entries.
+REASONS = "_rejected"
+
+
+def load_checked(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """All rows under the names and types of ``schema``, and the reasons to reject them.
+
+    A value that can't be cast is NULL in its column and an entry in ``_rejected``; NULL stays NULL
+    without a reason. Accepted and rejected rows thus come from one parse.
+    """
     present = {c.lower(): c for c in df.columns}
+    columns, reasons = [], []
+    for f in schema:
+        found = present.get(f.name.lower())
+        if found is None:
+            columns.append(F.lit(None).cast(f.dataType).alias(f.name))
+            continue
+        cast = F.col(f"`{found}`").try_cast(f.dataType)
+        columns.append(cast.alias(f.name))
+        if df.schema[found].dataType != f.dataType:
+            reasons.append(F.when(
+                F.col(f"`{found}`").isNotNull() & cast.isNull(), F.struct(
+                    F.lit(f.name).alias("column"),
+                    F.lit(f.dataType.simpleString()).alias("type"),
+                    F.col(f"`{found}`").cast("string").alias("text"))))
+    kind = "array<struct<column:string,type:string,text:string>>"
     return df.select(
-        *[
-            (
-                F.col(present[f.name.lower()]).cast(f.dataType)
-                if f.name.lower() in present
-                else F.lit(None).cast(f.dataType)
-            ).alias(f.name)
-            for f in schema
-        ]
-    )
+        *columns, F.array_compact(F.array(*reasons)).cast(kind).alias(REASONS)
+        if reasons else F.array().cast(kind).alias(REASONS))
+
+
+#: Text of a line that the CSV reader could not fit into its columns.
+CORRUPT = "_corrupt_line"
+
+
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, header: bool = True
+) -> DataFrame:
+    """A typed CSV scan with the reasons to reject a line; see ``load_checked``.
+
+    Cells are read as text and cast here, so each bad cell is named with its column. A line with too
+    few or too many cells is rejected as a whole, with its text.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    lines = (
+        spark.read.option("header", header).option("mode", "PERMISSIVE")
+        .option("columnPruning", False)  # a reader that skips cells doesn't count them
+        .option("columnNameOfCorruptRecord", CORRUPT).schema(text.add(CORRUPT, T.StringType()))
+        .csv(path))
+    checked = load_checked(lines, T.StructType([*schema, T.StructField(CORRUPT, T.StringType())]))
+    whole = F.when(F.col(CORRUPT).isNotNull(), F.array(F.struct(
+        F.lit("*").alias("column"), F.lit("line").alias("type"), F.col(CORRUPT).alias("text"))))
+    return checked.withColumn(REASONS, F.coalesce(whole, F.col(REASONS))).drop(CORRUPT)
+
+
+def rejected_cells(checked: DataFrame, table: str) -> DataFrame:
+    """(table, column, type, text) for each reason of a checked load."""
+    return checked.select(F.lit(table).alias("table"), F.inline(REASONS))
+
+
+def append_load(checked: DataFrame, path: str, table: str, run: str) -> DataFrame:
+    """Append the accepted rows of a load and keep the rejected ones beside them.
+
+    Rows go to ``rows/run=…`` and rejected ones, with the reasons, to ``rejected/run=…`` below
+    ``path``; a load that is repeated under its name replaces itself, so nothing is loaded twice.
+    Returns the counts (table, run, accepted, rejected), which come from what was written.
+    """
+    spark = checked.sparkSession
+    good = F.size(REASONS) == 0
+    checked.where(good).drop(REASONS).write.mode("overwrite").parquet(f"{path}/rows/run={run}")
+    bad = checked.where(~good).select("*", F.lit(table).alias("table"))
+    bad.write.mode("overwrite").parquet(f"{path}/rejected/run={run}")
+    count = lambda part: spark.read.parquet(f"{path}/{part}/run={run}").agg(
+        F.count(F.lit(1))).scalar()
+    return spark.range(1).select(
+        F.lit(table).alias("table"), F.lit(run).alias("run"), count("rows").alias("accepted"),
+        count("rejected").alias("rejected"))
+
+
+def loaded_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all loads below ``path``, with their ``run``."""
+    return spark.read.parquet(f"{path}/rows")
 
 
 def write_silver(df: DataFrame, path: str, balance_on: Sequence[str] | None = None) -> None:

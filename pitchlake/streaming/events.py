@@ -109,3 +109,11 @@ def event_time() -> Column:
     return F.coalesce(
         kick_off + F.make_dt_interval(mins=F.col("minute")), F.col("_bronze_ingested_at")
     )
+
+
+def staged_events(events: DataFrame) -> DataFrame:
+    """Parsed events under the names of the staged batch events, marked as streamed."""
+    return events.select(
+        "game_event_id", F.col("game_date").alias("event_date"), "game_id", "minute", "event_type",
+        "club_id", "club_name", "player_id", "description", F.lit("stream").alias("source_type"),
+        F.col("_silver_processed_at").alias("loaded_at"))

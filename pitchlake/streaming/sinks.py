@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from pitchlake.functions.rules import falsy_default
+from pitchlake.operators.stored import KeyedTable
 
 # How often each stage runs.
 TRIGGERS = {"bronze": "30 seconds", "silver": "30 seconds", "points": "10 seconds"}
@@ -105,6 +108,30 @@ def points_sink(
     return with_trigger(writer, checkpoint, every).start()
 
 
+def keyed_sink(
+    stream: DataFrame,
+    table: KeyedTable,
+    checkpoint: str,
+    every: str | None,
+    mode: str = "append",
+    rows: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    name: str = "stream",
+) -> StreamingQuery:
+    """Every batch is merged by key, under its own number, which is marked beside the data.
+
+    A batch that is replayed after a failure goes on where it broke off, or changes nothing if it
+    had been merged. ``rows`` turns a batch into rows of the table. Updates of a key that arrive in
+    later batches replace it, so ``update`` output keeps one row per key.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(rows(batch), f"{name}-{batch_id}", few=True)
+        table.forget_runs([f"{name}-{batch_id - 2}"])  # a checkpoint replays its last batch only
+
+    return with_trigger(
+        stream.writeStream.outputMode(mode).foreachBatch(write), checkpoint, every).start()
+
+
 def progress(query: StreamingQuery) -> dict:
     """Activity, status, last progress and error of one query."""
     return {

@@ -35,3 +35,26 @@ def running_totals(
 ) -> DataFrame:
     """Totals so far per key, for ``update`` or ``complete`` output."""
     return events.groupBy(*keys).agg(*[F.count_if(p).alias(n) for n, p in conditions.items()])
+
+
+def match_totals(
+    events: DataFrame, ts: str, keys: Sequence[str], conditions: Mapping[str, Column], delay: str,
+    size: str = "1 day", counted: Column | None = None,
+) -> DataFrame:
+    """Running totals per key and match day, whose state ends with the day.
+
+    For ``update`` output into a keyed sink: each batch brings the totals that changed. A day's
+    state is dropped once the watermark, ``delay`` behind the newest event, has passed its end, so
+    the state holds the matches in play and not all that ever were. Events that are not ``counted``
+    still move the watermark. Session windows would close a match sooner, but allow no updates.
+    """
+    timed = events.withWatermark(ts, delay)
+    if counted is not None:
+        # A condition that doesn't touch the event time would be moved below the watermark, and
+        # events that it drops would no longer move it.
+        timed = timed.where(counted | (F.col(ts) < F.lit("0001-01-01").cast("timestamp")))
+    return (
+        timed.groupBy(F.window(ts, size).alias("day"), *keys)
+        .agg(*[F.count_if(p).alias(n) for n, p in conditions.items()])
+        .select(F.col("day.start").alias("day"), *keys, *conditions)
+    )

@@ -4,7 +4,9 @@ import json
 from pyspark.sql import functions as F
 
 from pitchlake.operators.reshape import union_stream
+from pitchlake.operators.stored import KeyedTable
 from pitchlake.sources import files, messages
+from pitchlake.sources.messages import stream_parquet
 from pitchlake.streaming import events as ev
 from pitchlake.streaming import live, sinks, stateful
 from pitchlake.streaming.schemas import BRONZE_SCHEMA, EVENT_SCHEMA, SILVER_SCHEMA
@@ -188,3 +190,51 @@ def test_completeness(spark, tmp_path):
     report = files.check_manifest(found, ["games", "players"])
     assert {r["table"]: r["status"] for r in report.collect()} == {
         "games": "found", "clubs": "extra", "players": "missing"}
+
+
+def test_a_keyed_sink_merges_each_batch_once(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    schema = "id long, goals int, loaded_at timestamp"
+
+    def arrive(*data):
+        spark.createDataFrame(list(data), schema).coalesce(1).write.mode("append").parquet(
+            str(tmp_path / "in"))
+        stream = stream_parquet(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema)
+        sinks.keyed_sink(stream, table, str(tmp_path / "ckpt"), None).awaitTermination()
+        return sorted((r.id, r.goals) for r in table.read().collect())
+
+    at = dt.datetime(2024, 1, 1)
+    assert arrive(*[(i, 0, at) for i in range(40)]) == [(i, 0) for i in range(40)]
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").rglob("*.parquet")}
+    assert dict(arrive((3, 1, at), (99, 2, at)))[3] == 1
+    kept = [p for p in files if p.exists()]
+    assert len(kept) >= 2  # at most two of four buckets were written
+    assert all(p.stat().st_mtime_ns == files[p] for p in kept)
+    before = sorted(map(tuple, table.read().collect()))
+    other = spark.createDataFrame([(3, 7, at)], schema)
+    assert sorted(map(tuple, table.upsert(other, "stream-1", few=True).collect())) == before
+    assert table.folder.names("done") == ["stream-0", "stream-1"] and not table.folder.names("runs")
+
+
+def test_uncounted_events_end_the_days_before_them(spark, tmp_path):
+    schema = "game int, kind string, ts timestamp"
+    day = dt.datetime(2024, 1, 1, 12)
+    spark.createDataFrame(
+        [(1, "goals", day), (1, "cards", day), (2, "goals", day), (2, "pause", day)], schema
+    ).coalesce(1).write.parquet(str(tmp_path / "in"))
+    table = KeyedTable(spark, str(tmp_path / "t"), ["day", "game"])
+
+    def run():
+        totals = stateful.match_totals(
+            stream_parquet(spark, str(tmp_path / "in"), spark.createDataFrame([], schema).schema),
+            "ts", ["game"], {"goals": F.col("kind") == "goals"}, "1 hour",
+            counted=F.col("kind") != "end")
+        query = sinks.keyed_sink(totals, table, str(tmp_path / "ckpt"), None, mode="update")
+        query.awaitTermination()
+        return query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+    assert run() == 2
+    spark.createDataFrame([(0, "end", day + dt.timedelta(days=2))], schema).coalesce(1).write.mode(
+        "append").parquet(str(tmp_path / "in"))
+    assert run() == 0
+    assert sorted((r.game, r.goals) for r in table.read().collect()) == [(1, 1), (2, 1)]
