@@ -4,9 +4,10 @@ The perfect (23, 12) code has exactly one codeword within 3 bits of every 23-bit
 are the codewords to which the word and its 23 neighbours at one bit decode: one key within 2 bits
 of a codeword, six otherwise. Two words at 2 bits or less have a neighbour in common, and so a key.
 
-A fingerprint is cut into three segments. Of four differing bits at most two fall into the two
-least affected segments together, so two linked fingerprints share a key in both of some two
-segments: they meet in a bucket of (pair of segments, key, key), where the XOR decides.
+A fingerprint is cut into three segments. Four differing bits leave either a segment as it is, and
+then at most two of them are in one of the other two segments, or one or two in each of the three.
+So two linked fingerprints meet in a bucket of (equal segment, a key of another) or of keys of all
+three segments, 33 to 36 bits that unrelated fingerprints seldom share; there the XOR decides.
 """
 
 from __future__ import annotations
@@ -26,7 +27,8 @@ SHINGLE = 4
 MOST_BITS = 4
 #: (shift, bits) of the segments of a fingerprint; each is a 23-bit word with zeros above.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
-SEGMENT_PAIRS = ((0, 1), (0, 2), (1, 2))
+#: (equal segment, segment of which a key is taken).
+SEGMENT_PAIRS = ((0, 1), (0, 2), (1, 0), (1, 2), (2, 0), (2, 1))
 #: Fingerprints of a bucket that meet as many others in one cell.
 BLOCK = 4096
 #: Buckets up to this size are compared many at a time.
@@ -200,17 +202,21 @@ def segment_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fuzzy_keys(fingerprint: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, key): the bucket keys of each fingerprint."""
-    cut = [segment_keys((fingerprint >> U(shift) & U((1 << bits) - 1)).astype(np.int64))
-           for shift, bits in SEGMENTS]
+    """(row, key): the bucket keys of each fingerprint, 18 to 252 and about 180 on average."""
+    words = [(fingerprint >> U(shift) & U((1 << bits) - 1)).astype(np.int64)
+             for shift, bits in SEGMENTS]
+    cut = [segment_keys(w) for w in words]
+    used = [np.arange(keys.shape[1]) < number[:, None] for keys, number in cut]
     rows, keys = [], []
-    for n, (a, b) in enumerate(SEGMENT_PAIRS):
-        (left, many), (right, more) = cut[a], cut[b]
-        used = (np.arange(left.shape[1])[None, :, None] < many[:, None, None]) & (
-            np.arange(right.shape[1])[None, None, :] < more[:, None, None])
-        both = (n << 24) | (left[:, :, None] << 12) | right[:, None, :]
-        rows.append(np.nonzero(used)[0])
-        keys.append(both[used])
+    for n, (same, other) in enumerate(SEGMENT_PAIRS):
+        both = ((n << 36) | (words[same] << 12))[:, None] | cut[other][0]
+        rows.append(np.nonzero(used[other])[0])
+        keys.append(both[used[other]])
+    three = cut[0][0][:, :, None, None] << 24 | cut[1][0][:, None, :, None] << 12 | (
+        cut[2][0][:, None, None, :])
+    fits = used[0][:, :, None, None] & used[1][:, None, :, None] & used[2][:, None, None, :]
+    rows.append(np.nonzero(fits)[0])
+    keys.append((len(SEGMENT_PAIRS) << 36) | three[fits])
     return np.concatenate(rows), np.concatenate(keys)
 
 
@@ -307,21 +313,22 @@ def linked(nodes: DataFrame, most: int = MOST_BITS, block: int = BLOCK) -> DataF
     is cut into blocks, each two of which are a cell.
     """
     if most > MOST_BITS:
-        raise ValueError(f"two segments share keys up to {MOST_BITS} differing bits only")
+        raise ValueError(f"keys are shared up to {MOST_BITS} differing bits only")
 
     def deal(batches):
         for batch in batches:
             fp = batch.column(0).to_numpy()
-            for at in range(0, len(fp), 4096):
-                rows, keys = fuzzy_keys(fp[at : at + 4096].view(np.uint64))
+            for at in range(0, len(fp), 1024):
+                rows, keys = fuzzy_keys(fp[at : at + 1024].view(np.uint64))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys), pa.array(fp[at : at + 4096][rows])], ["key", "fp"])
+                    [pa.array(keys), pa.array(fp[at : at + 1024][rows])], ["key", "fp"])
 
     dealt = nodes.select("fp").mapInArrow(deal, "key long, fp long")
-    crowds = dealt.groupBy("key").agg(F.count("*").alias("crowd")).where("crowd > 1")
-    blocks = F.ceil(F.col("crowd") / block)
+    # Few buckets are large, so this side is small; all others are one cell.
+    large = dealt.groupBy("key").agg(F.count("*").alias("crowd")).where(F.col("crowd") > block)
+    blocks = F.coalesce(F.ceil(F.col("crowd") / block), F.lit(1).cast("long"))
     cells = (
-        dealt.join(crowds, "key").withColumn("blocks", blocks)
+        dealt.join(large, "key", "left").withColumn("blocks", blocks)
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("long"))
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         .select("key", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other"))
