@@ -11,12 +11,12 @@ do not:
 from __future__ import annotations
 
 import functools
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pitchlake.session import ensure_checkpoint_dir
 
 def null_safe_on(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
     return functools.reduce(
@@ -54,49 +54,103 @@ def with_totals(
     return out
 
 
+#: Rows of a chunk, on average. A frame of n rows has about n / CHUNK_ROWS chunk bounds, which are
+#: sent to every task: half a million for 10^11 rows.
+CHUNK_ROWS = 200_000
+
+_SORT_ORDER = re.compile(r"Column<'(.+?)(?: (ASC|DESC))?(?: NULLS (FIRST|LAST))?'>")
+
+
+def _before(order: Sequence[Column | str]) -> tuple[list[str], Callable[[Column, Column], Column]]:
+    """The columns of an order, and whether one struct of them comes before another."""
+    parts = []
+    for item in order:
+        found = _SORT_ORDER.fullmatch(str(F.col(item) if isinstance(item, str) else item))
+        name, down, nulls = found.groups() if found else (None, None, None)
+        if name is None or re.search(r"[( ]", name):
+            raise ValueError(f"{item}: order by a column, up or down")
+        first = nulls == "FIRST" if nulls else down != "DESC"
+        parts.append((name.replace("`", ""), down == "DESC", first))
+
+    def before(a: Column, b: Column) -> Column:
+        out = F.lit(False)
+        for name, down, nulls_first in reversed(parts):
+            x, y = a[name], b[name]
+            edge = x.isNull() & y.isNotNull() if nulls_first else x.isNotNull() & y.isNull()
+            less = edge | F.coalesce(x > y if down else x < y, F.lit(False))
+            out = less | (x.eqNullSafe(y) & out)
+        return out
+
+    return [name for name, *_ in parts], before
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
     sums: Mapping[str, Column],
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Running sums per group, including the current row, over a total order.
 
-    ``sums`` maps output names to numeric columns; ``F.lit(1)`` gives a row number. Rows are
-    range-partitioned by (keys, order), so any group, however large, is dealt to as many tasks as
-    its share asks for. Each row adds the sum up to it inside its partition, its chunk, to the sum
-    of its group's earlier chunks.
+    ``sums`` maps output names to numeric columns; ``F.lit(1)`` gives a row number. ``order`` holds
+    column names, or such columns up or down. A group is cut into chunks of about ``chunk_rows``
+    rows, at the places of rows whose hash is picked, so any group, however large, is dealt to as
+    many tasks as its share asks for. Each row adds the sum up to it inside its chunk to the sum of
+    its group's earlier chunks.
+
+    All rows are shuffled once, by (keys, chunk). Bounds and chunk sums come from narrow
+    aggregates. Which rows are picked depends on their content only, so all uses of the bounds, and
+    any task that is run again, see the same chunks; nothing runs or is written while planning.
     """
     keys, order = list(keys), list(order)
-    # The chunk number depends on sampled range bounds, so it is written down once: both uses
-    # below, and any task that is run again, then see the same chunks.
-    ensure_checkpoint_dir(df.sparkSession)
+    names, before = _before(order)
     inputs = {f"_in_{name}": c for name, c in sums.items()}
-    chunked = (
-        df.withColumns(inputs)
-        .repartitionByRange(*keys, *order)
-        .withColumn("_chunk", F.spark_partition_id())
-        .checkpoint()
+    rows = df.withColumns(inputs).withColumn("_place", F.struct(*names))
+    picked = F.pmod(F.xxhash64(*keys, *names, *inputs), F.lit(chunk_rows)) == 0
+    bounds = (
+        rows.where(picked).groupBy(*keys).agg(F.collect_set("_place").alias("_found"))
+        .select(
+            *[F.col(k).alias(f"_b_{k}") for k in keys],
+            F.array_sort("_found", lambda a, b: F.when(before(a, b), -1).when(
+                before(b, a), 1).otherwise(0)).alias("_bounds"))
     )
+
+    def at_or_after(bound: Column) -> Column:
+        return ~before(F.col("_place"), bound)
+
+    # Binary search: the number of bounds that a row has reached.
+    size = F.size("_bounds")
+    steps = F.transform(
+        F.sequence(F.floor(F.log2(size)).cast("int"), F.lit(0), F.lit(-1)),
+        lambda i: F.pow(F.lit(2), i).cast("int"))
+    reached = F.aggregate(steps, F.lit(0), lambda n, step: F.when(
+        (n + step <= size) & at_or_after(F.get("_bounds", n + step - 1)), n + step).otherwise(n))
+    chunk = F.when(F.col("_bounds").isNull(), 0).otherwise(reached)
+
+    def chunked(how: str) -> DataFrame:
+        # About one bound for each ``chunk_rows`` rows.
+        on = null_safe_on(rows, bounds, [(k, f"_b_{k}") for k in keys]) if keys else F.lit(True)
+        return rows.join(F.broadcast(bounds), on, how).withColumn("_chunk", chunk)
+
     part = [*keys, "_chunk"]
     inside = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = chunked.select(
+    local = chunked("left").select(
         *df.columns, "_chunk",
         *[F.sum(f"_in_{name}").over(inside).alias(f"_local_{name}") for name in sums],
     )
-    # One row per (group, chunk): a group has at most as many rows here as there are partitions.
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per chunk of the groups that have several.
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        chunked.groupBy(*part)
+        chunked("inner").groupBy(*part)
         .agg(*[F.sum(f"_in_{name}").alias(f"_sum_{name}") for name in sums])
         .select(
-            *[F.col(k).alias(f"_k_{k}") for k in keys],
-            F.col("_chunk").alias("_k__chunk"),
-            *[F.sum(f"_sum_{name}").over(before).alias(f"_before_{name}") for name in sums],
+            *[F.col(k).alias(f"_k_{k}") for k in part],
+            *[F.sum(f"_sum_{name}").over(earlier).alias(f"_before_{name}") for name in sums],
         )
     )
     on = null_safe_on(local, offsets, [(k, f"_k_{k}") for k in part])
-    return local.join(offsets, on, "left").select(
+    return local.join(F.broadcast(offsets), on, "left").select(
         *[local[c] for c in df.columns],
         *[
             F.when(
@@ -116,9 +170,10 @@ def row_numbers(
     keys: Sequence[str],
     order: Sequence[Column | str],
     name: str = "rn",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``row_number()`` for every row of every group."""
-    ranked = running(df, keys, order, {name: F.lit(1)})
+    ranked = running(df, keys, order, {name: F.lit(1)}, chunk_rows)
     return ranked.withColumn(name, F.col(name).cast("int"))
 
 

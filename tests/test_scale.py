@@ -1,7 +1,9 @@
 import random
+import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pitchlake.operators import joins, limits, windows
@@ -35,16 +37,44 @@ def brute_running(data):
     return out
 
 
-def test_running_sums_equal_brute_force(skewed):
+@pytest.mark.parametrize("chunk_rows", [1, 7, 50, 200_000])
+def test_running_sums_equal_brute_force(skewed, chunk_rows):
     data, df = skewed
-    out = running(df, ["k"], ["at", "id"], {"n": F.lit(1), "total": F.col("hit")})
+    out = running(df, ["k"], ["at", "id"], {"n": F.lit(1), "total": F.col("hit")}, chunk_rows)
     got = {r["id"]: (r["n"], r["total"]) for r in out.collect()}
     assert got == brute_running(data)
 
 
-def test_descending_rank(skewed):
+@pytest.mark.parametrize("chunk_rows", [1, 20, 200_000])
+@pytest.mark.parametrize("down", ["desc", "desc_nulls_first", "asc_nulls_last"])
+def test_order_of_nulls(spark, chunk_rows, down):
+    data = [(i, None if i % 4 == 0 else i % 13, None if i % 3 == 0 else float(i % 5)) for i in range(200)]
+    df = spark.createDataFrame(data, "id int, a int, b double").repartition(4).withColumn(
+        "k", F.lit("one"))
+    order = [getattr(F, down)("a"), F.col("b"), F.desc("id")]
+    want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(
+        Window.partitionBy("k").orderBy(*order))).collect()}
+    assert {r.id: r.rn for r in row_numbers(df, ["k"], order, "rn", chunk_rows).collect()} == want
+
+
+def test_one_full_shuffle_and_no_job_while_planning(spark, skewed):
+    _, df = skewed
+    spark.range(1).count()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(None)
+    out = row_numbers(df, ["k"], ["at", "id"])
+    plan = plan_of(out)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup(None) == jobs
+    # The rows, and the sums of chunks; the other exchanges hold bounds and chunks only.
+    assert len(re.findall(r"hashpartitioning\(k#\d+, _chunk#", plan)) == 2
+    assert "BroadcastHashJoin" in plan and "RangePartitioning" not in plan
+    with pytest.raises(ValueError):
+        running(df, ["k"], [F.col("at") + 1], {"n": F.lit(1)})
+
+
+@pytest.mark.parametrize("chunk_rows", [9, 200_000])
+def test_descending_rank(skewed, chunk_rows):
     data, df = skewed
-    out = row_numbers(df, ["k"], [F.desc("at"), F.desc("id")], "rn")
+    out = row_numbers(df, ["k"], [F.desc("at"), F.desc("id")], "rn", chunk_rows)
     got = {r["id"]: r["rn"] for r in out.collect()}
     for key in {d[1] for d in data}:
         ordered = sorted((d for d in data if d[1] == key), key=lambda d: (-d[2], -d[0]))
