@@ -90,14 +90,11 @@ cte(
            cast(day(d) as integer) as day, cast(dayofweek(d) as integer) as day_of_week,
            strftime(d, '%a') as day_name, strftime(d, '%b') as month_name,
            cast(quarter(d) as integer) as quarter, cast(weekofyear(d) as integer) as week_of_year,
-           case when month(d) >= 7
-                then cast(year(d) as varchar) || '/' || right(cast(year(d) + 1 as varchar), 2)
-                else cast(year(d) - 1 as varchar) || '/' || right(cast(year(d) as varchar), 2)
-           end as season_label,
-           cast(case when month(d) >= 7 then year(d) else year(d) - 1 end as integer)
-               as season_start_year
-    from (select cast(g as date) as d
-          from generate_series(date '2000-01-01', date '2030-12-30', interval 1 day) as s(g))""",
+           printf('%d/%02d', first_year, (first_year + 1) % 100) as season_label,
+           cast(first_year as integer) as season_start_year
+    from (select d, year(d + interval 6 months) - 1 as first_year from (
+          select cast(g as date) as d
+          from generate_series(date '2000-01-01', date '2030-12-30', interval 1 day) as s(g)))""",
 )
 cte(
     "dim_club", ["stg_clubs"],
@@ -209,91 +206,126 @@ def rounded(top: str, bottom: str, scale: int = 1, digits: int = 2) -> str:
     )
 
 
+# The marts are added up by ids first, then by names, or from aggregates that are joined back.
+
 cte(
     "mart_player_performance", ["fact_appearances", "dim_player", "dim_club", "dim_date"],
     f"""
-    select p.player_full_name, p.position, p.nationality, p.current_club_name, p.age, p.is_active,
-           p.is_international, p.latest_market_value_eur, d.season_label as season,
-           d.season_start_year, c.club_name as club_at_time,
-           count(a.appearance_id) as total_appearances,
-           cast(sum(a.goals) as bigint) as total_goals,
-           cast(sum(a.assists) as bigint) as total_assists,
-           cast(sum(a.minutes_played) as bigint) as total_minutes,
-           cast(sum(a.yellow_cards) as bigint) as total_yellow_cards,
-           cast(sum(a.red_cards) as bigint) as total_red_cards,
-           {rounded('sum(a.goals)', 'count(*)')} as avg_goals_per_match,
-           {rounded('sum(a.assists)', 'count(*)')} as avg_assists_per_match,
-           {rounded('sum(a.minutes_played)', 'count(*)', digits=0)} as avg_minutes_per_match,
-           {rounded('sum(a.goals)', 'sum(a.minutes_played)', 90)} as goals_per_90_min
-    from fact_appearances a
-    join dim_player p on a.sk_player = p.sk_player
-    join dim_date d on a.sk_date = d.sk_date
-    join dim_club c on a.sk_club = c.sk_club
-    group by all""",
+    select m.* replace (
+           cast(total_goals as bigint) as total_goals, cast(total_assists as bigint) as total_assists,
+           cast(total_minutes as bigint) as total_minutes,
+           cast(total_yellow_cards as bigint) as total_yellow_cards,
+           cast(total_red_cards as bigint) as total_red_cards,
+           cast(total_appearances as bigint) as total_appearances),
+           {rounded('total_goals', 'total_appearances')} as avg_goals_per_match,
+           {rounded('total_assists', 'total_appearances')} as avg_assists_per_match,
+           {rounded('total_minutes', 'total_appearances', digits=0)} as avg_minutes_per_match,
+           {rounded('total_goals', 'total_minutes', 90)} as goals_per_90_min
+    from (
+        select player_full_name, position, nationality, current_club_name, age, is_active,
+               is_international, latest_market_value_eur, season, season_start_year, club_at_time,
+               sum(n) as total_appearances, sum(goals) as total_goals,
+               sum(assists) as total_assists, sum(minutes) as total_minutes,
+               sum(yellow) as total_yellow_cards, sum(red) as total_red_cards
+        from (
+            select sk_player, sk_club, season_label as season, season_start_year, count(*) as n,
+                   sum(goals) as goals, sum(assists) as assists, sum(minutes_played) as minutes,
+                   sum(yellow_cards) as yellow, sum(red_cards) as red
+            from fact_appearances join dim_date using (sk_date)
+            group by sk_player, sk_club, season_label, season_start_year)
+        join dim_player using (sk_player)
+        join (select sk_club, club_name as club_at_time from dim_club) using (sk_club)
+        group by all) m""",
 )
 cte(
     "club_view", ["fact_matches"],
     """
-    select game_id, home_club_key as club_key, home_club_id as club_id, competition_key,
-           competition_id, date_key, 'Home' as hosting, home_win as is_win,
-           case when home_win then 'WIN' when is_draw then 'DRAW' else 'LOSS' end as result,
-           home_goals as goals_scored, away_goals as goals_conceded, goal_difference
-    from fact_matches
-    union all
-    select game_id, away_club_key, away_club_id, competition_key, competition_id, date_key, 'Away',
-           away_win, case when away_win then 'WIN' when is_draw then 'DRAW' else 'LOSS' end,
-           away_goals, home_goals, away_goals - home_goals
-    from fact_matches""",
+    select game_id, club_key, club_id, competition_key, competition_id, date_key, hosting,
+           coalesce(goals_scored > goals_conceded, false) as is_win,
+           ['LOSS', 'DRAW', 'WIN'][
+               2 + coalesce(cast(sign(goals_scored - goals_conceded) as integer), -1)] as result,
+           goals_scored, goals_conceded, goals_scored - goals_conceded as goal_difference
+    from (
+        select game_id, competition_key, competition_id, date_key, unnest([
+            {'hosting': 'Home', 'club_key': home_club_key, 'club_id': home_club_id,
+             'goals_scored': home_goals, 'goals_conceded': away_goals},
+            {'hosting': 'Away', 'club_key': away_club_key, 'club_id': away_club_id,
+             'goals_scored': away_goals, 'goals_conceded': home_goals}], recursive := true)
+        from fact_matches)""",
 )
 cte(
     "mart_club_match_stats", ["club_view", "dim_club", "dim_competitions", "dim_date"],
     f"""
-    select c.club_name, k.competition_name, k.competition_type, d.season_label as season,
-           v.hosting, count(v.game_id) as total_matches,
-           cast(sum(case when v.is_win then 1 else 0 end) as bigint) as wins,
-           cast(sum(case when v.result = 'DRAW' then 1 else 0 end) as bigint) as draws,
-           cast(sum(case when v.result = 'LOSS' then 1 else 0 end) as bigint) as losses,
-           {rounded('sum(case when v.is_win then 1 else 0 end)', 'count(*)', 100, 1)}
-               as win_rate_pct,
-           cast(sum(v.goals_scored) as bigint) as total_goals_scored,
-           cast(sum(v.goals_conceded) as bigint) as total_goals_conceded,
-           {rounded('sum(v.goals_scored)', 'count(v.goals_scored)')} as avg_goals_scored,
-           {rounded('sum(v.goals_conceded)', 'count(v.goals_conceded)')} as avg_goals_conceded,
-           cast(sum(v.goal_difference) as bigint) as total_goal_difference
-    from club_view v
-    left join dim_club c on v.club_id = c.club_id
-    left join dim_competitions k on v.competition_id = k.competition_id
-    left join dim_date d on v.date_key = d.sk_date
-    group by c.club_name, k.competition_name, k.competition_type, d.season_label, v.hosting""",
+    select club_name, competition_name, competition_type, season, hosting,
+           cast(games as bigint) as total_matches, cast(won as bigint) as wins,
+           cast(drawn as bigint) as draws, cast(lost as bigint) as losses,
+           {rounded('won', 'n', 100, 1)} as win_rate_pct,
+           cast(scored as bigint) as total_goals_scored,
+           cast(conceded as bigint) as total_goals_conceded,
+           {rounded('scored', 'with_score')} as avg_goals_scored,
+           {rounded('conceded', 'with_other')} as avg_goals_conceded,
+           cast(difference as bigint) as total_goal_difference
+    from (
+        select club_name, competition_name, competition_type, season, hosting, sum(n) as n,
+               sum(games) as games, sum(won) as won, sum(drawn) as drawn, sum(lost) as lost,
+               sum(scored) as scored, sum(with_score) as with_score, sum(conceded) as conceded,
+               sum(with_other) as with_other, sum(difference) as difference
+        from (
+            select club_id, competition_id, hosting,
+                   (select season_label from dim_date where sk_date = date_key) as season,
+                   count(*) as n, count(game_id) as games, count(*) filter (is_win) as won,
+                   count(*) filter (result = 'DRAW') as drawn,
+                   count(*) filter (result = 'LOSS') as lost, sum(goals_scored) as scored,
+                   count(goals_scored) as with_score, sum(goals_conceded) as conceded,
+                   count(goals_conceded) as with_other, sum(goal_difference) as difference
+            from club_view group by club_id, competition_id, hosting, date_key)
+        left join (select club_id, club_name from dim_club) using (club_id)
+        left join (select competition_id, competition_name, competition_type
+                   from dim_competitions) using (competition_id)
+        group by all)""",
+)
+cte(
+    "seasoned_transfers", ["fact_transfers", "dim_date"],
+    """
+    select t.* exclude (transfer_season), s.season_label as transfer_season
+    from fact_transfers t left join (select sk_date, season_label from dim_date) s
+         on s.sk_date = t.sk_date""",
 )
 cte(
-    "mart_club_transfer_spending", ["fact_transfers", "dim_club", "dim_player", "dim_date"],
+    "mart_club_transfer_spending", ["seasoned_transfers", "dim_club", "dim_player"],
     """
-    select b.club_name as buying_club, s.club_name as selling_club, p.player_full_name, p.position,
-           d.season_label as transfer_season, t.transfer_fee_eur, t.player_value_at_transfer_eur,
-           t.transfer_fee_type, t.transfer_date,
-           cast(sum(t.transfer_fee_eur) over (partition by t.sk_to_club, d.season_label) as bigint)
-               as total_spent_that_season,
-           cast(sum(t.transfer_fee_eur) over (partition by t.sk_from_club, d.season_label) as bigint)
-               as total_received_that_season
-    from fact_transfers t
-    left join dim_club b on t.sk_to_club = b.sk_club
-    left join dim_club s on t.sk_from_club = s.sk_club
-    left join dim_player p on t.sk_player = p.sk_player
-    left join dim_date d on t.sk_date = d.sk_date""",
+    with clubs as (select sk_club, club_name from dim_club),
+    bought as (select sk_to_club as club, transfer_season as season, sum(transfer_fee_eur) as fee
+               from seasoned_transfers group by 1, 2),
+    sold as (select sk_from_club as club, transfer_season as season, sum(transfer_fee_eur) as fee
+             from seasoned_transfers group by 1, 2)
+    select (select club_name from clubs where sk_club = sk_to_club) as buying_club,
+           (select club_name from clubs where sk_club = sk_from_club) as selling_club,
+           player_full_name, position, transfer_season, transfer_fee_eur,
+           player_value_at_transfer_eur, transfer_fee_type, transfer_date,
+           cast(bought.fee as bigint) as total_spent_that_season,
+           cast(sold.fee as bigint) as total_received_that_season
+    from seasoned_transfers
+    join bought on bought.club is not distinct from sk_to_club
+         and bought.season is not distinct from transfer_season
+    join sold on sold.club is not distinct from sk_from_club
+         and sold.season is not distinct from transfer_season
+    left join (select sk_player, player_full_name, position from dim_player) using (sk_player)""",
 )
 cte(
     "mart_match_events_live", ["fact_game_events", "dim_club", "dim_date"],
     """
-    select e.game_id, c.club_name, d.full_date as event_date, e.minute, e.event_type,
-           e.description, e.player_id, e.source_type,
-           count(case when e.event_type = 'goals' then 1 end) over w as goals_in_match,
-           count(case when e.event_type = 'cards' then 1 end) over w as cards_in_match,
-           count(case when e.event_type = 'substitutions' then 1 end) over w as subs_in_match
-    from fact_game_events e
-    left join dim_club c on e.sk_club = c.sk_club
-    left join dim_date d on e.sk_date = d.sk_date
-    window w as (partition by e.game_id, e.club_id)""",
+    with kinds as (
+        select game_id, club_id, count(*) filter (event_type = 'goals') as goals,
+               count(*) filter (event_type = 'cards') as cards,
+               count(*) filter (event_type = 'substitutions') as subs
+        from fact_game_events group by game_id, club_id)
+    select e.game_id, (select club_name from dim_club where sk_club = e.sk_club) as club_name,
+           (select full_date from dim_date where sk_date = e.sk_date) as event_date,
+           minute, event_type, description, player_id, source_type, goals as goals_in_match,
+           cards as cards_in_match, subs as subs_in_match
+    from fact_game_events e join kinds on kinds.game_id is not distinct from e.game_id
+         and kinds.club_id is not distinct from e.club_id""",
 )
 
 MODELS = {
