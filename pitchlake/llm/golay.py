@@ -323,7 +323,9 @@ def linked(nodes: DataFrame, most: int = MOST_BITS, block: int = BLOCK) -> DataF
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys), pa.array(fp[at : at + 1024][rows])], ["key", "fp"])
 
-    dealt = nodes.select("fp").mapInArrow(deal, "key long, fp long")
+    # A fingerprint gives about 180 rows, so few of them make a task's worth.
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = nodes.select("fp").repartition(tasks, "fp").mapInArrow(deal, "key long, fp long")
     # Few buckets are large, so this side is small; all others are one cell.
     large = dealt.groupBy("key").agg(F.count("*").alias("crowd")).where(F.col("crowd") > block)
     blocks = F.coalesce(F.ceil(F.col("crowd") / block), F.lit(1).cast("long"))
