@@ -9,7 +9,7 @@ from checks.registry import check, with_ctes
 from pitchlake.functions import football, rules
 from pitchlake.operators import aggregates as agg
 from pitchlake.operators import clean as cl
-from pitchlake.operators import joins, profile, quality, reshape, windows
+from pitchlake.operators import joins, profile, quality, reshape, sketches, windows
 from pitchlake.operators.state import run_tables
 from pitchlake.plans.profiles import PROFILES
 from pitchlake.session import work_path
@@ -189,9 +189,23 @@ def _(ctx):
     return agg.distinct_counts(ctx.base("orders"), _ORDER_COLUMNS)
 
 
-@check("q_distinct_counts_approx", "AGG-4")
+_LINE_COLUMNS = "l_orderkey l_partkey l_suppkey l_quantity l_shipdate l_returnflag".split()
+
+
+@check(
+    "q_distinct_counts_approx", "AGG-4",
+    " union all ".join(
+        f"""select '{c}' as "column", true as near, count(distinct {c}) as "distinct" from lineitem"""
+        for c in ("l_orderkey", "l_partkey", "l_quantity")),
+)
 def _(ctx):
-    return agg.distinct_counts(ctx.base("lineitem"), approx=True)
+    """Whether each estimate lies within three standard errors of the exact count."""
+    columns = ["l_orderkey", "l_partkey", "l_quantity"]
+    about = agg.distinct_counts(ctx.base("lineitem"), columns, approx=True).withColumnRenamed(
+        "distinct", "estimate")
+    exact = agg.distinct_counts(ctx.base("lineitem"), columns)
+    near = F.abs(F.col("estimate") - F.col("distinct")) <= 0.15 * F.col("distinct")
+    return exact.join(about, "column").select("column", near.alias("near"), "distinct")
 
 
 @check(
@@ -281,9 +295,63 @@ def _(ctx):
     return _rounded_summary(agg.summary(ctx.base("events"), ["value"], quartiles="none"))
 
 
-@check("q_summary_approx", "AGG-9")
+@check(
+    "q_summary_approx", "AGG-9",
+    " union all ".join(
+        f"""select '{c}' as "column", count({c}) as count, true as near from lineitem"""
+        for c in ("l_quantity", "l_extendedprice", "l_tax")),
+)
 def _(ctx):
-    return agg.summary(ctx.base("lineitem"), ["l_quantity", "l_extendedprice", "l_tax"])
+    """Whether the share of values up to each estimated quartile is near its probability."""
+    columns, rows = ["l_quantity", "l_extendedprice", "l_tax"], ctx.base("lineitem")
+    about = agg.summary(rows, columns)
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
+                      for c in columns])
+    near, at = F.lit(True), F.lit(0.001)
+    ranked = rows.select(F.inline(cells)).join(F.broadcast(about), "column").groupBy(
+        "column", "count").agg(*[
+            F.avg((F.col("v") < F.col(q)).cast("double")).alias(f"{q}_low") for q in ("p25", "p50", "p75")
+        ], *[
+            F.avg((F.col("v") <= F.col(q)).cast("double")).alias(f"{q}_high")
+            for q in ("p25", "p50", "p75")])
+    for q, p in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        near = near & (F.col(f"{q}_low") - at <= p) & (F.col(f"{q}_high") + at >= p)
+    return ranked.select("column", "count", near.alias("near"))
+
+
+@check(
+    "q_profile_sketches", "AGG-4 AGG-8 AGG-9 QLT-7",
+    " union all ".join(
+        f"""select '{c}' as "column", count(*) as rows, count({c}) as known,
+                   {f'cast(min({c}) as double)' if n else 'null'} as low,
+                   {f'cast(max({c}) as double)' if n else 'null'} as high,
+                   true as distinct_near, {'true' if n else 'null'} as quantiles_near from lineitem"""
+        for c, n in ((c, c not in ("l_shipdate", "l_returnflag")) for c in _LINE_COLUMNS)),
+)
+def _(ctx):
+    """Sketches of three loads, stored one by one and merged, next to exact counts and ranks."""
+    numeric = [c for c in _LINE_COLUMNS if c not in ("l_shipdate", "l_returnflag")]
+    rows = ctx.base("lineitem")
+    path = work_path(ctx.spark, "sketches")
+    for load in range(3):
+        part = rows.where(F.col("l_orderkey") % 3 == load)
+        sketches.sketch_columns(part, _LINE_COLUMNS, numeric).write.mode("append").parquet(path)
+    about = sketches.estimates(sketches.merge_sketches(ctx.spark.read.parquet(path)))
+    counted = agg.value_table(rows, _LINE_COLUMNS).join(
+        F.broadcast(about.select("column", "quantiles")), "column")
+    number, checks = F.col("value").try_cast("double"), []
+    for i, p in enumerate((0.25, 0.5, 0.75)):
+        q = F.col("quantiles")[i]
+        below, upto = (F.sum(F.when(c, F.col("n")).otherwise(0)) / F.sum("n")
+                       for c in (number < q, number <= q))
+        checks.append((below - sketches.RANK_ERROR <= p) & (upto + sketches.RANK_ERROR >= p))
+    exact = counted.where("value is not null").groupBy("column").agg(
+        F.count("value").alias("exact"), (checks[0] & checks[1] & checks[2]).alias("ranks"))
+    near = F.abs(F.col("distinct") - F.col("exact")) <= F.greatest(
+        F.lit(1), sketches.DISTINCT_ERROR * F.col("exact"))
+    return about.join(exact, "column").select(
+        "column", "rows", "known", "low", "high", near.alias("distinct_near"),
+        F.when(F.col("column").isin(numeric), F.col("ranks")).alias("quantiles_near"))
 
 
 @check(
@@ -594,33 +662,53 @@ def _(ctx):
     return quality.with_status(report)
 
 
-_DQ = "c_custkey c_nationkey c_acctbal c_mktsegment".split()
+_DQ = "c_custkey c_nationkey c_acctbal c_mktsegment always seldom".split()
 _DQ_NUMERIC = ("c_custkey", "c_nationkey", "c_acctbal")
-
-
-@check(
-    "q_dq_report", "QLT-7 AGG-2 AGG-3 AGG-4 AGG-6 AGG-12 AGG-13",
-    " union all ".join(
-        [
-            f"""select 'missing' as section, '{c}' as subject,
-                       cast(count(*) - count({c}) as double) as value from customer"""
-            for c in _DQ
-        ]
-        + [
+#: Customers with a constant and a sparse column, and some rows twice.
+_DQ_ROWS = """(
+    select c_custkey, c_nationkey, cast(c_acctbal as double) as c_acctbal, c_mktsegment, 'x' as always,
+           case when c_custkey % 4 = 1 then c_custkey end as seldom
+    from customer cross join (select 0 as again union all select 1) as twice
+    where again = 0 or c_custkey % 10 = 3)"""
+
+
+def _dq_sql() -> str:
+    parts = [f"select 'rows' as section, '*' as subject, cast(count(*) as double) as value from {_DQ_ROWS}",
+             f"select 'columns', '*', {float(len(_DQ))}::double"]
+    for c in _DQ:
+        parts += [
+            f"select 'missing', '{c}', cast(count(*) - count({c}) as double) from {_DQ_ROWS}",
             f"""select 'missing_pct', '{c}',
-                       round((count(*) - count({c})) * 100.0::double / count(*), 2) from customer"""
-            for c in _DQ
-        ]
-        + [f"select 'distinct', '{c}', cast(count(distinct {c}) as double) from customer" for c in _DQ]
-        + ["select 'duplicates', '*', 0.0::double"]
-        + [
-            f"""select 'outliers', "column", cast(outliers as double) from ({_iqr_sql('customer', [c])})"""
-            for c in _DQ_NUMERIC
+                round((count(*) - count({c})) * 100.0::double / count(*), 2) from {_DQ_ROWS}""",
+            f"select 'distinct', '{c}', cast(count(distinct {c}) as double) from {_DQ_ROWS}",
         ]
-    ),
-)
+    for c in _DQ_NUMERIC:
+        stats = {
+            "count": f"count({c})", "mean": f"avg({c})", "stddev": f"stddev_samp({c})",
+            "min": f"min({c})", "max": f"max({c})",
+            **{f"p{p}": f"quantile_cont({c}, {p / 100})" for p in (25, 50, 75)}}
+        parts += [
+            f"select 'summary_{name}', '{c}', round(cast({x} as double), 4) from {_DQ_ROWS}"
+            for name, x in stats.items()]
+        parts.append(f"""select 'outliers', "column", cast(outliers as double)
+                         from ({_iqr_sql(_DQ_ROWS, [c])})""")
+    columns = ", ".join(_DQ)
+    parts += [
+        f"""select 'duplicates', '*', cast(count(*) - (select count(*) from (
+                select distinct {columns} from {_DQ_ROWS})) as double) from {_DQ_ROWS}""",
+        "select 'constant', 'always', 1.0::double",
+        f"""select 'mostly_missing', 'seldom',
+            round((count(*) - count(seldom)) * 100.0::double / count(*), 2) from {_DQ_ROWS}"""]
+    return " union all ".join(parts)
+
+
+@check("q_dq_report", "QLT-7 AGG-2 AGG-3 AGG-4 AGG-6 AGG-9 AGG-12 AGG-13", _dq_sql())
 def _(ctx):
-    return profile.dq_report(ctx.base("customer").select(*_DQ), _DQ_NUMERIC)
+    rows = ctx.base("customer").select(
+        "c_custkey", "c_nationkey", F.col("c_acctbal").cast("double").alias("c_acctbal"),
+        "c_mktsegment", F.lit("x").alias("always"),
+        F.when(F.col("c_custkey") % 4 == 1, F.col("c_custkey")).alias("seldom"))
+    return profile.dq_report(rows.union(rows.where("c_custkey % 10 = 3")), _DQ_NUMERIC)
 
 
 # --- profiles ------------------------------------------------------------------------------------
@@ -716,7 +804,7 @@ def _distribution_sql(table: str) -> str:
     )
 
 
-for _table in ("appearances", "games", "game_lineups", "competitions"):
+for _table in (t for t, p in PROFILES.items() if p.categories):
     check(f"q_distributions_{_table}", "TBL-38 AGG-7", _distribution_sql(_table))(
         lambda ctx, t=_table: profile.distributions(ctx.raw(t), PROFILES[t])
     )
@@ -756,6 +844,31 @@ def _(ctx):
     )
 
 
+def _register_ranges_and_summaries() -> None:
+    """Date ranges and numeric summaries of every table that has such columns."""
+    for table, spec in PROFILES.items():
+        if spec.dates:
+            days = " union all ".join(
+                f"""select '{c}' as "column", cast(min(try_cast({c} as date)) as varchar) as min,
+                           cast(max(try_cast({c} as date)) as varchar) as max from raw_{table}"""
+                for c in spec.dates)
+            check(f"q_date_ranges_{table}", "TBL-38 AGG-8", with_ctes([f"raw_{table}"], days))(
+                lambda ctx, t=table, s=spec: profile.date_ranges(ctx.raw(t), s))
+        kinds = {"int": "integer"}
+        cells = ", ".join(
+            f"cast(try_cast(trim(cast({c} as varchar)) as {kinds.get(t, t)}) as double) as {c}"
+            for c, t in spec.numeric.items())
+        check(
+            f"q_numeric_summary_{table}", "TBL-38 AGG-9",
+            with_ctes([f"raw_{table}"], _summary_sql(
+                f"(select {cells} from raw_{table})", list(spec.numeric), True)),
+        )(lambda ctx, t=table, s=spec: _rounded_summary(
+            profile.numeric_summary(ctx.raw(t), s, quartiles="exact")))
+
+
+_register_ranges_and_summaries()
+
+
 # --- runs ----------------------------------------------------------------------------------------
 
 

@@ -58,15 +58,22 @@ def fused_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
 
 
 def key_counts(df: DataFrame, spec: ProfileSpec, approx: bool = False) -> DataFrame:
-    """Distinct values per column and repeated keys."""
-    distinct = agg.distinct_counts(df, approx=approx).select(
+    """Distinct values per column and repeated keys, from one count of all values."""
+    name = ",".join(spec.key)
+    whole = F.to_json(F.struct(*spec.key), {"ignoreNullFields": "false"})
+    columns = {} if approx else {c: F.col(f"`{c}`") for c in df.columns}
+    counted = agg.value_table(df, {**columns, f"key {name}": whole})
+    found = agg.per_column(
+        counted, [*columns, f"key {name}"], distinct=F.count("value"),
+        repeated=F.count_if(F.col("n") > 1))
+    repeated = found.where(F.col("column") == f"key {name}").select(
+        F.lit("repeated_keys").alias("metric"), F.lit(name).alias("subject"),
+        F.col("repeated").alias("value"))
+    known = agg.distinct_counts(df, approx=True) if approx else found.where(
+        F.col("column") != f"key {name}")
+    return known.select(
         F.lit("distinct").alias("metric"), F.col("column").alias("subject"),
-        F.col("distinct").alias("value"),
-    )
-    repeated = agg.dup_keys(df, spec.key).agg(F.count(F.lit(1)).alias("value")).select(
-        F.lit("repeated_keys").alias("metric"), F.lit(",".join(spec.key)).alias("subject"), "value"
-    )
-    return distinct.unionByName(repeated)
+        F.col("distinct").alias("value")).unionByName(repeated)
 
 
 def profile(df: DataFrame, spec: ProfileSpec, approx_distinct: bool = False) -> DataFrame:
@@ -89,33 +96,43 @@ def date_ranges(df: DataFrame, spec: ProfileSpec) -> DataFrame:
 
 
 def distributions(df: DataFrame, spec: ProfileSpec) -> DataFrame:
-    """Frequencies of every categorical column: (column, value, count)."""
-    parts = [
-        agg.value_counts(df, c, as_name="value").select(
-            F.lit(c).alias("column"), F.col("value").cast("string").alias("value"), "count"
-        )
-        for c in spec.categories
-    ]
-    return functools.reduce(DataFrame.unionByName, parts)
+    """Frequencies of every categorical column: (column, value, count); one scan, no sort."""
+    return agg.value_table(df, spec.categories).withColumnRenamed("n", "count")
 
 
 def dq_report(df: DataFrame, numeric: tuple[str, ...]) -> DataFrame:
-    """Missing, distinct, duplicates, outliers, constants and sparse columns of one table.
+    """Shape, missing, distinct, duplicates, summary, outliers, constants and sparse columns.
 
-    (section, subject, value) rows; percentages have two digits.
+    (section, subject, value) rows; percentages have two digits, the summary has four. Counts and
+    moments of all columns come from one scan; values, whole rows and quartiles each need their own.
     """
+    columns = df.columns
     missing = agg.null_profile(df, "null", 2)
+    counted = agg.value_table(df, columns)
+    # A column has one value if its table has one row, NULL being a value.
+    kinds = agg.per_column(
+        counted, columns, distinct=F.count("value"), rows=F.count(F.lit(1)))
+    stats = agg.summary(df, list(numeric), quartiles="exact")
+    metrics = ["count", "mean", "stddev", "min", "p25", "p50", "p75", "max"]
+
+    def section(name: str, rows: DataFrame, subject: str | Column, value: Column) -> DataFrame:
+        subject = F.col(subject) if isinstance(subject, str) else subject
+        return rows.select(
+            F.lit(name).alias("section"), subject.alias("subject"),
+            value.cast("double").alias("value"))
+
     parts = [
-        missing.select(F.lit("missing").alias("section"), F.col("column").alias("subject"),
-                       F.col("missing").cast("double").alias("value")),
-        missing.select(F.lit("missing_pct"), "column", "missing_pct"),
-        agg.distinct_counts(df).select(
-            F.lit("distinct"), "column", F.col("distinct").cast("double")),
-        agg.dup_count(df).select(
-            F.lit("duplicates"), F.lit("*"), F.col("duplicates").cast("double")),
-        agg.iqr_outliers(df, numeric).select(
-            F.lit("outliers"), "column", F.col("outliers").cast("double")),
-        agg.constant_cols(df).select(F.lit("constant"), "column", F.lit(1.0).cast("double")),
-        agg.high_missing(df).select(F.lit("mostly_missing"), "column", "missing_pct"),
+        section("rows", missing.limit(1), F.lit("*"), F.col("rows")),
+        section("columns", missing.limit(1), F.lit("*"), F.lit(len(columns))),
+        section("missing", missing, "column", F.col("missing")),
+        section("missing_pct", missing, "column", F.col("missing_pct")),
+        section("distinct", kinds, "column", F.col("distinct")),
+        section("duplicates", agg.dup_count(df), F.lit("*"), F.col("duplicates")),
+        stats.unpivot(["column"], metrics, "metric", "value").select(
+            F.concat(F.lit("summary_"), "metric").alias("section"), F.col("column").alias("subject"),
+            F.round("value", 4).alias("value")),
+        section("outliers", agg.iqr_outliers(df, numeric), "column", F.col("outliers")),
+        section("constant", kinds.where("rows = 1"), "column", F.lit(1)),
+        section("mostly_missing", missing.where("missing_pct > 50"), "column", F.col("missing_pct")),
     ]
     return functools.reduce(DataFrame.union, parts)
