@@ -16,6 +16,7 @@ from pitchlake.sources.messages import stream_parquet, stream_text
 from pitchlake.streaming import events as ev
 from pitchlake.streaming import live, sinks, stateful
 from pitchlake.streaming.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
+from pitchlake.streaming.store import PointStore
 
 NOW = dt.datetime(2024, 1, 30, 23, 0)
 ARRIVED = dt.datetime(2024, 1, 31)
@@ -356,6 +357,53 @@ def _(ctx):
     return rows.withColumn("time", F.date_trunc("second", "time"))
 
 
+@check(
+    "q_verify_fields", "LIV-6 SET-3 SET-4",
+    with_ctes(
+        ["points"],
+        f"""select *, count(*) over () as total from (
+              select strftime(time, '%Y-%m-%d %H:%M:%S.%f') as time, measurement, game_id, club_name,
+                     max(player_name) as player_name,
+                     cast(max(cast(minute as varchar)) as integer) as minute
+              from points where {RECENT} group by points.time, measurement, game_id, club_name)""",
+    ),
+)
+def _(ctx):
+    """The fields of the window's points, pivoted by time and match, and how many there are."""
+    fields = live.field_rows(point_rows(ctx), ("minute", "player_name", "description"))
+    return live.verify_fields(fields, NOW).withColumn(
+        "time", F.date_format("time", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+
+
+@check(
+    "q_point_store", "SNK-3 STM-3 FLT-12",
+    with_ctes(
+        ["points"],
+        """select cast(time as date)::varchar as day, measurement, count(*) as n,
+                  cast(sum(minute) as bigint) as minutes from points group by all""",
+    ),
+)
+def _(ctx):
+    """Points of three batches; past days are closed, one of them gets late points and is closed
+    again, and what nobody needs any more is removed."""
+    store = PointStore(ctx.spark, work_path(ctx.spark, "store"))
+    rows = point_rows(ctx)
+    part = F.pmod(F.xxhash64("game_event_id", "minute"), F.lit(3))
+    write = lambda n: rows.where(part == n).withColumns(
+        {"point_date": F.to_date("time"), "batch_id": F.lit(n).cast("long")}).write.mode(
+        "overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "point_date", "batch_id").parquet(store.open_path)
+    write(0)
+    write(1)
+    store.compact(dt.date(2024, 1, 20))
+    write(2)
+    store.compact(dt.date(2024, 1, 10))
+    store.clean()
+    return store.read().groupBy(
+        F.col("point_date").cast("string").alias("day"), "measurement").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("minute").alias("minutes"))
+
+
 # --- streams into stored tables ------------------------------------------------------------------
 
 

@@ -87,3 +87,13 @@ def verify_points(points: DataFrame, now: dt.datetime | None = None) -> DataFram
         .select("time", "measurement", "game_id", "club_name", "player_name", "minute")
         .orderBy("minute", "game_id", "time")
     )
+
+
+def verify_fields(fields: DataFrame, now: dt.datetime | None = None) -> DataFrame:
+    """The same from (keys, field, value) rows: pivoted by time and match, with the total of rows."""
+    keys = ["time", "measurement", "game_id", "club_name"]
+    rows = recent(fields, now).filter(F.col("field").isin("minute", "player_name"))
+    wide = pivot_fields(rows, keys, "field", "value", ["player_name", "minute"])
+    total = wide.agg(F.count(F.lit(1))).scalar()
+    return wide.withColumn("minute", F.col("minute").try_cast("int")).withColumn(
+        "total", total).orderBy("minute", "game_id", "time")

@@ -83,16 +83,17 @@ def points(events: DataFrame, time: str = "_silver_processed_at") -> DataFrame:
 
 
 def write_points(path: str, time: str = "_silver_processed_at"):
-    """``foreachBatch`` writer: every batch owns one folder, so repeating a batch replaces it.
+    """``foreachBatch`` writer: a batch owns a folder in each of its days, so repeating it replaces it.
 
-    The write stays on the executors; ``point_date`` lets time-range queries skip folders.
+    The write stays on the executors. Days are on top, so time-range queries skip whole days;
+    ``PointStore`` merges the many small folders of past days.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = points(batch, time).withColumn("point_date", F.to_date("time"))
-        rows.hint("rebalance", "point_date").write.mode("overwrite").partitionBy(
-            "point_date"
-        ).parquet(f"{path}/batch_id={batch_id}")
+        rows = points(batch, time).withColumns(
+            {"point_date": F.to_date("time"), "batch_id": F.lit(batch_id).cast("long")})
+        rows.hint("rebalance", "point_date").write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("point_date", "batch_id").parquet(path)
 
     return write
 
