@@ -42,18 +42,24 @@ SIBLINGS = {
 }
 #: Elements that never hold an article's text.
 ASIDE = frozenset(
-    "nav footer aside form button select menu dialog svg canvas object audio video head".split()
+    "nav footer aside button select menu svg canvas object audio video head".split()
 ) | RAW
+#: Elements that seldom hold an article, but may hold a whole page. The wrapper decides.
+SELDOM = frozenset("form dialog".split())
 #: Words in classes, ids and roles that often mark what surrounds an article. The wrapper decides.
 MARKS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments "
     "complementary consent contentinfo cookie cookies disqus footer menu modal nav navbar "
     "navigation newsletter notice notices notification pager pagination popup promo promos "
-    "promotion recommended related search share sharing sidebar signup social sponsor sponsored "
-    "subscribe subscription toolbar widget".split())
+    "promotion recommended related replies respond responses search share sharing sidebar signup "
+    "social sponsor sponsored subscribe subscription toolbar widget".split())
+#: Whole classes and ids of reader comments, which may well be longer than what they are about.
+COMMENTS = frozenset(
+    "comment comments comment-list comment-section commentlist comments-area comments-list "
+    "comments-section disqus_thread replies responses".split())
 
 #: Ends labels of elements with such a word, so that they are aligned among themselves.
-MARKED = ".!"
+MARKED, COMMENTED = ".!", ".!c.!"
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|"
@@ -84,8 +90,13 @@ def _element(name: str, attributes: str) -> Element:
         aside = aside or "hidden" in found
         if "main" == found.get("role"):
             label = "main"
-        if name not in ("html", "body") and not MARKS.isdisjoint(words):
+        if name not in ("html", "body", "article", "main") and not COMMENTS.isdisjoint(
+                " ".join(found.get(k, "") for k in ("class", "id")).lower().split()):
+            label += COMMENTED
+        elif name not in ("html", "body") and not MARKS.isdisjoint(words):
             label += MARKED
+    if name in SELDOM and not label.endswith(MARKED):
+        label += MARKED
     return Element(name, label, aside)
 
 
@@ -326,8 +337,9 @@ def _constant(group: Group) -> bool:
 def _surrounding(wrapper: Group, own, full) -> set[int]:
     """Ids of the marked groups that hold less content than all that isn't marked beside them.
 
-    They are compared within articles, or else within main elements, or else in the whole wrapper;
-    outside of the former all marked groups go.
+    They are compared within articles, or else within main elements, if these hold half of what
+    isn't marked, or else in the whole wrapper; outside of the former all marked groups go. Reader
+    comments go whatever their length, unless there is nothing beside them.
     """
     def free(g: Group) -> bool:
         return not (g.aside or _marked(g))
@@ -336,7 +348,8 @@ def _surrounding(wrapper: Group, own, full) -> set[int]:
     gone = {id(g) for g in reached if _marked(g)}
     scopes = [wrapper]
     for kind in ("article", "main"):
-        if found := [g for g in reached if free(g) and _kind(g) == kind and full(g)]:
+        found = [g for g in reached if free(g) and _kind(g) == kind and full(g)]
+        if found and 2 * sum(map(full, found)) >= sum(own(g) for g in reached if free(g)):
             scopes = found
             break
     while scopes:
@@ -346,14 +359,21 @@ def _surrounding(wrapper: Group, own, full) -> set[int]:
         for g in reached[1:]:
             if _marked(g):
                 gone.add(id(g))
-                if not g.aside and full(g) > beside:
+                least = 0 if g.label.endswith(COMMENTED) else full(g) - 1
+                if not g.aside and full(g) and beside <= least:
                     gone.discard(id(g))
                     scopes.append(g)
     return gone
 
 
 def _template(article: Group, gone: set[int]) -> set[int]:
-    """Ids of blocks in the article with the same text on several pages, if most of it differs."""
+    """Ids of blocks in the article with the same text on several pages, before or after all that
+    differs, if most of the article differs.
+
+    What stands between texts that differ belongs to the article, however many pages share it:
+    headings of a recipe's parts, a byline, a quotation. Only a box of its own there, a division
+    or section that says the same on several pages, is taken for a notice.
+    """
     inside = _inside(article, lambda g: not (g.aside or id(g) in gone))
     same: dict[int, bool] = {}
     chars: dict[int, int] = {}
@@ -363,8 +383,14 @@ def _template(article: Group, gone: set[int]) -> set[int]:
         else:
             same[id(g)] = _constant(g) and all(same[id(p)] for p in g.parts)
             chars[id(g)] = g.chars + sum(chars[id(p)] for p in g.parts)
+    varying = [
+        i for i, g in enumerate(inside)
+        if g.chars and not (g.aside or id(g) in gone) and not _constant(g)]
+    if not varying:
+        return set()
     blocks = [
-        g for g in inside[1:] if _kind(g) in BLOCKS and same[id(g)] and chars[id(g)]]
+        g for i, g in enumerate(inside) if i and _kind(g) in BLOCKS and same[id(g)]
+        and chars[id(g)] and (_kind(g) in _BOXES or not varying[0] < i < varying[-1])]
     below = {id(p) for g in blocks for p in _inside(g, lambda p: True)[1:]}
     dropped = sum(chars[id(g)] for g in blocks if id(g) not in below)
     return {id(g) for g in blocks} if 2 * dropped < chars[id(article)] else set()
@@ -373,9 +399,10 @@ def _template(article: Group, gone: set[int]) -> set[int]:
 def article_paths(wrapper: Group) -> tuple[list[str], list[str]]:
     """Paths of labels to the elements that hold the article, and to those in it that don't.
 
-    The former are the outermost article elements, or else main ones, with text. A wrapper without
-    either gives the element whose own blocks hold most content outside of links. The latter are
-    marked elements without the main content, and blocks of template text.
+    The former are the outermost article elements, or else main ones, if they hold no less content
+    than any other element has in its own blocks, outside of links. Otherwise they are that element
+    and those beside it that hold a fifth as much. The latter are marked elements without the main
+    content, and blocks of template text at the edges.
     """
     compare, content, full = _weights(wrapper)
     gone = _surrounding(wrapper, content, full)
@@ -384,6 +411,7 @@ def article_paths(wrapper: Group) -> tuple[list[str], list[str]]:
     numbers: dict[tuple[int, str], int] = {}
     steps: list[tuple[int, str]] = []
     mass: dict[int, float] = {}
+    totals: dict[int, int] = {}
     places: dict[int, list[Group]] = {}
 
     def number(parent: int, label: str) -> int:
@@ -410,6 +438,7 @@ def article_paths(wrapper: Group) -> tuple[list[str], list[str]]:
         for p in group.parts:
             below.append((p, (yield walk(p, number(path, p.label), inside or here))))
         total = own + sum(n for _, n in below)
+        totals[path] = totals.get(path, 0) + total
         if here and total and here not in inside:
             found[here].add(path)
         # Text directly inside or in blocks right below counts for the container.
@@ -422,7 +451,14 @@ def article_paths(wrapper: Group) -> tuple[list[str], list[str]]:
     best = {p for p, n in mass.items() if n == most} if most else set()
     if len(best) > 1:
         best = {max(best, key=lambda p: (-len(written(p)), written(p)))}
-    chosen = found["article"] or found["main"] or best
+    for p in list(best):
+        parent = steps[p][0]
+        best |= {q for q, n in mass.items() if parent >= 0 and steps[q][0] == parent
+                 and 5 * n >= most and steps[q][1].split(".")[0] in _CONTAINERS}
+    chosen = best
+    for kind in ("main", "article"):
+        if found[kind] and sum(totals[p] for p in found[kind]) >= most:
+            chosen = found[kind]
     drop, keep = set(), set()
     for path in chosen:
         for group in places[path]:
@@ -439,6 +475,7 @@ def article_paths(wrapper: Group) -> tuple[list[str], list[str]]:
     return sorted(map(written, chosen)), sorted(map(written, drop - keep))
 
 
+_BOXES = frozenset("div section center fieldset header".split())
 _CONTAINERS = frozenset("html body div section main article table tbody tr td ul ol dl".split())
 
 
