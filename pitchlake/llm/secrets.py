@@ -25,18 +25,16 @@ WINDOW = 20
 #: Least bits per character of a window, by its character class. Hexadecimal digits reach
 #: log2(16) = 4 at most and a window of 20 log2(20) = 4.32; words and numbers stay below these.
 HEX_BITS, ALNUM_BITS, MIXED_BITS = 3.0, 3.7, 3.6
-#: Candidates that are known to be harmless: identifiers of fixed form, paths, placeholders, runs.
+#: Candidates that are known to be harmless as a whole: identifiers of fixed form, paths, runs.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"^(/[a-z0-9_-]*)+$",
     r"^[0-9_+/=-]+$",
-    r"(?i)example|placeholder|changeme|dummy|xxxx|0000|1234|abcd",
     r"^[A-Za-z]+([-_/][A-Za-z]+)*[-_/]?[0-9]{1,4}$",
 )
 
-#: Placeholders by themselves: for ``redact`` they free only the windows that hold one. The other
-#: values of ``ALLOWED`` describe whole candidates.
-PLACEHOLDER = r"(?i)example|placeholder|changeme|dummy|x{4,}|0{4,}|1234|abcd"
+#: A window that holds one of these is harmless; others of the same candidate need not be.
+PLACEHOLDER = r"(?i)example|placeholder|changeme|dummy|xxxx|0000|1234|abcd"
 
 #: What takes the place of a secret.
 MARK = "[SECRET]"
@@ -124,7 +122,8 @@ def _hot_windows(candidate: Column) -> Column:
             .when((now["upper"] > 0) & (now["lower"] > 0), F.lit(MIXED_BITS))
             .otherwise(F.lit(ALNUM_BITS)))
         hot = (i >= WINDOW - 1) & (now["digits"] > 0) & (
-            now["digits"] < WINDOW) & (bits >= limit - 1e-9)
+            now["digits"] < WINDOW) & (bits >= limit - 1e-9) & ~F.substring(
+            text, i - WINDOW + 2, F.lit(WINDOW)).rlike(PLACEHOLDER)
         start, end = base + i - WINDOW + 1, base + i + 1
         last = F.try_element_at(s["spans"], F.lit(-1))
         spans = (
@@ -156,43 +155,43 @@ def secret_spans(text: Column) -> tuple[Column, Column]:
         _matches(text, CANDIDATE, 3), lambda s: s["match"].rlike("[0-9]"))
 
 
+def _uncovered(span: Column, base: Column) -> Column:
+    """What is left of a span outside of the base spans, which are in order of their starts."""
+    def piece(start: Column, end: Column) -> Column:
+        return F.array(F.struct(
+            start.alias("start"), F.lit(3).alias("kind"), end.alias("end"))).cast(_SPAN)
+
+    none = F.array().cast(_SPAN)
+    state = F.struct(span["start"].alias("at"), none.alias("pieces"))
+    return F.aggregate(
+        F.filter(base, lambda b: (b["start"] < span["end"]) & (span["start"] < b["end"])), state,
+        lambda s, b: F.struct(
+            F.greatest(s["at"], b["end"]).alias("at"),
+            F.concat(s["pieces"], F.when(
+                b["start"] > s["at"], piece(s["at"], b["start"])).otherwise(none)).alias("pieces")),
+        lambda s: F.concat(s["pieces"], F.when(
+            s["at"] < span["end"], piece(s["at"], span["end"])).otherwise(none)))
+
+
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``__base`` and ``__entropy``: arrays of (start, kind, end) in code points.
 
     Base spans are whole matches of the three patterns. An entropy span is the union of overlapping
     windows of ``WINDOW`` characters of one candidate that have at least the entropy set for their
-    class; allow-listed candidates are left out, and so are spans that touch a base span, which
-    report the same secret. NULL and empty texts have no spans. Each row is scanned by itself.
+    class and hold no placeholder, without what base spans cover of it: the rest of a key beside a
+    base span stays. Candidates that are harmless as a whole have none. NULL and empty texts have no
+    spans. Each row is scanned by itself, repeated or not; other columns stay as they are.
     """
     base, candidates = secret_spans(F.col(text))
     allowed = "|".join(f"(?:{p})" for p in ALLOWED)
     step = docs.withColumn("__base", base).withColumn("__candidates", candidates)
     free = F.filter("__candidates", lambda s: ~s["match"].rlike(allowed))
-    entropy = F.when(F.size("__candidates") > 0, F.filter(
-        F.flatten(F.transform(free, _hot_windows)),
-        lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )).otherwise(F.array().cast(_SPAN))
+    entropy = F.when(F.size("__candidates") > 0, F.flatten(F.transform(
+        F.flatten(F.transform(free, _hot_windows)), lambda s: _uncovered(s, F.col("__base")))),
+    ).otherwise(F.array().cast(_SPAN))
     return step.withColumn("__entropy", entropy).drop("__candidates")
 
 
-def _without_placeholders(candidate: Column) -> Column:
-    """Spans of hot windows of a candidate that have at least one window without a placeholder."""
-    text, hot = candidate["match"], _hot_windows(candidate)
-    held = _matches(text, PLACEHOLDER, 3)
-    # A window has no placeholder if it lies between two, up to three characters of each.
-    starts = F.concat(F.array(F.lit(0)), F.transform(held, lambda m: m["end"] - 3))
-    ends = F.concat(F.transform(held, lambda m: m["start"] + 3), F.array(F.length(text)))
-    pieces = F.filter(
-        F.zip_with(starts, ends, lambda a, b: F.struct(
-            (candidate["start"] + a).alias("start"), F.lit(3).alias("kind"),
-            (candidate["start"] + b).alias("end"), F.substring(text, a + 1, b - a).alias("match"))),
-        lambda x: F.length(x["match"]) >= WINDOW)
-    free = F.flatten(F.transform(pieces, _hot_windows))
-    return F.when(text.rlike(PLACEHOLDER), F.filter(
-        hot, lambda s: F.exists(free, lambda f: (f["start"] < s["end"]) & (s["start"] < f["end"]))
-    )).otherwise(hot)
-
-
 def _joined(spans: Column) -> Column:
     kinds = F.array(*[F.lit(k) for k in KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(
@@ -213,18 +212,11 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, text: str = "text", mark: str = MARK) -> DataFrame:
     """``docs`` with every span replaced by ``mark``; overlapping spans give one mark.
 
-    Spans are those of ``scan`` and more: entropy spans that touch a base span, as the rest of them
-    is secret too, and those of candidates that hold a placeholder beside hot windows without one.
-    Rows, other columns and texts without spans stay as they are.
+    Spans are those of ``scan``; spans that meet give one mark each. Rows, other columns and texts
+    without spans stay as they are.
     """
     columns = docs.columns
-    base, candidates = secret_spans(F.col(text))
-    allowed = "|".join(f"(?:{p})" for p in ALLOWED if p.startswith("^"))
-    found = docs.withColumn("__base", base).withColumn("__candidates", candidates)
-    free = F.filter("__candidates", lambda s: ~s["match"].rlike(allowed))
-    found = found.withColumn("__entropy", F.when(
-        F.size("__candidates") > 0, F.flatten(F.transform(free, _without_placeholders))
-    ).otherwise(F.array().cast(_SPAN)))
+    found = scan(docs, text)
     spans = F.array_sort(F.concat("__base", "__entropy"))
     # The text up to each span that starts behind all earlier ones, then the rest.
     state = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))

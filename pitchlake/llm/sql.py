@@ -104,6 +104,7 @@ ent as (
 hot as (
   select doc_id, a, s, s + {secrets.WINDOW} as e from ent
   where regexp_matches(w, '[0-9]') and regexp_matches(w, '[^0-9]')
+    and not regexp_matches(w, {_literal(secrets.PLACEHOLDER)})
     and bits >= case when not regexp_matches(w, '[^0-9a-f]') then {secrets.HEX_BITS}
       when regexp_matches(w, '[A-Z]') and regexp_matches(w, '[a-z]') then {secrets.MIXED_BITS}
       else {secrets.ALNUM_BITS} end - 1e-9),
@@ -111,12 +112,16 @@ isl as (
   select *, sum(fresh) over (partition by doc_id, a order by s) as g from (
     select *, case when s <= lag(e) over (partition by doc_id, a order by s) then 0 else 1 end
       as fresh from hot)),
-extra as (
-  select doc_id, 3 as kind, min(s) as a, max(e) as b from isl group by doc_id, isl.a, g),
+island as (select doc_id, min(s) as a, max(e) as b from isl group by doc_id, isl.a, g),
+place as (
+  select doc_id, a, p, p - row_number() over (partition by doc_id, a order by p) as run from (
+    select doc_id, a, unnest(generate_series(cast(a as bigint), cast(b as bigint) - 1)) as p
+    from island) place_
+  where not exists (
+    select 1 from base where base.doc_id = place_.doc_id and base.a <= p and p < base.b)),
 spans as (
   select * from base union all
-  select * from extra where not exists (
-    select 1 from base where base.doc_id = extra.doc_id and base.a < extra.b and extra.a < base.b)),
+  select doc_id, 3 as kind, min(p) as a, max(p) + 1 as b from place group by doc_id, place.a, run),
 named as (
   select doc_id, kind, a, ['assign', 'access', 'hex', 'entropy'][kind + 1] || ':'
     || cast(a as bigint) || ':' || cast(b as bigint) as t from spans),
