@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from checks.registry import RUN_TS, check, cte, with_ctes
+from pitchlake.operators.quality import accepted_range, not_null
 from pitchlake.operators.stored import KeyedTable
 from pitchlake.plans.facts import build_fact, event_keys
 from pitchlake.plans.warehouse import Warehouse
 from pitchlake.session import work_path
 from pitchlake.sources.messages import stream_parquet, stream_text
 from pitchlake.streaming import events as ev
-from pitchlake.streaming import live, sinks, stateful
+from pitchlake.streaming import live, monitor, sinks, stateful
 from pitchlake.streaming.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
 from pitchlake.streaming.store import PointStore
 
@@ -469,3 +470,59 @@ def _(ctx):
         query.awaitTermination()
     left = query.lastProgress["stateOperators"][0]["numRowsTotal"]
     return table.read().withColumn("rows_in_state", F.lit(left))
+
+
+# --- figures on the way --------------------------------------------------------------------------
+
+
+@check(
+    "q_observed_write", "QLT-2 QLT-4 QLT-6 AGG-1 SNK-1",
+    with_ctes(
+        ["stg_appearances"],
+        """select 'appearances' as model, 'rows' as test, 'info' as severity, count(*) as violations
+           from stg_appearances
+           union all select 'appearances', 'not_null_player_club_id', 'warn',
+                            count(*) filter (player_club_id is null) from stg_appearances
+           union all select 'appearances', 'range_minutes_played', 'error',
+                            count(*) filter (minutes_played < 10 or minutes_played > 80)
+                     from stg_appearances""",
+    ),
+)
+def _(ctx):
+    """Rows and violations of a table, counted by the job that writes it."""
+    path = work_path(ctx.spark, "observed")
+    tests = [not_null("player_club_id", "warn"), accepted_range("minutes_played", 10, 80)]
+    return monitor.observed_write(
+        ctx.ref("stg_appearances"), "appearances", tests, lambda df: df.write.parquet(path))
+
+
+@check(
+    "q_stream_progress", "STM-6 STM-10 QLT-6",
+    with_ctes(
+        ["live_rows", "parsed"],
+        """select (select count(*) from live_rows) as input_rows,
+                  (select count(*) from parsed) as rows,
+                  (select count(*) from parsed where competition_name is null) as without_league,
+                  (select count(*) from parsed where minute > 90) as late, 0 as errors""",
+    ),
+)
+def _(ctx):
+    """Rows in and out of a stream, and violations, from its progress alone."""
+    folder = work_path(ctx.spark, "progress")
+    messages(ctx).repartition(4).write.text(f"{folder}/topic")
+    listener = monitor.ProgressTable(ctx.spark, f"{folder}/progress")
+    ctx.spark.streams.addListener(listener)
+    try:
+        parsed = ev.parse_events(ev.raw_ingest(stream_text(ctx.spark, f"{folder}/topic", 2)))
+        tests = [not_null("competition_name"), accepted_range("minute", None, 90)]
+        stream = monitor.observed_stream(parsed, tests)
+        sinks.sink_parquet(stream, f"{folder}/out", f"{folder}/ckpt", None).awaitTermination()
+        ctx.spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        ctx.spark.streams.removeListener(listener)
+    found = F.col("violations")
+    return listener.read().agg(
+        F.sum("input_rows").alias("input_rows"), F.sum("rows").alias("rows"),
+        F.sum(found["not_null_competition_name"]).alias("without_league"),
+        F.sum(found["range_minute"]).alias("late"),
+        F.count("error").cast("int").alias("errors"))
