@@ -304,6 +304,28 @@ def _(ctx):
     return live.live_score(point_rows(ctx), "Club 1", NOW)
 
 
+@check(
+    "q_live_score_state", "LIV-1 STM-6 STM-9",
+    with_ctes(
+        ["points"],
+        f"""select game_id, club_name, event_type, competition_name, cast(count(*) as bigint) as goals
+            from points where {RECENT} and measurement = 'goals' and club_name = 'Club 1'
+            group by all""",
+    ),
+)
+def _(ctx):
+    """The live score from the state of a stream of points; the points are not read again."""
+    folder = work_path(ctx.spark, "state")
+    rows = point_rows(ctx)
+    rows.repartitionByRange(4, "time").write.parquet(f"{folder}/points")
+    counts = stateful.recent_counts(
+        stream_parquet(ctx.spark, f"{folder}/points", rows.schema), "time", live.SERIES, "6 hours")
+    writer = counts.writeStream.outputMode("update").format("noop")
+    sinks.with_trigger(writer, f"{folder}/ckpt", None).start().awaitTermination()
+    state = stateful.state_counts(ctx.spark, f"{folder}/ckpt", live.SERIES)
+    return live.live_score_from_state(state, "Club 1", NOW)
+
+
 def _feed_sql(kind: str, club: str) -> str:
     fields = ", ".join(live.FEED_FIELDS[kind])
     return with_ctes(

@@ -40,6 +40,23 @@ def live_score(points: DataFrame, club: str, now: dt.datetime | None = None) ->
     return goals.groupBy(*TAGS).agg(F.count("player_name").alias("goals"))
 
 
+SERIES = ("measurement", *TAGS)
+
+
+def live_score_from_state(
+    counts: DataFrame, club: str, now: dt.datetime, hours: int = HOURS
+) -> DataFrame:
+    """The same from the minutes (start, end, SERIES, n) that a stream's state holds.
+
+    ``now`` is taken down to the minute, as minutes are counted as a whole.
+    """
+    until = F.date_trunc("minute", F.lit(now).cast("timestamp"))
+    inside = (F.col("end") <= until) & (F.col("start") >= until - F.make_dt_interval(hours=F.lit(hours)))
+    goals = counts.where(
+        inside & (F.col("measurement") == "goals") & (F.col("club_name") == club))
+    return goals.groupBy(*TAGS).agg(F.sum("n").alias("goals"))
+
+
 def feed(
     points: DataFrame, measurement: str, club: str, now: dt.datetime | None = None
 ) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -58,3 +58,24 @@ def match_totals(
         .agg(*[F.count_if(p).alias(n) for n, p in conditions.items()])
         .select(F.col("day.start").alias("day"), *keys, *conditions)
     )
+
+
+def recent_counts(
+    points: DataFrame, ts: str, by: Sequence[str], keep: str, size: str = "1 minute"
+) -> DataFrame:
+    """Counts per ``by`` and minute, of which the state holds those of the last ``keep``.
+
+    For ``update`` output. Live totals are read from the state itself (``state_counts``), so no
+    reader has to scan the points again.
+    """
+    return (
+        points.withWatermark(ts, keep)
+        .groupBy(F.window(ts, size).alias("minute"), *by).agg(F.count(F.lit(1)).alias("n")))
+
+
+def state_counts(spark: SparkSession, checkpoint: str, by: Sequence[str]) -> DataFrame:
+    """(start, end, by, n): what the state of ``recent_counts`` holds after its last batch."""
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        F.col("key.window.start").alias("start"), F.col("key.window.end").alias("end"),
+        *[F.col(f"key.{c}").alias(c) for c in by], F.col("value.count").alias("n"))
