@@ -218,7 +218,8 @@ def build_partitions(
     """Incremental build of a large table: later runs rewrite only the partitions they touch."""
     newest = [F.desc(ts), *rows.drop(ts).columns]
     if not path_exists(spark, path):
-        first_rows(rows, key, newest).write.partitionBy(partition).parquet(path)
+        # Files without the mark of a completed write are those of a first build that broke off.
+        first_rows(rows, key, newest).write.mode("overwrite").partitionBy(partition).parquet(path)
     else:
         delta = first_rows(since_last(rows, spark.read.parquet(path), ts), key, newest)
         merge_partitions(spark, path, stage, delta, key, partition)
