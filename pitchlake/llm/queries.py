@@ -13,15 +13,18 @@ from pitchlake.llm.common import crc_mod, table
 
 
 def op1_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page, by the wrapper of its host; NULL pages give an empty text."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return wrappers.digest(wrappers.extract(pages))
 
 
 def op2_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share 80 per cent of their two-word shingles, over links."""
     return neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document, from labels outside of the held-out fifth."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(
         docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
@@ -32,36 +35,43 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside 13-word windows of benchmark items, and whose they are."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontaminate.digest(
         decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")))
 
 
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base spans of every document, and windows of high entropy beside them."""
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document outside of 20-word windows that also start earlier."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substrings.digest(substrings.remove_repeats(docs))
 
 
 def op7_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and class-model log probability of every document; a fifth of them is held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return classlm.score(
         docs.withColumn("held", F.coalesce(crc_mod(F.col("doc_id"), 5) == 1, F.lit(False))), "held")
 
 
 def op8_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place in the mix for every document, sources by the square root of their sizes."""
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten rows with the largest inner product for every hundredth vector."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.exact_top_k(vectors, vectors.where("vec_id % 100 = 0"))
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, from labels outside of the held-out quarter."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 4) != 2)
     score = F.col("__quality")
