@@ -12,8 +12,8 @@ from pitchlake.llm.common import crc_mod, materialise, table
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model scores below 1/2; it learns as op3 does.
 
-    NULL, empty and wordless texts get a score of their own like any other; repeated rows stay or go
-    together. Without labels all documents stay that the untrained model scores below 1/2.
+    NULL, empty and wordless texts are scored like any other; repeated rows stay or go together.
+    Without any label all scores are 1/4, and all documents stay.
     """
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_mod(F.col("doc_id"), 5) != 0)
     return toxicity.score(docs, model).where("__toxicity < 0.5").select(*docs.columns)
