@@ -240,7 +240,9 @@ def point_rows(ctx) -> DataFrame:
         F.col("ts").cast("timestamp").alias("at"),
     )
     parsed = ev.parse_events(ev.raw_ingest(messages(ctx), now=ARRIVED))
-    return sinks.points(parsed.join(times, "game_event_id"), "at")
+    # Both sides are whole event tables, which the size of their files makes look small: without
+    # the hint one of them passes the driver as a broadcast.
+    return sinks.points(parsed.join(times.hint("merge"), "game_event_id"), "at")
 
 
 cte(

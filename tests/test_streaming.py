@@ -3,6 +3,8 @@ import json
 
 from pyspark.sql import functions as F
 
+from checks import catalog  # noqa: F401 - importing registers the queries
+from checks.registry import ENTRIES, run_entry
 from pitchlake.operators.reshape import union_stream
 from pitchlake.operators.stored import KeyedTable
 from pitchlake.sources import files, messages
@@ -238,3 +240,9 @@ def test_uncounted_events_end_the_days_before_them(spark, tmp_path):
         "append").parquet(str(tmp_path / "in"))
     assert run() == 0
     assert sorted((r.game, r.goals) for r in table.read().collect()) == [(1, 1), (2, 1)]
+
+
+def test_points_never_broadcast_the_event_table(spark, sf_dir):
+    for name in ("q_verify_points", "q_verify_fields", "q_points"):
+        plan = run_entry(ENTRIES[name], spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, name
