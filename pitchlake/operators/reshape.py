@@ -15,11 +15,19 @@ def views(df: DataFrame, perspectives: Sequence[Mapping[str, Column]]) -> DataFr
 
 
 def pivot_fields(
-    df: DataFrame, keys: Sequence[str], field: str, value: str, names: Sequence[str]
+    df: DataFrame, keys: Sequence[str], field: str, value: str, names: Sequence[str],
+    copies: str | None = None,
 ) -> DataFrame:
-    """(keys, field, value) rows to one column per field. The names are given, so no extra job."""
+    """(keys, field, value) rows to one column per field. The names are given, so no extra job.
+
+    ``copies`` names a column for how often a field occurs at most, for keys that repeat as a whole.
+    """
+    named = [F.col(field) == n for n in names]
+    most = [] if copies is None else [
+        F.array_max(F.array(*[F.count_if(is_it) for is_it in named])).alias(copies)]
     return df.groupBy(*keys).agg(
-        *[F.max(F.when(F.col(field) == n, F.col(value))).alias(n) for n in names]
+        *[F.max(F.when(is_it, F.col(value))).alias(n) for is_it, n in zip(named, names, strict=True)],
+        *most,
     )
 
 

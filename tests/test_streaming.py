@@ -246,3 +246,15 @@ def test_points_never_broadcast_the_event_table(spark, sf_dir):
     for name in ("q_verify_points", "q_verify_fields", "q_points"):
         plan = run_entry(ENTRIES[name], spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, name
+
+
+def test_points_of_one_event_id_stay_apart_in_the_feed(spark):
+    data = [("a", 10, "Red card"), ("b", 9, "Yellow card"), ("b", 9, "Yellow card"), ("b", 70, "")]
+    points = spark.createDataFrame(data, "player_name string, minute int, description string").select(
+        "*", F.lit("e1").alias("game_event_id"), F.lit("1").alias("game_id"),
+        F.lit("Home").alias("club_name"), F.lit("L").alias("competition_name"),
+        *[F.lit("cards").alias(c) for c in ("measurement", "event_type")],
+        F.lit(NOW).cast("timestamp").alias("time"))
+    fields = live.field_rows(points, live.FEED_FIELDS["cards"])
+    pivoted = live.feed_from_fields(fields, "cards", "Home", NOW)
+    assert rows(pivoted) == rows(live.feed(points, "cards", "Home", NOW)) and pivoted.count() == 4
