@@ -87,3 +87,10 @@ def test_marts_read_stored_parents(spark, sf_dir, tmp_path):
     stored, _ = store.build(wh, ["fact_transfers"])
     plan = MODELS["mart_club_transfer_spending"](stored)._jdf.queryExecution().executedPlan().toString()
     assert "row_number" not in plan and "try_cast" not in plan and "trim(" not in plan
+
+
+def test_marts_shuffle_ids_and_no_long_keys(spark, sf_dir):
+    ctx = Context(spark, sf_dir)
+    for name in ("mart_club_transfer_spending", "mart_player_performance"):
+        plan = MODELS[name](ctx.warehouse)._jdf.queryExecution().optimizedPlan().toString()
+        assert "md5(" not in plan, name
