@@ -111,6 +111,14 @@ class KeyedTable:
         return joined.where(~F.col("_known").eqNullSafe(F.col("_fingerprint"))).select(
             *incoming.columns)
 
+    def _changed_keys(self, rows: DataFrame) -> DataFrame:
+        """The keys of which some incoming row is not stored as it is.
+
+        Only keys and fingerprints are shuffled; whole rows then are those of these keys.
+        """
+        own = rows.select(*self.key, fingerprint(rows, self.unstable).alias("_fingerprint"))
+        return self._different(own).select(*self.key).distinct()
+
     def _write(self, rows: DataFrame, **options) -> None:
         writer = rows.hint("rebalance", "_bucket").write.mode("overwrite").options(**options)
         writer.partitionBy("_bucket").parquet(self.rows_path)
@@ -139,7 +147,10 @@ class KeyedTable:
         else:
             def different() -> DataFrame:
                 if not few:
-                    return self.changes(rows, newest_first)
+                    keys = self._staged(f"{stage}/keys", lambda: self._changed_keys(rows))
+                    new = keys.select(*[F.col(k).alias(f"_c_{k}") for k in self.key])
+                    on = null_safe_on(rows, new, [(k, f"_c_{k}") for k in self.key])
+                    return self.changes(rows.join(new, on, "left_semi"), newest_first)
                 incoming = self._staged(
                     f"{stage}/incoming", lambda: self._prepared(rows, newest_first))
                 return self._different(incoming, self._buckets_of(incoming))

@@ -126,3 +126,19 @@ def test_history_in_two_parts(spark, tmp_path, monkeypatch):
     assert len(list((path / "rows" / "state=open").iterdir())) == 1
     with pytest.raises(ValueError):
         table.snapshot(second, "player_id", CHECKS, T3.replace(day=2))
+
+
+def test_a_merge_compares_keys_before_it_moves_rows(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    table.upsert(facts(spark, 400, T1), "1")
+    seen, changes = [], table.changes
+    monkeypatch.setattr(table, "changes", lambda rows, *a: seen.append(rows.count()) or changes(rows, *a))
+    later = facts(spark, 401, T2, lambda i: i in (7, 9))
+    twice = later.unionByName(facts(spark, 8, T3, lambda i: i == 7))  # repeated keys, 7 differs
+    table.upsert(twice, "2")
+    assert seen == [4]  # ids 7, 7, 9 and 400
+    assert table.read().where("loaded_at > timestamp '2024-01-15'").count() == 3
+    nulls = spark.createDataFrame([(None, "n", None, 3, T1)], COLUMNS)
+    table.upsert(nulls, "3")
+    table.upsert(nulls, "4")
+    assert seen == [4, 1, 0] and table.read().count() == 402
