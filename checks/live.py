@@ -412,7 +412,9 @@ def _(ctx):
     """Points of three batches; past days are closed, one of them gets late points and is closed
     again, and what nobody needs any more is removed."""
     store = PointStore(ctx.spark, work_path(ctx.spark, "store"))
-    rows = point_rows(ctx)
+    arrived = work_path(ctx.spark, "arrived")
+    point_rows(ctx).write.parquet(arrived)  # parsed once, not again for each batch
+    rows = ctx.spark.read.parquet(arrived)
     part = F.pmod(F.xxhash64("game_event_id", "minute"), F.lit(3))
     write = lambda n: rows.where(part == n).withColumns(
         {"point_date": F.to_date("time"), "batch_id": F.lit(n).cast("long")}).write.mode(
