@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pitchlake.operators.clean import safe_columns
-from pitchlake.operators.joins import enrich, keep_keys
+from pitchlake.operators.joins import enrich, enrich_within, keep_keys
 from pitchlake.operators.limits import sample_keys
 
 # Output names and order of the enriched event table.
@@ -85,13 +85,14 @@ SELECTIONS: Mapping[str, Mapping[str, str]] = {
         "opponent_position": "opponent_league_position", "hosting": "hosting", "is_win": "is_win",
     },
 }
+# In the order of the joins: first those that don't need the match, while events have few columns.
 JOIN_KEYS: Mapping[str, tuple[str, ...]] = {
-    "games": ("game_id",),
-    "competitions": ("competition_id",),
     "players": ("player_id",),
     "clubs": ("club_id",),
     "game_lineups": ("game_id", "player_id"),
     "club_games": ("game_id", "club_id"),
+    "games": ("game_id",),
+    "competitions": ("competition_id",),
 }
 PER_GAME = ("game_events", "games", "game_lineups", "club_games")
 
@@ -130,10 +131,11 @@ def enriched_events(
 ) -> DataFrame:
     """Raw events with six left joins; NULL ids match nothing. ``sample_games`` keeps that many matches."""
     t = _selected(raw, game_sample(raw, sample_games, seed))
-    joined = enrich(
-        t["game_events"],
-        *[(t[name], on) for name, on in JOIN_KEYS.items()],
-    )
+    sides = {name: (t[name], on) for name, on in JOIN_KEYS.items()}
+    known = enrich(t["game_events"], sides["players"], sides["clubs"])
+    in_match = enrich_within(
+        known, "game_id", sides["game_lineups"], sides["club_games"], sides["games"])
+    joined = enrich(in_match, sides["competitions"])
     captain = F.coalesce(F.col("team_captain").try_cast("int"), F.lit(0))
     return safe_columns(joined.withColumn("team_captain", captain), ENRICHED_COLUMNS)
 

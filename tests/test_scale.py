@@ -252,3 +252,40 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     # The mart adds up ids before it joins names.
     mart = plan_of(wh.ref("mart_club_match_stats"))
     assert mart.index("club_name") < mart.index("HashAggregate(keys=[club_id")
+
+
+def test_joins_within_a_match_shuffle_the_events_once(spark):
+    events = spark.createDataFrame(
+        [("a", "1", "x", 1), ("a", "2", "y", 2), ("b", "1", None, 3), (None, "1", "x", 4),
+         (None, "1", "x", 5), ("c", None, "x", 6)], "game string, player string, club string, n int")
+    lineups = spark.createDataFrame(
+        [("a", "1", "L1"), ("a", "1", "L2"), ("b", "2", "L3"), (None, "1", "L4"), ("c", None, "L5"),
+         ("b", "1", "L6")], "game string, player string, line string")
+    results = spark.createDataFrame(
+        [("a", "x", 7), ("a", "y", 8), ("b", None, 9), (None, "x", 10)],
+        "game string, club string, goals int")
+    games = spark.createDataFrame([("a", "r1"), ("b", "r2"), (None, "r3")], "game string, round string")
+    sides = [(lineups, ["game", "player"]), (results, ["game", "club"]), (games, ["game"])]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = joins.enrich_within(events, "game", *sides)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 4  # one for each table
+        assert rows(out) == rows(joins.enrich(events, *sides))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_enriched_events_are_shuffled_by_the_match_once(spark, sf_dir):
+    from checks import catalog  # noqa: F401 - registers the queries
+    from checks.registry import ENTRIES, run_entry
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = run_entry(ENTRIES["q_enrich"], spark, sf_dir)._jdf.queryExecution().executedPlan()
+        # Players, clubs, competitions: both sides. The match: four tables. Regions of nations: two.
+        assert plan.toString().count("Exchange hashpartitioning") == 12
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
