@@ -166,3 +166,12 @@ def test_a_column_without_values_has_no_violations(spark):
     report = run_checks("m", df, [unique("k"), relationship("k", "parent", "p")], {"parent": parent})
     assert {r["test"]: r["violations"] for r in report.collect()} == {
         "unique_k": 0, "relationship_k": 0}
+
+
+def test_tests_of_rows_and_of_values_read_the_table_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(1, -1), (1, 5), (None, 7)], "k int, v int").write.parquet(path)
+    report = run_checks("m", spark.read.parquet(path), [unique("k"), not_null("k"), accepted_range("v", 0)], {})
+    assert report._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert {r["test"]: r["violations"] for r in report.collect()} == {
+        "unique_k": 1, "not_null_k": 1, "range_v": 1}
