@@ -58,19 +58,22 @@ def fused_counts(df: DataFrame, spec: ProfileSpec) -> DataFrame:
 
 
 def key_counts(df: DataFrame, spec: ProfileSpec, approx: bool = False) -> DataFrame:
-    """Distinct values per column and repeated keys, from one count of all values."""
+    """Distinct values per column, from one count of all values, and repeated keys.
+
+    Keys of several columns are grouped as they are: as one text each they would be the longest
+    values of the table, and nearly all different. A key of one column is a column of the count.
+    """
     name = ",".join(spec.key)
-    whole = F.to_json(F.struct(*spec.key), {"ignoreNullFields": "false"})
-    columns = {} if approx else {c: F.col(f"`{c}`") for c in df.columns}
-    counted = agg.value_table(df, {**columns, f"key {name}": whole})
-    found = agg.per_column(
-        counted, [*columns, f"key {name}"], distinct=F.count("value"),
-        repeated=F.count_if(F.col("n") > 1))
-    repeated = found.where(F.col("column") == f"key {name}").select(
-        F.lit("repeated_keys").alias("metric"), F.lit(name).alias("subject"),
-        F.col("repeated").alias("value"))
-    known = agg.distinct_counts(df, approx=True) if approx else found.where(
-        F.col("column") != f"key {name}")
+    counted = None if approx else agg.value_table(df, df.columns)
+    if approx or len(spec.key) > 1:
+        repeated = agg.dup_keys(df, spec.key).agg(F.count(F.lit(1)).alias("value"))
+    else:
+        repeated = counted.agg(F.count_if(
+            (F.col("column") == name) & (F.col("n") > 1)).alias("value"))
+    repeated = repeated.select(
+        F.lit("repeated_keys").alias("metric"), F.lit(name).alias("subject"), "value")
+    known = agg.distinct_counts(df, approx=True) if approx else agg.per_column(
+        counted, df.columns, distinct=F.count("value"))
     return known.select(
         F.lit("distinct").alias("metric"), F.col("column").alias("subject"),
         F.col("distinct").alias("value")).unionByName(repeated)

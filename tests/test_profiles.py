@@ -62,3 +62,10 @@ def test_merged_sketches_equal_those_of_the_union(spark):
     assert (found["v"]["low"], found["v"]["high"]) == (0.0, 7498.5)
     assert found["nothing"]["known"] == 0 and found["nothing"]["quantiles"] is None
     assert found["word"]["distinct"] == 1 and found["word"]["quantiles"] is None
+
+
+def test_keys_of_several_columns_are_not_written_as_text(spark):
+    df = spark.createDataFrame([(1, "x"), (1, "x"), (None, "y"), (None, "y")], "a int, b string")
+    out = key_counts(df, ProfileSpec("t", ("a", "b")))
+    assert "to_json" not in plan_of(out)
+    assert rows(out) == [("distinct", "a", 1), ("distinct", "b", 2), ("repeated_keys", "a,b", 2)]
