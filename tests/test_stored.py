@@ -5,7 +5,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from pitchlake.operators.state import VersionedTable
 from pitchlake.operators.stored import HistoryTable, KeyedTable
+from pitchlake.sources.files import write_silver
 from conftest import rows
 
 T1, T2, T3, T4 = (dt.datetime(2024, m, 1) for m in (1, 2, 3, 4))
@@ -142,3 +144,30 @@ def test_a_merge_compares_keys_before_it_moves_rows(spark, tmp_path, monkeypatch
     table.upsert(nulls, "3")
     table.upsert(nulls, "4")
     assert seen == [4, 1, 0] and table.read().count() == 402
+
+
+def test_stored_tables_take_half_the_space_of_their_hexadecimal_keys(spark, tmp_path):
+    df = spark.range(20_000, numPartitions=1).select(F.md5(F.col("id").cast("string")).alias("sk"))
+    write_silver(df, str(tmp_path / "silver"))
+    VersionedTable(spark, str(tmp_path / "version")).write(df)
+    KeyedTable(spark, str(tmp_path / "keyed"), ["sk"], buckets=1).upsert(df, "1")
+    for name, more in (("silver", 0), ("version", 0), ("keyed", 8)):  # a fingerprint has 8 bytes
+        size = sum(f.stat().st_size for f in (tmp_path / name).rglob("*.parquet"))
+        assert size < 20_000 * (0.6 * 32 + more), name
+
+
+def test_a_first_run_on_stored_rows_keeps_one_row_of_a_key(spark, tmp_path):
+    data = [(i, f"c{i}", None, i, T1) for i in range(50)]
+    again = [(7, "newer", None, 1, T2), (None, "n", None, 3, T1), (None, "m", None, 3, T2)]
+    for name, more in (("unique", []), ("repeated", again)):
+        df = spark.createDataFrame(data + more, COLUMNS)
+        wide = KeyedTable(spark, str(tmp_path / f"{name}1"), ["id"]).upsert(
+            df, "1", [F.desc("loaded_at")])
+        table = KeyedTable(spark, str(tmp_path / f"{name}2"), ["id"])
+        out = table.upsert(df, "1", [F.desc("loaded_at")], reread=True)
+        assert rows(out) == rows(wide) and out.count() == 50 + bool(more)
+        assert not table.folder.has("runs/1")
+    # Rows without repeated keys are not ordered by key at all.
+    marked = KeyedTable(spark, str(tmp_path / "t"), ["id"])._without_repeats(
+        spark.createDataFrame(data, COLUMNS), [], "runs/1")
+    assert "Exchange" not in marked._jdf.queryExecution().executedPlan().toString()
