@@ -13,6 +13,7 @@ from pitchlake.operators.stored import KeyedTable
 from pitchlake.plans.facts import build_fact, event_keys
 from pitchlake.plans.warehouse import Warehouse
 from pitchlake.session import work_path
+from pitchlake.sources.files import read_parquet, write_silver
 from pitchlake.sources.messages import stream_parquet, stream_text
 from pitchlake.streaming import events as ev
 from pitchlake.streaming import live, monitor, sinks, stateful
@@ -449,7 +450,8 @@ def _(ctx):
     """The stored fact holds a first account of the late events, or none; a stream then brings them,
     and brings them again."""
     folder = work_path(ctx.spark, "stream-fact")
-    events = ctx.silver("game_events")
+    write_silver(ctx.silver("game_events"), f"{folder}/events")  # cleaned once, used three times
+    events = read_parquet(ctx.spark, f"{folder}/events")
     late = F.col("minute").between(60, 130) & F.col("game_id").isNotNull()
     early = events.where(~F.coalesce(late, F.lit(False)) | (F.col("minute") > 90)).withColumn(
         "description", F.when(late, "unconfirmed").otherwise(F.col("description")))
@@ -460,7 +462,7 @@ def _(ctx):
     sent = ev.to_event_json(
         events.where(late).withColumnsRenamed({"date": "game_date", "type": "event_type"}), ())
     for _ in range(2):
-        sent.write.mode("append").text(f"{folder}/topic")
+        sent.write.mode("append").option("compression", "gzip").text(f"{folder}/topic")
         parsed = ev.parse_events(ev.raw_ingest(stream_text(ctx.spark, f"{folder}/topic")))
         sinks.keyed_sink(
             parsed, table, f"{folder}/ckpt", None,
