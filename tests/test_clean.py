@@ -1,8 +1,12 @@
 import datetime as dt
+import re
+from collections import Counter
 
 import pytest
 
+from checks.registry import Context
 from pitchlake.operators import clean as cl
+from pitchlake.operators.scale import split_repeated
 from pitchlake.plans.specs import SPECS
 from pitchlake.sources import files
 from conftest import rows
@@ -111,6 +115,32 @@ def test_dedup_with_order_is_deterministic(spark):
     assert cl.dedup(df, ["k"]).count() == 2
 
 
+@pytest.mark.parametrize("slots", [1, 64, 1 << 22])
+def test_dedup_of_rarely_repeated_keys(spark, slots, monkeypatch):
+    monkeypatch.setattr(cl, "split_repeated", lambda df, keys: split_repeated(df, keys, slots))
+    data = [(i % 90 if i % 7 else None, "ab"[i % 2] if i % 5 else None, i) for i in range(130)]
+    df = spark.createDataFrame(data, "a int, b string, v int").repartition(5)
+    for keys in (["a", "b"], ["v"], ["b"]):
+        want = rows(cl.dedup(df, keys, ["a", "b", "v"]))
+        assert rows(cl.dedup(df, keys, ["a", "b", "v"], rarely_repeated=True)) == want
+        assert cl.dedup(df, keys, rarely_repeated=True).count() == len(want)
+    once, others = split_repeated(df, ["a", "b"], slots)
+    assert rows(once.unionByName(others)) == rows(df)
+    alone = {k for k, n in Counter((a, b) for a, b, _ in data).items() if n == 1}
+    assert {(r.a, r.b) for r in once.collect()} <= alone
+    if slots > 64:
+        assert once.count() == len(alone)
+
+
+def test_transfers_are_not_shuffled_whole(spark, sf_dir):
+    silver = Context(spark, sf_dir).silver("transfers")
+    exchanges = re.findall(r"Exchange hashpartitioning\((\w+?)#", silver._jdf.queryExecution()
+                           .executedPlan().toString())
+    assert exchanges.count("player_id") == 1 and {"_h", "_slot"} < set(exchanges)
+    single = silver._jdf.queryExecution().optimizedPlan().children().apply(0).toString()
+    assert "LeftAnti" in single and "Window" not in single
+
+
 @pytest.mark.parametrize("table", sorted(SPECS))
 def test_every_spec_runs_on_an_empty_table(spark, table):
     out = cleaned(spark, table)
