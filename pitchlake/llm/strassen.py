@@ -1,10 +1,12 @@
 """Hard negatives by exact products of anchor and candidate tiles.
 
 Candidates are packed into blocks where they are read, anchors into blocks by a hash of their id.
-A tile is an anchor block with a candidate block; its scores come from Strassen's recursive
-multiplication on whole numbers. Two passes over the tiles keep small heaps, merged until one is
-left for an anchor: first its best rows of its own label, then, for each of these positives, the
-best rows of other labels inside a window of scores below it.
+Both are dealt to a grid of anchor groups and candidate parts. A cell is one task: it holds the
+blocks of its anchors and reads the candidates past them. A tile is an anchor block with a part of a
+candidate block; its scores come from Strassen's recursive multiplication on whole numbers. Two
+passes over the tiles keep small heaps, merged until one is left for an anchor: first its best rows
+of its own label, then, for each of these positives, the best rows of other labels inside a window
+of scores below it.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pitchlake.llm.common import materialise
 
 #: Rows of an anchor block and of a candidate block, and candidates that are scored at a time.
 ANCHORS, CANDIDATES, SCORED = 1024, 4096, 1024
+#: Components of the anchors that a task holds, and parts of the candidates on a small cluster.
+HELD, PARTS = 4_000_000, 64
 #: Matrices with a side up to this are multiplied directly.
 LEAF = 32
 
@@ -88,9 +92,17 @@ def _cells(vectors: pa.Array, scale: int) -> Iterator[tuple[int, np.ndarray, np.
 
 
 def _packed(dim: int, ids: np.ndarray, labels: np.ndarray, cells: np.ndarray) -> list:
-    """One block as Arrow values, its rows by id."""
+    """One block as Arrow values, its rows by id, components as wide as the largest one."""
     order = np.argsort(ids, kind="stable")
-    return [dim, ids[order].tobytes(), labels[order].tobytes(), cells[order].tobytes()]
+    low, high = cells.min(initial=0), cells.max(initial=0)
+    kind = next(t for t in (np.int16, np.int32, np.int64)
+                if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+    return [dim, ids[order].tobytes(), labels[order].tobytes(), cells[order].astype(kind).tobytes()]
+
+
+def _unpacked(ids: np.ndarray, dim: int, cells: pa.Buffer) -> np.ndarray:
+    """The components of a packed block, a row for each id."""
+    return np.frombuffer(cells, f"i{cells.size // (len(ids) * dim)}").astype(np.int64).reshape(-1, dim)
 
 
 def _table(rows: list, names: str) -> pa.RecordBatch:
@@ -152,100 +164,134 @@ def _anchor_blocks(anchors: DataFrame, scale: int, blocks: int) -> DataFrame:
             pack, f"anchor_block int, {BLOCK}, limits binary"))
 
 
-def _tiles(anchors: DataFrame, blocks: int, candidates: DataFrame, groups: int) -> DataFrame:
-    """Each anchor block with each candidate block of its dimension.
+GRID = f"cell int, block int, {BLOCK}, limits binary"
+
 
-    Dealt by (anchor block, group of candidate blocks), so that a task needs few blocks of either.
+def _grid(anchors: DataFrame, groups: int, candidates: DataFrame, parts: int) -> DataFrame:
+    """Each anchor block with all candidates of its dimension; a cell is a task, anchors first.
+
+    An anchor block goes to every part of the candidates, a candidate block to every group of anchor
+    blocks. Nothing is joined: copies of blocks are many times as large as the tables they come
+    from, and a broadcast chosen by the size of those would send the copies to the driver.
+    """
+    place = F.col("group") * parts + F.col("part")
+    left = anchors.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))).withColumn(
+        "group", F.pmod("anchor_block", F.lit(groups)))
+    right = candidates.withColumn(
+        "group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))).withColumn(
+        "part", F.pmod(F.xxhash64("ids"), F.lit(parts)))
+    rows = left.select(
+        place.cast("int").alias("cell"), F.col("anchor_block").alias("block"), "dim", "ids",
+        "labels", "cells", "limits",
+    ).unionByName(right.select(
+        place.cast("int").alias("cell"), F.lit(None).cast("int").alias("block"), "dim", "ids",
+        "labels", "cells", F.lit(None).cast("binary").alias("limits")))
+    return rows.repartitionById(groups * parts, "cell").sortWithinPartitions(
+        "cell", F.asc_nulls_last("block"))
+
+
+#: Below and above all scores.
+NONE, ALL = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+
+
+class _Anchors:
+    """An anchor block and its heaps: the ``k`` best partners of a row inside each of its windows.
+
+    ``least`` and ``most`` hold the bounds of the windows, a row for each anchor. Partners are of the
+    anchor's own label or of other ones.
     """
-    left = anchors.select(
-        "dim", "anchor_block", F.col("ids").alias("a_ids"), F.col("labels").alias("a_labels"),
-        F.col("cells").alias("a_cells"), "limits",
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
-    right = candidates.select(
-        "dim", "ids", "labels", "cells",
-        F.pmod(F.xxhash64("ids"), F.lit(groups)).cast("int").alias("group"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("anchor_block"))
-    return left.join(right, ["anchor_block", "group", "dim"])
-
-
-class _Tile:
-    """Scores of an anchor block and a part of a candidate block, best first in each row."""
-
-    def __init__(self, a: tuple, c: tuple):
-        self.anchors, (a_labels, a_cells) = a[0], a[1:]
-        ids, labels, cells = c
-        scores = multiply(a_cells, np.ascontiguousarray(cells.T))
-        order = np.argsort(-scores, axis=1, kind="stable")  # equal scores stay in order of ids
-        self.scores = np.take_along_axis(scores, order, axis=1)
-        self.ids = ids[order]
-        self.same = labels[order] == a_labels[:, None]
-        self.other_row = self.ids != self.anchors[:, None]
-
-    def first(self, wanted: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(anchor rows, places) of the first ``k`` wanted scores of each row."""
-        return np.nonzero(wanted & (np.cumsum(wanted, axis=1) <= k))
-
-
-def _parts(batch: pa.RecordBatch) -> Iterator[tuple[_Tile, np.ndarray]]:
-    """(tile, limits) for the tiles of a batch."""
-    for row in batch.to_pylist():
-        dim = row["dim"]
-        read = lambda c: np.frombuffer(row[c], np.int64)  # noqa: B023, E731 - used at once
-        anchors = (read("a_ids"), read("a_labels"), read("a_cells").reshape(-1, dim))
-        limits = read("limits").reshape(len(anchors[0]), -1)
-        ids, labels, cells = read("ids"), read("labels"), read("cells").reshape(-1, dim)
-        for at in range(0, len(ids), SCORED):
-            part = slice(at, at + SCORED)
-            yield _Tile(anchors, (ids[part], labels[part], cells[part])), limits
-
-
-def _merged(heap: list[np.ndarray], k: int) -> list[np.ndarray]:
-    """Of the rows (anchor, place, id, score), the ``k`` best of each anchor and place."""
-    anchor, place, ids, score = heap
-    order = np.lexsort((ids, -score, place, anchor))
-    anchor, place, ids, score = (x[order] for x in heap)
-    new = np.ones(len(anchor), bool)
-    new[1:] = (anchor[1:] != anchor[:-1]) | (place[1:] != place[:-1])
-    start = np.maximum.accumulate(np.where(new, np.arange(len(anchor)), 0))
-    keep = np.arange(len(anchor)) - start < k
-    return [x[keep] for x in (anchor, place, ids, score)]
+
+    def __init__(
+        self, ids: np.ndarray, labels: np.ndarray, cells: np.ndarray,
+        windows: tuple[np.ndarray, np.ndarray], same: bool, k: int,
+    ):
+        self.ids, self.labels, self.cells, self.same, self.k = ids, labels, cells, same, k
+        least, most = windows
+        empty = least > most
+        # Also the score of a full heap's last row, which a later row has to reach.
+        self.least, self.most = np.where(empty, ALL, least), np.where(empty, NONE, most)
+        none = np.zeros(0, np.int64)
+        self.heaps = [(none, none, none)] * least.shape[1]  # (row, id, score)
+
+    def meet(self, ids: np.ndarray, labels: np.ndarray, cells: np.ndarray) -> None:
+        """Put the rows of a part of a candidate block into the heaps."""
+        scores = multiply(self.cells, np.ascontiguousarray(cells.T))
+        row, at = np.nonzero((scores >= self.least.min(axis=1, initial=ALL)[:, None])
+                             & (scores <= self.most.max(axis=1, initial=NONE)[:, None]))
+        partner = ((labels[at] == self.labels[row]) == self.same) & (ids[at] != self.ids[row])
+        row, at = row[partner], at[partner]
+        found = scores[row, at]
+        for n in range(len(self.heaps)):
+            fit = np.flatnonzero((found >= self.least[row, n]) & (found <= self.most[row, n]))
+            if len(fit) > 8 * self.k * len(self.ids) and len(ids) > self.k:
+                # Before many rows are sorted, those below the k-th score of this part go.
+                dense = np.full(scores.shape, NONE)
+                dense[row[fit], at[fit]] = found[fit]
+                kth = np.partition(dense, len(ids) - self.k, axis=1)[:, len(ids) - self.k]
+                fit = fit[found[fit] >= kth[row[fit]]]
+            if len(fit):
+                self._merge(n, row[fit], ids[at[fit]], found[fit])
+
+    def _merge(self, n: int, *rows: np.ndarray) -> None:
+        row, ids, score = (np.concatenate(x) for x in zip(self.heaps[n], rows, strict=True))
+        order = np.lexsort((ids, -score, row))
+        row, ids, score = row[order], ids[order], score[order]
+        many = np.bincount(row, minlength=len(self.ids))
+        place = np.arange(len(row)) - (np.cumsum(many) - many)[row]
+        last = place == self.k - 1
+        self.least[row[last], n] = np.maximum(self.least[row[last], n], score[last])
+        self.heaps[n] = tuple(x[place < self.k] for x in (row, ids, score))
+
+    def rows(self) -> pa.RecordBatch:
+        place = np.repeat(np.arange(len(self.heaps)), [len(h[0]) for h in self.heaps])
+        row, ids, score = (np.concatenate(x) for x in zip(*self.heaps, strict=True))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(x) for x in (self.ids[row], place, ids, score)],
+            ["anchor_id", "place", "vec_id", "score"])
 
 
 HEAP = "anchor_id long, place long, vec_id long, score long"
 
 
-def _heaps(found, k: int):
-    """A task's heaps over all its tiles; ``found(tile, limits)`` gives rows of one tile."""
+def _heaps(windows, same: bool, k: int):
+    """The heaps of each cell; ``windows(limits)`` gives the bounds of its anchors' windows."""
 
     def run(batches):
-        heap: list[np.ndarray] = []
+        cell, held = None, {}
         for batch in batches:
-            for tile, limits in _parts(batch):
-                rows = found(tile, limits)
-                heap = _merged([np.concatenate(x) for x in zip(heap, rows, strict=True)]
-                               if heap else rows, k)
-                if len(heap[0]) > 500_000:  # heaps of many anchor blocks: others merge them
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in heap], ["anchor_id", "place", "vec_id", "score"])
-                    heap = []
-        if heap:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x) for x in heap], ["anchor_id", "place", "vec_id", "score"])
+            for n in range(batch.num_rows):
+                own, block, dim = (batch.column(c)[n].as_py() for c in ("cell", "block", "dim"))
+                read = lambda c: batch.column(c)[n].as_buffer()  # noqa: B023, E731 - used at once
+                ids, labels = (np.frombuffer(read(c), np.int64) for c in ("ids", "labels"))
+                cells = _unpacked(ids, dim, read("cells"))
+                if own != cell:
+                    yield from (a.rows() for x in held.values() for a in x if a.heaps)
+                    cell, held = own, {}
+                if block is not None:
+                    limits = np.frombuffer(read("limits"), np.int64).reshape(len(ids), -1)
+                    held.setdefault(dim, []).append(
+                        _Anchors(ids, labels, cells, windows(limits), same, k))
+                    continue
+                for anchors in held.get(dim, ()):
+                    for at in range(0, len(ids), SCORED):
+                        part = slice(at, at + SCORED)
+                        anchors.meet(ids[part], labels[part], cells[part])
+        yield from (a.rows() for x in held.values() for a in x if a.heaps)
 
     return run
 
 
-def _best(tiles: DataFrame, found, k: int) -> DataFrame:
-    """(anchor_id, place, vec_id, score, rank): the heaps of all tasks merged."""
+def _best(grid: DataFrame, windows, same: bool, k: int) -> DataFrame:
+    """(anchor_id, place, vec_id, score, rank): the heaps of all cells merged."""
     order = Window.partitionBy("anchor_id", "place").orderBy(F.desc("score"), "vec_id")
-    return tiles.mapInArrow(_heaps(found, k), HEAP).withColumn(
+    return grid.mapInArrow(_heaps(windows, same, k), HEAP).withColumn(
         "rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
 
 
 def hard_negatives(
     vectors: DataFrame, anchors: DataFrame, positives: int = 5, negatives: int = 3,
     window: tuple[int, int] = (50, 95), scale: int = 256, anchor_block: int = ANCHORS,
-    candidate_block: int = CANDIDATES,
+    candidate_block: int = CANDIDATES, held: int = HELD,
 ) -> DataFrame:
     """(anchor_id, positive_id, rank, negative_id, positive_score, negative_score) rows.
 
@@ -267,41 +313,38 @@ def hard_negatives(
     asked = materialise(
         _usable(anchors).groupBy("vec_id").agg(F.min(F.struct("embedding", "label")).alias("row"))
         .select("vec_id", "row.*"), "anchors")
-    groups, many = packed.count() or 1, asked.count() // anchor_block + 1
-
-    def closest(tile: _Tile, limits: np.ndarray) -> list[np.ndarray]:
-        i, j = tile.first(tile.same & tile.other_row, positives)
-        return [tile.anchors[i], np.zeros(len(i), np.int64), tile.ids[i, j], tile.scores[i, j]]
+    size = asked.agg(F.count(F.lit(1)), F.sum(F.size("embedding"))).first()
+    many = size[0] // anchor_block + 1
+    groups = min(many, (size[1] or 0) // held + 1)
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    parts = min(packed.count(), max(PARTS, 2 * cores)) or 1
+
+    def closest(limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return np.full((len(limits), 1), NONE), np.full((len(limits), 1), ALL)
+
+    def below(limits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # 50 * top <= 100 * score <= 95 * top without a product that could overflow
+        known = np.arange(limits.shape[1] - 1) < limits[:, :1]
+        least = [[-(-low * int(x) // 100) for x in tops] for tops in limits[:, 1:]]
+        most = [[high * int(x) // 100 for x in tops] for tops in limits[:, 1:]]
+        least, most = (np.array(x, np.int64).reshape(known.shape) for x in (least, most))
+        return np.where(known, least, ALL), np.where(known, most, NONE)
 
     none = F.array().cast("array<long>")
-    first = _tiles(
-        _anchor_blocks(asked.withColumn("scores", none), scale, many), many, packed, groups)
-    near = materialise(_best(first, closest, positives), "positives")
-
-    def in_window(tile: _Tile, limits: np.ndarray) -> list[np.ndarray]:
-        out = []
-        for n in range(limits.shape[1] - 1):
-            top = limits[:, 1 + n]
-            # 50 * top <= 100 * score <= 95 * top without a product that could overflow
-            least = np.array([-(-low * int(x) // 100) for x in top], np.int64)
-            most = np.array([high * int(x) // 100 for x in top], np.int64)
-            wanted = (
-                ~tile.same & tile.other_row & (tile.scores >= least[:, None])
-                & (tile.scores <= most[:, None]) & (limits[:, :1] > n))
-            i, j = tile.first(wanted, negatives)
-            out.append([tile.anchors[i], np.full(len(i), n), tile.ids[i, j], tile.scores[i, j]])
-        return [np.concatenate(x) for x in zip(*out, strict=True)]
+    first = _grid(_anchor_blocks(asked.withColumn("scores", none), scale, many), groups, packed,
+                  parts)
+    near = materialise(_best(first, closest, True, positives), "positives")
 
     # At most ``positives`` scores an anchor.
     scores = near.groupBy("anchor_id").agg(
         F.sort_array(F.collect_list(F.struct("rank", "score"))).alias("best")).select(
         F.col("anchor_id").alias("vec_id"), F.col("best.score").alias("scores"))
-    second = _tiles(
-        _anchor_blocks(asked.join(scores, "vec_id"), scale, many), many, packed, groups)
-    mined = _best(second, in_window, negatives).select(
+    second = _grid(_anchor_blocks(asked.join(scores.hint("merge"), "vec_id"), scale, many), groups,
+                   packed, parts)
+    mined = _best(second, below, False, negatives).select(
         "anchor_id", (F.col("place") + 1).cast("int").alias("place"), "rank",
         F.col("vec_id").alias("negative_id"), F.col("score").alias("negative_score"))
     return mined.join(
         near.select("anchor_id", F.col("rank").alias("place"), F.col("vec_id").alias("positive_id"),
-                    F.col("score").alias("positive_score")), ["anchor_id", "place"],
+                    F.col("score").alias("positive_score")).hint("merge"), ["anchor_id", "place"],
     ).select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")

@@ -220,3 +220,15 @@ def test_hard_negatives_of_odd_rows(spark, blocks):
         candidate_block=blocks[1]).collect()
     assert sorted(map(tuple, found)) == _mine(rows, anchors)
     assert any(r[0] == 86 for r in found)
+
+
+def test_hard_negatives_send_no_blocks_through_the_driver(spark):
+    rng = np.random.default_rng(5)
+    rows = [(int(i), [float(x) for x in rng.integers(-200, 200, 5) * [1, 1, 1, 1, 200] / 4], int(i) % 3)
+            for i in range(90)]
+    rows += [(91, rows[0][1], 0), (91, rows[0][1], 0), (92, [2.0**40, 1.0, 0.0, 0.0, 0.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    out = strassen.hard_negatives(
+        frame, frame.where("vec_id % 3 = 0"), anchor_block=2, candidate_block=4, held=20)
+    assert sorted(map(tuple, out.collect())) == _mine(rows, set(range(0, 90, 3)))
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
