@@ -1,5 +1,7 @@
 """Building models by their dependencies."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -94,3 +96,24 @@ def test_marts_shuffle_ids_and_no_long_keys(spark, sf_dir):
     for name in ("mart_club_transfer_spending", "mart_player_performance"):
         plan = MODELS[name](ctx.warehouse)._jdf.queryExecution().optimizedPlan().toString()
         assert "md5(" not in plan, name
+
+
+def test_a_build_leaves_no_shuffle_files(spark, tmp_path, sf_dir):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffled():
+        found = env.blockManager().diskBlockManager().getAllFiles()
+        names = {found.apply(i).getName() for i in range(found.size())}
+        return {n for n in names if n.startswith("shuffle_")}
+
+    ctx, before = Context(spark, sf_dir), shuffled()
+    own = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    spark.conf.set(own, "false")
+    stored, _ = ModelStore(spark, str(tmp_path / "store")).build(
+        Warehouse(spark, SilverTables(ctx)), ["fact_matches"])
+    for _ in range(100):  # files are removed in the background
+        if shuffled() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffled() <= before and spark.conf.get(own) == "false"
+    assert stored.ref("fact_matches").count()

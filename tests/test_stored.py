@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pitchlake.operators.state import VersionedTable
-from pitchlake.operators.stored import HistoryTable, KeyedTable
+from pitchlake.operators.stored import HistoryTable, KeyedTable, fingerprint
 from pitchlake.sources.files import write_silver
 from conftest import rows
 
@@ -171,3 +171,24 @@ def test_a_first_run_on_stored_rows_keeps_one_row_of_a_key(spark, tmp_path):
     marked = KeyedTable(spark, str(tmp_path / "t"), ["id"])._without_repeats(
         spark.createDataFrame(data, COLUMNS), [], "runs/1")
     assert "Exchange" not in marked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_keys_pass_a_shuffle_as_bytes(spark, tmp_path):
+    sk = "0123456789abcdef" * 2
+    texts = [sk, sk.upper(), sk[:31], sk[:31] + "g", "", None, "\x01" + sk, "é" * 32, "f" * 32]
+    df = spark.createDataFrame(
+        [(str(i), x, x, x, i) for i, x in enumerate(texts)],
+        "id string, sk_a string, b_key string, other string, n int")
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], buckets=4)
+    for reread in (False, True):
+        table = KeyedTable(spark, str(tmp_path / f"t{reread}"), ["id"], buckets=4)
+        out = table.upsert(df, "1", reread=reread)
+        assert out.schema == df.schema and rows(out) == rows(df)
+        stored = table._stored()
+        assert stored.where(F.col("_fingerprint") == fingerprint(df)).count() == len(texts)
+        later = df.where("n < 5").withColumn("n", F.when(F.col("n") == 0, 9).otherwise(F.col("n")))
+        assert rows(table.upsert(later, "2")) == rows(df.withColumn(
+            "n", F.when(F.col("n") == 0, 9).otherwise(F.col("n"))))
+    wide = table._dealt(table._marked(df), False)._jdf.queryExecution().optimizedPlan().toString()
+    below = wide[wide.index("Rebalance"):]
+    assert "xxhash64(b_key" not in below and "unhex(sk_a" in below
