@@ -9,6 +9,7 @@ from checks.registry import Context, SilverTables
 from pitchlake.plans import build
 from pitchlake.plans.build import ModelStore, dependencies
 from pitchlake.plans.warehouse import MODELS, Warehouse
+from pitchlake.session import shuffles_removed
 
 
 def test_the_graph_of_all_models(spark, sf_dir):
@@ -98,22 +99,33 @@ def test_marts_shuffle_ids_and_no_long_keys(spark, sf_dir):
         assert "md5(" not in plan, name
 
 
-def test_a_build_leaves_no_shuffle_files(spark, tmp_path, sf_dir):
-    env = spark._jvm.org.apache.spark.SparkEnv.get()
+def test_a_build_removes_what_its_queries_shuffled(spark, tmp_path, monkeypatch):
+    own = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, plain, before = [], build.materialize, spark.conf.get(own)
+
+    def materialize(df, name, kind, *args, **options):
+        seen.append((name, spark.conf.get(own)))
+        return plain(df, name, kind, *args, **options)
+
+    monkeypatch.setattr(build, "materialize", materialize)
+    wh = Warehouse(spark, {})
+    ModelStore(spark, str(tmp_path / "store")).build(wh, ["dim_date"])
+    assert seen and set(seen) == {("dim_date", "true")} and spark.conf.get(own) == before
+
+
+def test_a_query_leaves_no_shuffle_files(spark, tmp_path):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
 
     def shuffled():
-        found = env.blockManager().diskBlockManager().getAllFiles()
+        found = disk.getAllFiles()
         names = {found.apply(i).getName() for i in range(found.size())}
         return {n for n in names if n.startswith("shuffle_")}
 
-    ctx, before = Context(spark, sf_dir), shuffled()
-    own = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-    spark.conf.set(own, "false")
-    stored, _ = ModelStore(spark, str(tmp_path / "store")).build(
-        Warehouse(spark, SilverTables(ctx)), ["fact_matches"])
-    for _ in range(100):  # files are removed in the background
+    before = shuffled()
+    with shuffles_removed(spark):
+        spark.range(1000, numPartitions=4).repartition(4, "id").write.parquet(str(tmp_path / "t"))
+    for _ in range(200):  # files are removed in the background
         if shuffled() <= before:
             break
         time.sleep(0.1)
-    assert shuffled() <= before and spark.conf.get(own) == "false"
-    assert stored.ref("fact_matches").count()
+    assert shuffled() <= before and spark.read.parquet(str(tmp_path / "t")).count() == 1000
